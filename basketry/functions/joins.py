@@ -24,6 +24,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_bounded_by(df: DataFrame, domain: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when its key domain ``domain`` provably has < ``max_rows`` rows.
+
+    For an aggregate keyed by a dimension key (per aisle, per product, ...) the
+    row count is at most the dimension size plus one NULL group, so the cheap
+    bounded count runs on the dimension and never re-computes the aggregate.
+    """
+    n = domain.limit(max_rows).count()
+    return F.broadcast(df) if n < max_rows else df
+
+
 def limited_broadcast(df: DataFrame, n: int) -> DataFrame:
     """Broadcast the first ``n`` rows of an ordered frame: the limit is the bound."""
     return F.broadcast(df.limit(n))

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.encode import binary_encode
-from basketry.functions.joins import bounded_broadcast, null_safe_join
+from pyspark import StorageLevel
+
+from basketry.functions.joins import broadcast_bounded_by, bounded_broadcast, null_safe_join
 from basketry.functions.nulls import fill_zero, r_sum
 from basketry.operators.ranking import block_row_number
 from basketry.sources.tables import Tables
@@ -145,9 +147,11 @@ def product_attributes(base: DataFrame, tables: Tables) -> DataFrame:
     pf = product_features(base)
     products = bounded_broadcast(tables.products.select("product_id", *PRODUCT_ATTR_COLS))
     out = pf.join(products, "product_id", "left")
-    out = null_safe_join(out, bounded_broadcast(aisle_features(base)), ["aisle_id"])
+    # aisle / department aggregates have at most one row per dimension key (+ NULL)
+    out = null_safe_join(out, broadcast_bounded_by(aisle_features(base), tables.aisles), ["aisle_id"])
     out = null_safe_join(out, bounded_broadcast(tables.aisles.select("aisle_id", "aisle")), ["aisle_id"])
-    out = null_safe_join(out, bounded_broadcast(department_features(base)), ["department_id"])
+    out = null_safe_join(out, broadcast_bounded_by(department_features(base), tables.departments),
+                         ["department_id"])
     out = null_safe_join(out, bounded_broadcast(tables.departments.select("department_id", "department")),
                          ["department_id"])
     return out.select("product_id", *PRODUCT_MEASURES, *PRODUCT_ATTR_COLS,
@@ -157,7 +161,9 @@ def product_attributes(base: DataFrame, tables: Tables) -> DataFrame:
 
 def product_feature_wide(base: DataFrame, tables: Tables) -> DataFrame:
     """Product attributes without name / aisle / department ids, aisle and department bit-encoded."""
-    attrs = product_attributes(base, tables).drop(*PRODUCT_ATTR_COLS)
+    # one row per product: kept so that the encoder's level count and the later
+    # join read the small result instead of re-running the line-level plan
+    attrs = product_attributes(base, tables).drop(*PRODUCT_ATTR_COLS).persist(StorageLevel.MEMORY_AND_DISK)
     return binary_encode(attrs, ENCODED_COLS)
 
 
@@ -179,7 +185,7 @@ def feature_table(tables: Tables, scope: str = "train") -> DataFrame:
     base = enriched_line_base(tables, scope)
     wide = product_feature_wide(base, tables)
     wide_cols = wide.columns
-    out = base.join(bounded_broadcast(wide), "product_id", "inner")
+    out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", "inner")
     users = user_features(base)
     out = out.join(users, "user_id", "left")
     base_rest = [c for c in base.columns if c != "product_id"]

@@ -282,10 +282,10 @@ def oracle_statements() -> dict[str, str]:
     q["user_features_filled"] = ft(T, feat_ctes, f"SELECT user_id, {uf_sel} FROM fx_uf")
     q["user_features"] = ft(T, feat_ctes, f"SELECT user_id, {select_cols(USER_MEASURES, USER_DOUBLES)} FROM fx_uf")
     q["freq_order_lines"] = ft(A, RULES, "SELECT order_id, product_id, add_to_cart_order, reordered FROM fx_fl")
-    q["basket_incidence"] = ft(A, RULES + """,
-fx_inc AS (PIVOT (SELECT order_id, product_name, product_id FROM fx_fln) ON product_name
-           USING count(product_id) >= 1 GROUP BY order_id)""",
-                               "SELECT order_id, coalesce(COLUMNS(* EXCLUDE (order_id)), false) FROM fx_inc")
+    q["basket_incidence"] = ft(A, RULES, """
+SELECT order_id, coalesce(COLUMNS(* EXCLUDE (order_id)), false)
+FROM (PIVOT (SELECT order_id, product_name, product_id FROM fx_fln) ON product_name
+      USING count(product_id) >= 1 GROUP BY order_id) inc""")
     q["rules_lift_gt1"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1")
     q["threshold_predictions"] = ft(T, feat_ctes, "SELECT user_id, order_number, product_id, add_to_cart_order, "
                                                   f"reordered, {r('reorder_propotion_by_user', 'reorder_propotion_by_user')}, "

@@ -19,6 +19,7 @@ import os
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -385,7 +386,7 @@ def q_assembled_width(spark, d):
     cols = mo.feature_columns(ft)
     vec = mo.assembler(cols).transform(ft.limit(1))
     return vec.select(F.lit(len(cols)).cast("long").alias("n_inputs"),
-                      F.size(F.expr("vector_to_array(features)")).cast("long").alias("vector_size"))
+                      F.size(vector_to_array("features")).cast("long").alias("vector_size"))
 
 
 def q_model_scores(spark, d):
