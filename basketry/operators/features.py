@@ -21,6 +21,7 @@ from pyspark import StorageLevel
 from basketry.functions.joins import broadcast_bounded_by, bounded_broadcast, null_safe_join
 from basketry.functions.nulls import fill_zero, r_sum
 from basketry.operators.ranking import block_row_number
+from basketry.session import materialize
 from basketry.sources.tables import Tables
 
 ORDER_COLS = ["order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day",
@@ -167,7 +168,7 @@ def product_feature_wide(base: DataFrame, tables: Tables) -> DataFrame:
     return binary_encode(attrs, ENCODED_COLS)
 
 
-def feature_table(tables: Tables, scope: str = "train") -> DataFrame:
+def feature_table(tables: Tables, scope: str = "train", materialize_base: bool = True) -> DataFrame:
     """One row per order line with product, aisle, department and user features.
 
     Steps as upstream: product features joined to the line table, user features
@@ -181,8 +182,14 @@ def feature_table(tables: Tables, scope: str = "train") -> DataFrame:
     (user, product) always differ in ``user_buy_product_times`` and lines of
     different (user, product) differ in a key column. Skipping it saves a
     shuffle of the widest table in the plan.
+
+    The enriched line table feeds five aggregates and the final join; with
+    ``materialize_base`` it is written once to the shared checkpoint folder
+    and every branch scans only the columns it needs.
     """
     base = enriched_line_base(tables, scope)
+    if materialize_base:
+        base = materialize(base, "line_base")
     wide = product_feature_wide(base, tables)
     wide_cols = wide.columns
     out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", "inner")

@@ -19,6 +19,7 @@ import os
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,7 +93,16 @@ class Context:
         return self.memo("base", lambda: fe.enriched_line_base(self.tables, FEATURE_SCOPE))
 
     def features(self) -> DataFrame:
-        return self.memo("features", lambda: fe.feature_table(self.tables, FEATURE_SCOPE))
+        """The feature table, written once to the shared folder and read back.
+
+        This is the hand-off between the feature and model analyses upstream,
+        and it cuts the lineage before the many queries that start from it.
+        """
+        def build():
+            path = _scratch(self.spark, "features")
+            fe.feature_table(self.tables, FEATURE_SCOPE).write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        return self.memo("features", build)
 
     def top(self) -> DataFrame:
         return self.memo("top", lambda: bk.top_products(self.tables.lines(BASKET_SCOPE), self.tables.products, TOP_N))
@@ -103,7 +113,8 @@ class Context:
             self.tables.products))
 
     def baskets(self) -> DataFrame:
-        return self.memo("baskets", lambda: bk.baskets(self.freq_named()))
+        # read by the basket count, the item count and the pair counter of every rule query
+        return self.memo("baskets", lambda: bk.baskets(self.freq_named()).persist(StorageLevel.MEMORY_AND_DISK))
 
     def pair_rules(self) -> DataFrame:
         return self.memo("pair_rules", lambda: ru.pair_rules(self.baskets(), MIN_SUPPORT, MIN_CONFIDENCE))
@@ -163,7 +174,7 @@ def q_scan_order_products_all(spark, d):
 
 def q_feature_table_roundtrip(spark, d):
     path = _scratch(spark, "feature_table")
-    _ctx(spark, d).features().write.mode("overwrite").parquet(path)
+    fe.feature_table(_ctx(spark, d).tables, FEATURE_SCOPE).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -205,7 +216,8 @@ def q_freq_order_lines(spark, d):
 
 
 def q_feature_table(spark, d):
-    return _ctx(spark, d).features()
+    c = _ctx(spark, d)
+    return fe.feature_table(c.tables, FEATURE_SCOPE)
 
 
 def q_basket_incidence(spark, d):

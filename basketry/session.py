@@ -20,10 +20,16 @@ ENGINE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "basketry", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine settings applied."""
+                  app_name: str = "basketry", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
+    """Create (or reuse) a session with the engine settings applied.
+
+    ``driver_memory`` only matters in local mode, where the driver JVM is the
+    whole engine; on a cluster it is set by the submit configuration.
+    """
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.driver.memory", driver_memory))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -58,3 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "basketry", name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Used where one large intermediate feeds several branches: the branches then
+    scan a pruned columnar table instead of re-running (or re-planning) the
+    joins and windows behind it, and the lineage is cut, so a lost executor
+    costs a re-read, not a re-computation.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
