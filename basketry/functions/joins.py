@@ -13,15 +13,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` provably has <= ``max_rows`` rows.
-
-    The proof is ``df.limit(max_rows + 1).count()``: a job that stops reading
-    once the bound is passed, so it is cheap for small tables and bounded for
-    large ones.
+def bounded_count(df: DataFrame, limit: int) -> int:
+    """``min(rows of df, limit)``, reading as little as possible.
+
+    ``limit(k).collect()`` of a one-literal projection is planned as an
+    incremental take: it scans one partition, then four times as many, and so
+    on, and stops as soon as ``k`` rows are seen. A large table is therefore
+    rejected after its first partition; a small one is read once, without its
+    columns. At most ``limit`` one-field rows reach the driver.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return len(df.select(F.lit(1).alias("one")).limit(limit).collect())
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` provably has <= ``max_rows`` rows."""
+    return F.broadcast(df) if bounded_count(df, max_rows + 1) <= max_rows else df
 
 
 def broadcast_bounded_by(df: DataFrame, domain: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -31,8 +37,7 @@ def broadcast_bounded_by(df: DataFrame, domain: DataFrame, max_rows: int = BROAD
     row count is at most the dimension size plus one NULL group, so the cheap
     bounded count runs on the dimension and never re-computes the aggregate.
     """
-    n = domain.limit(max_rows).count()
-    return F.broadcast(df) if n < max_rows else df
+    return F.broadcast(df) if bounded_count(domain, max_rows) < max_rows else df
 
 
 def limited_broadcast(df: DataFrame, n: int) -> DataFrame:

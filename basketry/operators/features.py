@@ -12,12 +12,11 @@ occurrence number of a product in a user's history, not a count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.encode import binary_encode
-from pyspark import StorageLevel
-
 from basketry.functions.joins import broadcast_bounded_by, bounded_broadcast, null_safe_join
 from basketry.functions.nulls import fill_zero, r_sum
 from basketry.operators.ranking import block_row_number
@@ -168,7 +167,8 @@ def product_feature_wide(base: DataFrame, tables: Tables) -> DataFrame:
     return binary_encode(attrs, ENCODED_COLS)
 
 
-def feature_table(tables: Tables, scope: str = "train", materialize_base: bool = True) -> DataFrame:
+def feature_table(tables: Tables, scope: str = "train", materialize_base: bool = True,
+                  base: DataFrame | None = None, fit_on: Column | None = None) -> DataFrame:
     """One row per order line with product, aisle, department and user features.
 
     Steps as upstream: product features joined to the line table, user features
@@ -185,15 +185,26 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
 
     The enriched line table feeds five aggregates and the final join; with
     ``materialize_base`` it is written once to the shared checkpoint folder
-    and every branch scans only the columns it needs.
+    and every branch scans only the columns it needs. A ``base`` already
+    built by :func:`enriched_line_base` can be passed in.
+
+    ``fit_on`` (a boolean column, e.g. the training side of the split) turns
+    off the label leakage of the upstream table: product, aisle, department
+    and user measures are aggregated over the matching rows only and joined
+    onto every row; rows whose product or user has no fitted row get NULL
+    measures. Without it the measures use every row, as upstream.
     """
-    base = enriched_line_base(tables, scope)
-    if materialize_base:
-        base = materialize(base, "line_base")
-    wide = product_feature_wide(base, tables)
+    if base is None:
+        base = enriched_line_base(tables, scope)
+        if materialize_base:
+            base = materialize(base, "line_base")
+    fit = base if fit_on is None else base.filter(fit_on)
+    wide = product_feature_wide(fit, tables)
     wide_cols = wide.columns
-    out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", "inner")
-    users = user_features(base)
+    # with every row fitted, each product of the lines has a row in ``wide``
+    how = "inner" if fit_on is None else "left"
+    out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", how)
+    users = user_features(fit)
     out = out.join(users, "user_id", "left")
     base_rest = [c for c in base.columns if c != "product_id"]
     out = out.select(*wide_cols, *base_rest, *USER_MEASURES)

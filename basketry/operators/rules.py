@@ -95,8 +95,10 @@ def pair_rules(baskets: DataFrame, min_support: float, min_confidence: float) ->
         F.array("x").alias("antecedent"), F.array("y").alias("consequent"),
         (F.col("count") / big_n).alias("support"),
         (F.col("count") / F.col("nx").cast("double")).alias("confidence"),
-        # count*N / (nx*ny) in exact integer products, so lift(x->y) == lift(y->x) bit for bit
-        ((F.col("count") * F.lit(n)).cast("double") / (F.col("nx") * F.col("ny")).cast("double")).alias("lift"),
+        # count*N / (nx*ny) as double products (64-bit integers overflow at ~1e10 baskets); the
+        # products commute, so lift(x->y) == lift(y->x) bit for bit
+        ((F.col("count").cast("double") * big_n) / (F.col("nx").cast("double") * F.col("ny").cast("double")))
+        .alias("lift"),
         (F.col("nx") / big_n).alias("coverage"),
         F.col("count"),
     )

@@ -36,7 +36,7 @@ from basketry.operators import rule_charts as ch
 from basketry.operators import rules as ru
 from basketry.operators import split as sp
 from basketry.functions.encode import binary_encode
-from basketry.session import scratch_path
+from basketry.session import materialize, scratch_path
 from basketry.sources.fixtures import tpch_tables
 from basketry.sources.tables import Tables
 
@@ -73,7 +73,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.tables: Tables = tpch_tables(spark, sf_dir, "dense", persist=True)
+        self.tables: Tables = tpch_tables(spark, sf_dir, "dense", materialize_tables=True)
         self._memo: dict = {}
 
     @classmethod
@@ -90,7 +90,8 @@ class Context:
 
     # shared plans
     def base(self) -> DataFrame:
-        return self.memo("base", lambda: fe.enriched_line_base(self.tables, FEATURE_SCOPE))
+        """Enriched line table of the feature scope, written once to the shared folder."""
+        return self.memo("base", lambda: materialize(fe.enriched_line_base(self.tables, FEATURE_SCOPE), "line_base"))
 
     def features(self) -> DataFrame:
         """The feature table, written once to the shared folder and read back.
@@ -100,7 +101,7 @@ class Context:
         """
         def build():
             path = _scratch(self.spark, "features")
-            fe.feature_table(self.tables, FEATURE_SCOPE).write.mode("overwrite").parquet(path)
+            fe.feature_table(self.tables, FEATURE_SCOPE, base=self.base()).write.mode("overwrite").parquet(path)
             return self.spark.read.parquet(path)
         return self.memo("features", build)
 

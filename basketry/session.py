@@ -19,14 +19,44 @@ ENGINE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict:
+    """Shuffle and scan sizing for an input of ``input_bytes``.
+
+    Scans split files into ``target_partition_bytes`` pieces. Shuffled data is
+    much smaller than the input (pruned columns, partial aggregates), so the
+    initial shuffle width gives each reducer about 1 GB of *input* (between 200
+    and 100k partitions); AQE coalesces small reducers and splits skewed ones
+    at run time, so the width only has to be large enough, never exact. For
+    100 TB this starts shuffles at 100k partitions.
+    """
+    width = int(min(MAX_SHUFFLE_PARTITIONS, max(200, input_bytes // (1024 * MB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "basketry", extra: dict | None = None,
-                  driver_memory: str = "16g") -> SparkSession:
+                  driver_memory: str = "16g", input_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine settings applied.
 
     ``driver_memory`` only matters in local mode, where the driver JVM is the
     whole engine; on a cluster it is set by the submit configuration.
+    ``input_bytes`` (total size of the order-line input) sizes scans and
+    shuffles through :func:`scale_conf`.
     """
+    if input_bytes:
+        extra = {**scale_conf(input_bytes), **(extra or {})}
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", driver_memory))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.joins import bounded_broadcast
 from basketry.operators.ranking import block_row_number
+from basketry.session import materialize
 from basketry.sources.tables import Tables
 
 DEPARTMENTS_PER_AISLE = 6
@@ -113,12 +114,15 @@ def _lines(lineitem: DataFrame, part_products: DataFrame, orders: DataFrame) ->
                      "eval_set")
 
 
-def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persist: bool = False) -> Tables:
+def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persist: bool = False,
+                materialize_tables: bool = False) -> Tables:
     """Build :class:`Tables` from ``orders``, ``lineitem`` and ``part`` under ``sf_dir``.
 
     ``persist=True`` keeps the derived tables (memory, spilling to disk) so that
     many queries in one session derive them once; lost blocks are recomputed
-    from the lineage.
+    from the lineage. ``materialize_tables=True`` instead writes them once as
+    Parquet to the shared checkpoint folder: later plans start from plain
+    scans (with pushed filters and pruned columns) and the lineage is cut.
     """
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     aisles, departments = _dimensions(part)
@@ -126,7 +130,11 @@ def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persis
     products = pp.select("product_id", "product_name", "aisle_id", "department_id").distinct()
     orders = _orders(_read(spark, sf_dir, "orders"))
     lines = _lines(_read(spark, sf_dir, "lineitem"), pp, orders)
-    if persist:
+    if materialize_tables:
+        orders, lines = materialize(orders, "fx_orders"), materialize(lines, "fx_lines")
+        products, aisles, departments = (materialize(products, "fx_products"), materialize(aisles, "fx_aisles"),
+                                         materialize(departments, "fx_departments"))
+    elif persist:
         level = StorageLevel.MEMORY_AND_DISK
         orders, lines = orders.persist(level), lines.persist(level)
         products, aisles, departments = (products.persist(level), aisles.persist(level),

@@ -63,3 +63,16 @@ def test_feature_table_shape_and_order(spark):
     assert n == base.count() == ft.distinct().count()
     assert ft.filter(F.col("std_dow").isNull()).count() == 0
     assert len(ft.columns) == 1 + 7 + 5 + 5 + 4 + 10 + 11 + 1
+
+
+def test_leakage_free_measures_use_fitted_rows_only(spark):
+    t = small_tables(spark)
+    fit = F.col("order_number") < 3  # the latest order of user 1 is held out
+    ft = fe.feature_table(t, "all", fit_on=fit)
+    full = fe.feature_table(t, "all")
+    assert ft.count() == full.count()
+    r = {(x["order_number"], x["add_to_cart_order"]): x for x in ft.filter("user_id = 1").collect()}
+    # user 1 fitted on orders 1-2 only: 4 lines, 1 reorder
+    assert r[(3, 1)]["total_products_by_user"] == 4 and r[(3, 1)]["total_reorders_by_user"] == 1
+    # product 13 only appears in the held-out order: no fitted product measures
+    assert r[(3, 4)]["total_orders"] is None
