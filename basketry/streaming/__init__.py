@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analyses read static files only (order tables written once); there is no
+watermark, window, late-data rule or stateful operator to carry over, so no
+streaming operator is provided. The batch operators accept any DataFrame and
+can be applied per micro-batch through ``foreachBatch`` if a caller needs to.
+"""

@@ -41,9 +41,13 @@ HEADLINE = [
 ]
 
 
-def sf_label(path: str) -> str:
+def sf_label(path: str):
     base = os.path.basename(os.path.normpath(path))
-    return base[2:] if base.startswith("sf") else base
+    label = base[2:] if base.startswith("sf") else base
+    try:
+        return float(label)
+    except ValueError:
+        return label
 
 
 def run(name: str, spark) -> float:
