@@ -222,6 +222,43 @@ fx_rules_all AS (
 fx_rules AS (SELECT * FROM fx_rules_all WHERE confidence >= 0.05)
 """
 
+# Itemsets up to 4 items by ordered self-joins of the frequent (order, item) rows inside baskets.
+# At the check scale no frequent itemset has more than 2 items, so the bound is not reached; a
+# larger frequent itemset found by the miner would show up as a mismatch, not be hidden.
+ITEMSETS = """,
+fx_minc AS (SELECT ceil(CAST(0.001 AS DOUBLE) * n) AS m FROM fx_n),
+fx_i1 AS (SELECT item AS i1, count(*) AS c FROM fx_oi GROUP BY item
+          HAVING count(*) >= (SELECT m FROM fx_minc)),
+fx_f1 AS (SELECT o.order_id, o.item FROM fx_oi o JOIN fx_i1 f ON o.item = f.i1),
+fx_i2 AS (SELECT a.item AS i1, b.item AS i2, count(*) AS c
+          FROM fx_f1 a JOIN fx_f1 b ON a.order_id = b.order_id AND a.item < b.item
+          GROUP BY 1, 2 HAVING count(*) >= (SELECT m FROM fx_minc)),
+fx_i3 AS (SELECT a.item AS i1, b.item AS i2, c.item AS i3, count(*) AS c
+          FROM fx_f1 a JOIN fx_f1 b ON a.order_id = b.order_id AND a.item < b.item
+          JOIN fx_f1 c ON c.order_id = a.order_id AND b.item < c.item
+          GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT m FROM fx_minc)),
+fx_i4 AS (SELECT a.item AS i1, b.item AS i2, c.item AS i3, d.item AS i4, count(*) AS c
+          FROM fx_f1 a JOIN fx_f1 b ON a.order_id = b.order_id AND a.item < b.item
+          JOIN fx_f1 c ON c.order_id = a.order_id AND b.item < c.item
+          JOIN fx_f1 d ON d.order_id = a.order_id AND c.item < d.item
+          GROUP BY 1, 2, 3, 4 HAVING count(*) >= (SELECT m FROM fx_minc)),
+fx_sets AS (SELECT [i1] AS items, c FROM fx_i1
+            UNION ALL SELECT [i1, i2], c FROM fx_i2
+            UNION ALL SELECT [i1, i2, i3], c FROM fx_i3
+            UNION ALL SELECT [i1, i2, i3, i4], c FROM fx_i4),
+fx_parts AS (SELECT items, c AS cs, unnest(items) AS y FROM fx_sets WHERE len(items) >= 2),
+fx_fp AS (SELECT list_filter(items, lambda x: x <> y) AS ant, y, cs FROM fx_parts),
+fx_fp_rules AS (
+  SELECT '{' || array_to_string(r.ant, ',') || '}' AS lhs, '{' || r.y || '}' AS rhs,
+         CAST(r.cs AS DOUBLE) / n AS support,
+         CAST(r.cs AS DOUBLE) / sx.c AS confidence,
+         (CAST(r.cs AS DOUBLE) / sx.c) / (CAST(iy.c AS DOUBLE) / n) AS lift,
+         (CAST(r.cs AS DOUBLE) / n) / (CAST(r.cs AS DOUBLE) / sx.c) AS coverage,
+         CAST(r.cs AS BIGINT) AS count
+  FROM fx_fp r JOIN fx_sets sx ON sx.items = r.ant JOIN fx_i1 iy ON iy.i1 = r.y CROSS JOIN fx_n
+  WHERE CAST(r.cs AS DOUBLE) / sx.c >= 0.05)
+"""
+
 RULE_OUT = (f"lhs, rhs, {r('support', 'support')}, {r('confidence', 'confidence')}, {r('lift', 'lift')}, "
             f"{r('coverage', 'coverage')}, count")
 
@@ -396,6 +433,10 @@ FROM (SELECT CAST(count_if(prediction = 0 AND reordered = 0) AS DOUBLE) AS a,
     q["frequent_pairs"] = ft(A, RULES, f"SELECT x || ', ' || y AS items, count AS freq, {r('support', 'support')} "
                                        "FROM fx_rules_all WHERE x < y")
     q["pair_rules"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules")
+    q["frequent_itemsets"] = ft(A, RULES + ITEMSETS, f"SELECT array_to_string(items, ', ') AS items, "
+                                                     f"CAST(c AS BIGINT) AS freq, {r('CAST(c AS DOUBLE) / n', 'support')} "
+                                                     "FROM fx_sets CROSS JOIN fx_n")
+    q["association_rules"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules")
     q["top_rules"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1 "
                                   "ORDER BY lift DESC, support DESC, x, y LIMIT 5")
     q["rule_scatter"] = ft(A, RULES, f"SELECT lhs, rhs, {r('support', 'support')}, {r('lift', 'lift')}, "

@@ -397,9 +397,10 @@ def q_rule_groups(spark, d):
 def q_assembled_width(spark, d):
     ft = sp.split_train(_ctx(spark, d).features()).drop("eval_set")
     cols = mo.feature_columns(ft)
-    vec = mo.assembler(cols).transform(ft.limit(1))
-    return vec.select(F.lit(len(cols)).cast("long").alias("n_inputs"),
-                      F.size(vector_to_array("features")).cast("long").alias("vector_size"))
+    size = F.size(vector_to_array("features"))
+    return mo.assembler(cols).transform(ft).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(len(cols)).cast("long").alias("n_inputs"),
+        F.min(size).cast("long").alias("min_vector_size"), F.max(size).cast("long").alias("max_vector_size"))
 
 
 def q_model_scores(spark, d):
