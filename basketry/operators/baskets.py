@@ -50,12 +50,11 @@ def baskets(named_lines: DataFrame, item_col: str = "product_name") -> DataFrame
     Products sharing a name merge into one item (the upstream incidence table
     has one column per name). Because only top-N items reach this step a
     basket holds at most N items, so the per-order set is bounded even when
-    one order is huge; the distinct (order, item) pairs are formed by a
-    partial aggregate before the shuffle.
+    one order is huge; ``collect_set`` is aggregated partially on the map
+    side, so each task ships at most N names per order in one shuffle.
     """
-    pairs = named_lines.filter(F.col(item_col).isNotNull()).select("order_id", F.col(item_col).alias("item")) \
-        .distinct()
-    return pairs.groupBy("order_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    named = named_lines.filter(F.col(item_col).isNotNull())
+    return named.groupBy("order_id").agg(F.sort_array(F.collect_set(item_col)).alias("items"))
 
 
 def basket_incidence(named_lines: DataFrame, item_values: list[str], item_col: str = "product_name") -> DataFrame:

@@ -49,21 +49,25 @@ def item_counts(baskets: DataFrame) -> DataFrame:
     return baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pair_counts(baskets: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
+def pair_counts(baskets: DataFrame, items: list[str]) -> DataFrame:
     """(a, b, count) for every ordered pair of frequent items, a != b, count > 0.
 
-    ``frequent`` holds ``item, idx`` with idx in 0..k-1 (broadcast: k is bounded).
+    ``items`` are the k frequent items; a and b are positions in that list.
+    k is bounded, so the item -> position lookup is a literal map applied
+    inside each basket row (no shuffle). Each (basket, item a) row then carries the basket's 0/1 vector,
+    and the vectors are summed per a with partial aggregation: one shuffle of
+    at most k vectors per task.
     """
-    idx = F.broadcast(frequent.select("item", "idx"))
-    exploded = baskets.select("order_id", F.explode("items").alias("item")).join(idx, "item", "inner")
-    ids = exploded.groupBy("order_id").agg(F.collect_list("idx").alias("ids"))
+    k = len(items)
+    lookup = F.create_map(*[x for i, item in enumerate(items) for x in (F.lit(item), F.lit(i))])
+    ids = F.filter(F.transform("items", lambda x: lookup[x]), lambda i: i.isNotNull())
     indicator = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                             lambda j: F.when(F.array_contains(F.col("ids"), j), F.lit(1.0)).otherwise(F.lit(0.0)))
-    rows = ids.select(F.col("ids"), array_to_vector(indicator).alias("ind")) \
+    rows = baskets.select(ids.alias("ids")).select(F.col("ids"), array_to_vector(indicator).alias("ind")) \
         .select(F.explode("ids").alias("a"), "ind")
     sums = rows.groupBy("a").agg(Summarizer.sum(F.col("ind")).alias("co"))
-    pairs = sums.select("a", F.posexplode(vector_to_array("co")).alias("b", "cnt"))
-    return pairs.filter((F.col("a") != F.col("b")) & (F.col("cnt") > 0)) \
+    out = sums.select("a", F.posexplode(vector_to_array("co")).alias("b", "cnt"))
+    return out.filter((F.col("a") != F.col("b")) & (F.col("cnt") > 0)) \
         .select("a", "b", F.col("cnt").cast("long").alias("count"))
 
 
@@ -86,7 +90,7 @@ def pair_rules(baskets: DataFrame, min_support: float, min_confidence: float) ->
                                      "item string, n long, idx int")
     if k == 0:
         return pair_rules(baskets.limit(0), min_support, min_confidence)
-    pc = pair_counts(baskets, frequent, k).filter(F.col("count") >= need)
+    pc = pair_counts(baskets, [item for item, _ in rows]).filter(F.col("count") >= need)
     fa = F.broadcast(frequent.select(F.col("idx").alias("a"), F.col("item").alias("x"), F.col("n").alias("nx")))
     fb = F.broadcast(frequent.select(F.col("idx").alias("b"), F.col("item").alias("y"), F.col("n").alias("ny")))
     r = pc.join(fa, "a").join(fb, "b")
