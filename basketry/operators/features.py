@@ -87,6 +87,13 @@ def enriched_line_base(tables: Tables, scope: str = "train") -> DataFrame:
     return with_occurrence_number(with_user_unique_products(order_line_base(tables, scope)))
 
 
+def occurrence_line_base(tables: Tables, scope: str = "train") -> DataFrame:
+    """Line base with the occurrence number but without the per-user distinct
+    product count: what the aggregates need (the count is added later from the
+    user measures, where it is ``total_unique_product_by_user``)."""
+    return with_occurrence_number(order_line_base(tables, scope))
+
+
 def _group_measures(prefix: str) -> list:
     return [
         F.avg("add_to_cart_order").alias(f"{prefix}mean_add_to_cart_order"),
@@ -195,19 +202,28 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
     measures. Without it the measures use every row, as upstream.
     """
     if base is None:
-        base = enriched_line_base(tables, scope)
+        base = occurrence_line_base(tables, scope)
         if materialize_base:
             base = materialize(base, "line_base")
+    if fit_on is not None and "unique_product_count" not in base.columns:
+        # the distinct product count uses no label, so it stays over every line
+        base = with_user_unique_products(base)
     fit = base if fit_on is None else base.filter(fit_on)
     wide = product_feature_wide(fit, tables)
     wide_cols = wide.columns
     # with every row fitted, each product of the lines has a row in ``wide``
     how = "inner" if fit_on is None else "left"
     out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", how)
+    # one join by user brings the user measures and the distinct product count
+    # (the same number as total_unique_product_by_user), so the line table is
+    # shuffled by user once
     users = user_features(fit)
+    if "unique_product_count" not in base.columns:
+        users = users.withColumn("unique_product_count", F.col("total_unique_product_by_user"))
     out = out.join(users, "user_id", "left")
-    base_rest = [c for c in base.columns if c != "product_id"]
-    out = out.select(*wide_cols, *base_rest, *USER_MEASURES)
+    line_cols = [c for c in base.columns if c not in ("product_id", "unique_product_count",
+                                                      "user_buy_product_times")]
+    out = out.select(*wide_cols, *line_cols, "unique_product_count", "user_buy_product_times", *USER_MEASURES)
     out = fill_zero(out, STD_COLS)
     out = out.drop("order_id", "product_name", "aisle_id")
     return out.select(*[c for c in out.columns if c != "reordered"], "reordered")
