@@ -26,23 +26,35 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 
 def block_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
-                     block_key: Column, block_size: int, name: str) -> DataFrame:
+                     block_key: Column, block_size: int, name: str, null_keys: bool = False) -> DataFrame:
     """Add ``name`` = 1-based row number per ``partition_by`` in ``order_by`` order.
 
     ``block_key`` must be numeric and never decrease along ``order_by`` inside a
     group (it is usually the first ordering column). Rows are numbered exactly
     as ``row_number()`` would number them; the result is a LONG column.
+
+    The offsets join back on the plain key columns, so its shuffle already
+    clusters the rows for the in-block window (one shuffle of ``df``). Group
+    keys are ids that are never NULL in this data model; with
+    ``null_keys=True`` rows having a NULL key are numbered in a separate plain
+    window and added back.
     """
     keyed = df.withColumn(_BLK, F.floor(block_key / F.lit(block_size)).cast("long"))
+    if null_keys:
+        has_null = F.lit(False)
+        for c in partition_by:
+            has_null = has_null | F.col(c).isNull()
+        nulls = keyed.filter(has_null)
+        keyed = keyed.filter(~has_null)
     counts = keyed.groupBy(*partition_by, _BLK).agg(F.count(F.lit(1)).alias(_CNT))
     before = (Window.partitionBy(*partition_by).orderBy(_BLK)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*[F.col(c).alias(f"__o_{c}") for c in partition_by],
-                            F.col(_BLK).alias("__o_blk"),
-                            F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
-    cond = [keyed[c].eqNullSafe(offsets[f"__o_{c}"]) for c in partition_by]
-    cond.append(keyed[_BLK] == offsets["__o_blk"])
-    joined = keyed.join(offsets, on=cond, how="inner")
+    offsets = counts.select(*partition_by, _BLK, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    joined = keyed.join(offsets, on=[*partition_by, _BLK], how="inner")
     inside = Window.partitionBy(*partition_by, _BLK).orderBy(*_cols(order_by))
     out = joined.withColumn(name, (F.row_number().over(inside) + F.col(_OFF)).cast("long"))
-    return out.drop(_BLK, _OFF, "__o_blk", *[f"__o_{c}" for c in partition_by])
+    out = out.select(*df.columns, name)
+    if null_keys:
+        plain = Window.partitionBy(*partition_by).orderBy(*_cols(order_by))
+        out = out.unionByName(nulls.withColumn(name, F.row_number().over(plain).cast("long")).select(*df.columns, name))
+    return out

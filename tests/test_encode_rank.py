@@ -33,3 +33,9 @@ def test_block_row_number_matches_row_number_with_hot_key(spark):
     got = block_row_number(df, ["g"], ["k", "t", "id"], F.col("k"), 16, "rn")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "t", "id")))
     assert sorted(map(tuple, got.select("id", "rn").collect())) == sorted(map(tuple, want.select("id", "rn").collect()))
+
+
+def test_block_row_number_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 2, 2), (1, 5, 3), (1, 3, 4)], "g int, k int, id int")
+    got = block_row_number(df, ["g"], ["k", "id"], F.col("k"), 2, "rn", null_keys=True)
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == [(1, 1), (2, 2), (3, 2), (4, 1)]
