@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketry.config import LABEL_COL, LABEL_RIGHT, LABEL_WRONG
 
 PRED_COL = "prediction"
+# Outcome column names "sucesso" and "contagem" (labels "sim" / "não" in config).
 
 
 def threshold(df: DataFrame, score_col: str, t: float, out_col: str = PRED_COL) -> DataFrame:

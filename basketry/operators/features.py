@@ -23,6 +23,8 @@ from basketry.operators.ranking import block_row_number
 from basketry.session import materialize
 from basketry.sources.tables import Tables
 
+# Column names of the input tables and of the feature measures, as upstream
+# (including the spelling "reorder_propotion_by_user").
 ORDER_COLS = ["order_id", "user_id", "eval_set", "order_number", "order_dow", "order_hour_of_day",
               "days_since_prior_order"]
 LINE_COLS = ["product_id", "add_to_cart_order", "reordered"]

@@ -14,6 +14,8 @@ from basketry.config import ID_SEPARATOR, LABEL_COL, NAME_SEPARATOR
 from basketry.functions.joins import bounded_broadcast
 from basketry.operators.evaluate import PRED_COL
 
+# List column names "produtos_previstos", "produtos_reais" and "produtos", as upstream.
+
 
 def _ordered_list(rows: DataFrame, text_col: str, sep: str, out_col: str) -> DataFrame:
     """``user_id, out_col``: ``text_col`` repeated ``copies`` times, joined by ``sep`` in product id order."""
