@@ -34,7 +34,10 @@ MAPPINGS = ("dense", "part")
 
 # block sizes for the skew-safe running numbers (rows of one block must fit a task)
 ORDER_DATE_BLOCK_DAYS = 32
-LINE_NUMBER_BLOCK = 1
+# cart position: blocks of a composite key (line number, then part key) that grows along the
+# ordering, so one huge order splits by line number and by part-key ranges of this width
+PART_KEY_BITS = 40  # part keys stay below 2**40 (about 1.1e12)
+PART_KEY_BLOCK = 1 << 24
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,7 +106,8 @@ def _lines(lineitem: DataFrame, part_products: DataFrame, orders: DataFrame) ->
         li, ["order_id"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
          "l_discount", "l_tax"],
-        F.col("l_linenumber"), LINE_NUMBER_BLOCK, "add_to_cart_order")
+        F.col("l_linenumber").cast("long") * F.lit(1 << PART_KEY_BITS) + F.col("l_partkey"), PART_KEY_BLOCK,
+        "add_to_cart_order")
     li = li.select("order_id", "product_id", F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
     lo = li.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
     # reordered: the user bought this product in an earlier order (min is a partial aggregate)
