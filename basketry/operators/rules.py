@@ -72,7 +72,11 @@ def pair_counts(baskets: DataFrame, items: list[str]) -> DataFrame:
 
 
 def pair_rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
-    """Rules {x} -> {y}; array columns ``antecedent``/``consequent`` as FP-growth gives them."""
+    """Rules {x} -> {y}; array columns ``antecedent``/``consequent`` as FP-growth gives them.
+
+    Runs two small actions (basket count, frequent item counts) before the
+    lazy result; callers should persist ``baskets`` if it is expensive.
+    """
     n = basket_count(baskets)
     spark = baskets.sparkSession
     if n == 0:

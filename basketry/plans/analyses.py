@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
@@ -39,7 +40,9 @@ class RuleResult:
 
 def basket_rules(tables: Tables, scope: str = "train", params: RuleParams = RuleParams(),
                  miner: str = "fpgrowth") -> RuleResult:
-    b = basket_frame(tables, scope, params.top_n)
+    # the baskets feed the basket count, the item counts and the miner: keep them once
+    # (memory, spilling to disk; lost blocks are recomputed from the lineage)
+    b = basket_frame(tables, scope, params.top_n).persist(StorageLevel.MEMORY_AND_DISK)
     if miner == "pairs":
         rules = ru.pair_rules(b, params.min_support, params.min_confidence)
     else:

@@ -63,3 +63,20 @@ def test_top_rules_filter_and_order(spark):
     top = ru.top_rules(ru.pair_rules(b, 0.1, 0.0), 3).collect()
     lifts = [r["lift"] for r in top]
     assert all(x > 1 for x in lifts) and lifts == sorted(lifts, reverse=True)
+
+
+def test_rule_counts_match_fixture_figures(spark, sf_small):
+    """FIXTURES.md section 5: mapping A names, whole history, support 0.001, confidence 0.2 at sf0.001
+    gives 8 / 2,318 / 184 / 0 rules by antecedent size 1 / 2 / 3 / 4, and 2,510 with lift > 1."""
+    from basketry.config import RuleParams
+    from basketry.plans import analyses
+    from basketry.sources.fixtures import tpch_tables
+
+    t = tpch_tables(spark, sf_small, materialize_tables=True)
+    res = analyses.basket_rules(t, "all", RuleParams(min_confidence=0.2))
+    by_size = {r["k"]: r["n"] for r in res.rules.groupBy(F.size("antecedent").alias("k")).count()
+               .withColumnRenamed("count", "n").collect()}
+    assert by_size == {1: 8, 2: 2318, 3: 184}
+    assert ru.filter_lift(res.rules).count() == 2510
+    pairs = analyses.basket_rules(t, "all", RuleParams(min_confidence=0.2), miner="pairs").rules
+    assert pairs.count() == 8
