@@ -39,3 +39,28 @@ def split_balance(df: DataFrame, percent: int = TRAIN_FRACTION_PERCENT, label: s
     part = F.when(split_bucket() < percent, F.lit("train")).otherwise(F.lit("holdout"))
     return df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"),
                                               F.avg(label).alias("label_share"))
+
+
+# hash order inside a class: 2**64 hash values cut into blocks of 2**44 (at most 2**20 blocks)
+_HASH_BLOCK = 1 << 44
+
+
+def split_stratified(df: DataFrame, percent: int = TRAIN_FRACTION_PERCENT, label: str = LABEL_COL,
+                     train: bool = True) -> DataFrame:
+    """Exact per-class split: in every label class, the first ceil(n_class * percent / 100)
+    rows by a hash of the row key are training rows, the rest hold-out rows.
+
+    A class is a huge group (one class may hold most rows), so the rank inside
+    it is computed with the block-wise running number rather than a window
+    over the class; the class sizes come from one aggregate (one row per class).
+    """
+    from basketry.operators.ranking import block_row_number
+
+    h = F.xxhash64("user_id", "order_number", "product_id", "add_to_cart_order")
+    keyed = df.withColumn("__h", h)
+    ranked = block_row_number(keyed, [label], ["__h", "user_id", "order_number", "product_id", "add_to_cart_order"],
+                              F.col("__h"), _HASH_BLOCK, "__rank")
+    sizes = df.groupBy(label).agg(F.ceil(F.count(F.lit(1)) * F.lit(percent) / F.lit(100)).alias("__k"))
+    cut = ranked.join(F.broadcast(sizes), label, "inner")  # one row per class
+    side = F.col("__rank") <= F.col("__k")
+    return cut.filter(side if train else ~side).select(*df.columns)

@@ -390,6 +390,12 @@ FROM fx_hold WHERE prediction = 1 GROUP BY user_id""")
 SELECT CASE WHEN {bucket} < 80 THEN 'train' ELSE 'holdout' END AS part, count(*) AS n_rows,
        {r('avg(reordered)', 'label_share')} FROM fx_ft GROUP BY 1""")
 
+    q["split_stratified_balance"] = ft(T, feat_ctes, """
+SELECT 'train' AS part, reordered, CAST(ceil(count(*) * 80 / 100.0) AS BIGINT) AS n_rows FROM fx_ft GROUP BY reordered
+UNION ALL
+SELECT 'holdout' AS part, reordered, CAST(count(*) - ceil(count(*) * 80 / 100.0) AS BIGINT) AS n_rows
+FROM fx_ft GROUP BY reordered""")
+
     # aggregations / window
     q["product_frequency"] = ft(A, RULES, "SELECT product_id, frequency FROM fx_freq")
     q["product_features"] = ft(T, feat_ctes, f"SELECT {select_cols(['product_id', *PRODUCT_MEASURES], DOUBLE_MEASURES)} "

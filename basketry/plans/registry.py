@@ -308,6 +308,16 @@ def q_split_balance(spark, d):
     return sp.split_balance(_ctx(spark, d).features())
 
 
+def q_split_stratified_balance(spark, d):
+    """M1 option: exact per-class 80 / 20 split; rows per (side, class)."""
+    ft = _ctx(spark, d).features()
+    tr = sp.split_stratified(ft).groupBy(F.lit("train").alias("part"), LABEL_COL).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    ho = sp.split_stratified(ft, train=False).groupBy(F.lit("holdout").alias("part"), LABEL_COL).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return tr.unionByName(ho)
+
+
 # ---------------------------------------------------------------- aggregations / window
 def q_product_frequency(spark, d):
     return bk.product_frequency(_ctx(spark, d).tables.lines(BASKET_SCOPE))

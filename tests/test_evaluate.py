@@ -62,3 +62,16 @@ def test_split_partitions_rows(spark):
     tr, ho = sp.split_train(df), sp.split_holdout(df)
     assert tr.count() + ho.count() == df.count()
     assert tr.intersect(ho).count() == 0
+
+
+def test_stratified_split_exact_shares(spark):
+    from pyspark.sql import functions as F
+    data = [(u, o, p, c, 1 if (u * 7 + p) % 5 == 0 else 0)
+            for u in range(1, 40) for o in range(1, 4) for p in (3, 8, 11) for c in (1, 2)]
+    df = spark.createDataFrame(data, "user_id long, order_number int, product_id long, add_to_cart_order int, "
+                                     "reordered int")
+    tr, ho = sp.split_stratified(df), sp.split_stratified(df, train=False)
+    assert tr.count() + ho.count() == df.count() and tr.intersect(ho).count() == 0
+    import math
+    for cls, n in {r["reordered"]: r["count"] for r in df.groupBy("reordered").count().collect()}.items():
+        assert tr.filter(F.col("reordered") == cls).count() == math.ceil(n * 0.8)
