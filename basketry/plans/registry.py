@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.config import LABEL_COL, TOP_RULES, ModelParams
+from basketry.config import LABEL_COL, ROUNDS_FIRST, ROUNDS_SECOND, TOP_RULES, ModelParams
 from basketry.operators import baskets as bk
 from basketry.operators import evaluate as ev
 from basketry.operators import features as fe
@@ -49,7 +49,7 @@ EVAL_THRESHOLD = 0.7
 STAND_IN_SCORE = "reorder_propotion_by_user"
 PREVIEW_ROWS = 6
 DOUBLE_DECIMALS = 9
-SMOKE_ROUNDS = (50, 70)
+MODEL_ROUNDS = (ROUNDS_FIRST, ROUNDS_SECOND)
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -414,20 +414,20 @@ def q_assembled_width(spark, d):
 
 
 def q_model_scores(spark, d):
-    return _ctx(spark, d).model_scores(SMOKE_ROUNDS[0])
+    return _ctx(spark, d).model_scores(MODEL_ROUNDS[0])
 
 
 def q_model_scores_70(spark, d):
-    return _ctx(spark, d).model_scores(SMOKE_ROUNDS[1])
+    return _ctx(spark, d).model_scores(MODEL_ROUNDS[1])
 
 
 def q_model_roundtrip(spark, d):
     c = _ctx(spark, d)
     path = _scratch(spark, "model")
-    mo.save(c.model(SMOKE_ROUNDS[0]), path)
+    mo.save(c.model(MODEL_ROUNDS[0]), path)
     loaded = mo.load(path)
     test = sp.split_holdout(c.features()).drop("eval_set")
-    a = mo.score(c.model(SMOKE_ROUNDS[0]), test).select("user_id", "order_number", "add_to_cart_order",
+    a = mo.score(c.model(MODEL_ROUNDS[0]), test).select("user_id", "order_number", "add_to_cart_order",
                                                           F.col("score").alias("score_fitted"))
     b = mo.score(loaded, test).select("user_id", "order_number", "add_to_cart_order",
                                       F.col("score").alias("score_loaded"))
