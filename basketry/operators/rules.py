@@ -54,9 +54,9 @@ def pair_counts(baskets: DataFrame, items: list[str]) -> DataFrame:
 
     ``items`` are the k frequent items; a and b are positions in that list.
     k is bounded, so the item -> position lookup is a literal map applied
-    inside each basket row (no shuffle). Each (basket, item a) row then carries the basket's 0/1 vector,
-    and the vectors are summed per a with partial aggregation: one shuffle of
-    at most k vectors per task.
+    inside each basket row (no shuffle). Each (basket, item a) row then
+    carries the basket's 0/1 vector, and the vectors are summed per a with
+    partial aggregation: one shuffle of at most k vectors per task.
     """
     k = len(items)
     lookup = F.create_map(*[x for i, item in enumerate(items) for x in (F.lit(item), F.lit(i))])
