@@ -7,6 +7,10 @@ import os
 
 import duckdb
 
+# decimals kept when comparing doubles; both sides already round to 9, so
+# BASKETRY_EXACT=1 compares them exactly as a value hash would
+DECIMALS = None if os.environ.get("BASKETRY_EXACT") == "1" else 6
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -31,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if DECIMALS is None else round(v, DECIMALS)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "tolist"):
