@@ -12,7 +12,7 @@ from basketry.sources.csv import read_csv_tables
 from basketry.sources.fixtures import tpch_tables
 
 
-def test_model_seeded_and_beats_nothing_worse_than_majority(spark, sf_small, tmp_path):
+def test_model_seeded_and_near_majority_baseline(spark, sf_small, tmp_path):
     t = tpch_tables(spark, sf_small, materialize_tables=True)
     ft = analyses.build_feature_table(t, str(tmp_path / "ft"), "train")
     params = ModelParams(rounds=5, depth=4)
