@@ -133,9 +133,12 @@ def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persis
     pp = _part_products(part, departments, mapping)
     products = pp.select("product_id", "product_name", "aisle_id", "department_id").distinct()
     orders = _orders(_read(spark, sf_dir, "orders"))
+    if materialize_tables:
+        # written before the lines are derived, so the lines' join reads it instead of re-deriving it
+        orders = materialize(orders, "fx_orders")
     lines = _lines(_read(spark, sf_dir, "lineitem"), pp, orders)
     if materialize_tables:
-        orders, lines = materialize(orders, "fx_orders"), materialize(lines, "fx_lines")
+        lines = materialize(lines, "fx_lines")
         products, aisles, departments = (materialize(products, "fx_products"), materialize(aisles, "fx_aisles"),
                                          materialize(departments, "fx_departments"))
     elif persist:
