@@ -27,7 +27,11 @@ def top_products(lines: DataFrame, products: DataFrame, n: int) -> DataFrame:
     top-n, then a merge of n rows per partition), never a global sort.
     """
     top = product_frequency(lines).orderBy(F.desc("frequency"), F.asc("product_id")).limit(n)
-    return top.join(bounded_broadcast(products.select(*PRODUCT_COLS)), "product_id", "left") \
+    # products of the top n: the product table is streamed once against the n broadcast ids
+    # (no shuffle of the catalog, whatever its size); product_id is its key, so at most n
+    # rows match and both broadcasts are bounded by the limit
+    attrs = products.select(*PRODUCT_COLS).join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
+    return top.join(F.broadcast(attrs), "product_id", "left") \
         .select("product_id", "frequency", "product_name", "aisle_id", "department_id")
 
 
