@@ -20,13 +20,18 @@ def product_frequency(lines: DataFrame) -> DataFrame:
     return lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("frequency"))
 
 
+def top_product_frequency(lines: DataFrame, n: int) -> DataFrame:
+    """``product_id, frequency`` of the ``n`` most frequent products (ties: smaller id)."""
+    return product_frequency(lines).orderBy(F.desc("frequency"), F.asc("product_id")).limit(n)
+
+
 def top_products(lines: DataFrame, products: DataFrame, n: int) -> DataFrame:
     """T1 + J5: the ``n`` most frequent products (ties: smaller id first) with attributes.
 
     The sort + limit is planned as one TakeOrderedAndProject (per-partition
     top-n, then a merge of n rows per partition), never a global sort.
     """
-    top = product_frequency(lines).orderBy(F.desc("frequency"), F.asc("product_id")).limit(n)
+    top = top_product_frequency(lines, n)
     # products of the top n: the product table is streamed once against the n broadcast ids
     # (no shuffle of the catalog, whatever its size); product_id is its key, so at most n
     # rows match and both broadcasts are bounded by the limit
@@ -35,9 +40,9 @@ def top_products(lines: DataFrame, products: DataFrame, n: int) -> DataFrame:
         .select("product_id", "frequency", "product_name", "aisle_id", "department_id")
 
 
-def frequent_order_lines(lines: DataFrame, products: DataFrame, n: int) -> DataFrame:
+def frequent_order_lines(lines: DataFrame, n: int) -> DataFrame:
     """P3 + P7: the lines whose product is one of the top ``n`` (broadcast semi join)."""
-    keys = top_products(lines, products, n).select("product_id")
+    keys = top_product_frequency(lines, n).select("product_id")
     return lines.join(limited_broadcast(keys, n), "product_id", "left_semi") \
         .select(*lines.columns)
 

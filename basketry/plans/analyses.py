@@ -27,7 +27,7 @@ from basketry.sources.tables import Tables
 
 def basket_frame(tables: Tables, scope: str, top_n: int) -> DataFrame:
     """Baskets of product names over the lines of the ``top_n`` products."""
-    freq = bk.frequent_order_lines(tables.lines(scope), tables.products, top_n)
+    freq = bk.frequent_order_lines(tables.lines(scope), top_n)
     return bk.baskets(bk.lines_with_products(freq, tables.products))
 
 

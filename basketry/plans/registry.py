@@ -110,7 +110,7 @@ class Context:
 
     def freq_named(self) -> DataFrame:
         return self.memo("freq_named", lambda: bk.lines_with_products(
-            bk.frequent_order_lines(self.tables.lines(BASKET_SCOPE), self.tables.products, TOP_N),
+            bk.frequent_order_lines(self.tables.lines(BASKET_SCOPE), TOP_N),
             self.tables.products))
 
     def baskets(self) -> DataFrame:
@@ -213,7 +213,7 @@ def q_user_features_filled(spark, d):
 
 def q_freq_order_lines(spark, d):
     t = _ctx(spark, d).tables
-    return bk.frequent_order_lines(t.lines(BASKET_SCOPE), t.products, TOP_N)
+    return bk.frequent_order_lines(t.lines(BASKET_SCOPE), TOP_N)
 
 
 def q_feature_table(spark, d):
