@@ -34,3 +34,12 @@ def test_feature_table_reads_materialized_base(spark, sf_small):
     # one scan of the written line table, pruned to the user measures' inputs; no joins or windows re-run
     assert "Window" not in p and "Join" not in p
     assert "ReadSchema: struct<user_id:bigint,order_number:int,order_dow:int" in p
+
+
+def test_top_products_never_shuffles_the_catalog(spark):
+    from basketry.operators import baskets as bk
+    lines = spark.range(0, 2000).selectExpr("id AS order_id", "id % 50 AS product_id")
+    catalog = spark.range(0, 50).selectExpr("id AS product_id", "concat('p', id) AS product_name",
+                                            "1 AS aisle_id", "1 AS department_id")
+    p = plan(bk.top_products(lines, catalog, 10))
+    assert "SortMergeJoin" not in p and "LeftSemi" in p and "TakeOrderedAndProject" in p
