@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,8 +77,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names this folder; it is only invented here (under the system
-    temp folder) when the session has none, which is the case in local tests.
+    The cluster names this folder. Only a ``local`` session (one machine, as in
+    tests) may go without: it gets a temporary folder. Anywhere else a missing
+    setting is an error, because a machine-local folder would hold only the part
+    files of one executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -85,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         configured = tempfile.mkdtemp(prefix="basketry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -104,8 +110,6 @@ def materialize(df, name: str):
     joins and windows behind it, and the lineage is cut, so a lost executor
     costs a re-read, not a re-computation.
     """
-    import uuid
-
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
