@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from basketry.llm import op06_exact
+from basketry.llm import op01_bpe, op06_exact
 
 QUERIES: dict[str, Callable] = {
+    "op1_byte_bpe": op01_bpe.op1_byte_bpe,
     "op6_exact_dedup": op06_exact.op6_exact_dedup,
 }
 
