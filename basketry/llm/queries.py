@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from basketry.llm import op01_bpe, op03_near, op06_exact, op10_license
+from basketry.llm import op01_bpe, op03_near, op06_exact, op07_contain, op10_license
 
 QUERIES: dict[str, Callable] = {
     "op1_byte_bpe": op01_bpe.op1_byte_bpe,
     "op3_minhash_near": op03_near.op3_minhash_near,
     "op6_exact_dedup": op06_exact.op6_exact_dedup,
+    "op7_decontaminate": op07_contain.op7_decontaminate,
     "op10_license_scan": op10_license.op10_license_scan,
 }
 
 SQL: dict[str, str] = {
     "op3_minhash_near": op03_near.ORACLE,
     "op6_exact_dedup": op06_exact.ORACLE,
+    "op7_decontaminate": op07_contain.ORACLE,
 }
 
 
