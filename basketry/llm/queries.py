@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from basketry.llm import op01_bpe, op02_langid, op03_near, op06_exact, op07_contain, op09_quality, op10_license
+from basketry.llm import op01_bpe, op02_langid, op03_near, op05_toxic, op06_exact, op07_contain, op09_quality, op10_license
 
 QUERIES: dict[str, Callable] = {
     "op1_byte_bpe": op01_bpe.op1_byte_bpe,
     "op2_language_id": op02_langid.op2_language_id,
     "op3_minhash_near": op03_near.op3_minhash_near,
+    "op5_toxicity": op05_toxic.op5_toxicity,
     "op6_exact_dedup": op06_exact.op6_exact_dedup,
     "op7_decontaminate": op07_contain.op7_decontaminate,
     "op9_quality": op09_quality.op9_quality,
