@@ -97,7 +97,7 @@ class Pseudonyms:
     def __init__(self, key: bytes):
         self.feistel = Feistel(key)
         self.move = self.feistel.permute
-        self.seen: dict[tuple[str, str], str | None] = {}
+        self.seen: dict[tuple[str, str], tuple[str, int] | None] = {}
 
     def backwards(self) -> Pseudonyms:
         """The same formats with the inverse permutations."""
@@ -226,6 +226,18 @@ class Pseudonyms:
         at = len(text) - len(re.search(r"[0-9a-f]+$", text).group())
         return text[:at] + self.letters(text[at:], "secret", (HEX,))
 
+    def _pseudonym(self, kind: str, value: str) -> tuple[str, int] | None:
+        """(pseudonym, characters that it stands for); some may be followed by more digits, so blanks may end them."""
+        ends = [len(value)]
+        if kind in _LOOSE:
+            ends += [i for i in range(len(value) - 1, 0, -1) if value[i] == " "]
+        for end in ends:
+            for name in _TRIED.get(kind, (kind,)):
+                new = getattr(self, name)(value[:end])
+                if new is not None:
+                    return new, end
+        return None
+
     def replace(self, text: str | None) -> tuple[str | None, list[tuple[str, int, int]]]:
         """(text with pseudonyms, [(kind, start, end) in the given text])."""
         if not text or not _ANY.search(text):
@@ -239,15 +251,15 @@ class Pseudonyms:
             if (kind, value) not in self.seen:
                 if len(self.seen) > 1 << 16:
                     self.seen.clear()
-                self.seen[kind, value] = next(
-                    (x for x in (getattr(self, k)(value) for k in _TRIED.get(kind, (kind,))) if x is not None), None)
-            new = self.seen[kind, value]
-            if new is None:
+                self.seen[kind, value] = self._pseudonym(kind, value)
+            found = self.seen[kind, value]
+            if found is None:
                 at = m.start() + 1
                 continue
+            new, size = found
             out += [text[done:m.start()], new]
-            spans.append((kind, m.start(), m.end()))
-            done = at = m.end()
+            done = at = m.start() + size
+            spans.append((kind, m.start(), done))
         return "".join([*out, text[done:]]), spans
 
 
@@ -260,10 +272,12 @@ _FIND = re.compile("|".join((
     r"(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))",
     r"(?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w]|[./-]\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-    r"(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w]|-\d))",
+    r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,4}"
+    r"|\d{4}(?P<space>[ -])\d{6}(?P=space)\d{5})(?![\w]|-\d))",
     r"(?P<phone>(?<![\w-])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w]|-\d))",
     r"(?P<abroad>(?<!\w)\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?![\w]))",
 )))
+_LOOSE = {"iban", "abroad"}
 _TRIED = {"card": ("card", "phone"), "phone": ("phone", "abroad")}
 
 FOUND = "doc_id long, text string, spans array<struct<kind: string, start: long, end: long>>"

@@ -9,8 +9,8 @@ one, the total length. The archives are gzip files written by Spark's text
 writer with the record end (two line breaks) as separator.
 
 Reading. Spark's text reader splits the files at that separator, in file order;
-each task puts the pieces together again by ``Content-Length``, so a task holds
-one record at a time. Segments are grouped by their origin id, ordered by
+each task puts the bytes together again and cuts them by ``Content-Length``, so a
+task holds one record at a time. Segments are grouped by their origin id, ordered by
 number, checked against the total length and joined; then the chunked framing is
 taken off and the payload compared with its recorded digest.
 
@@ -184,32 +184,62 @@ PARSED = ("page_id long, record_type string, refers_to long, origin string, segm
           "block binary, payload binary, problem string")
 
 
+class _Stream:
+    """The bytes of one archive file, put together again from the reader's pieces, cut into records."""
+
+    def __init__(self):
+        self.data = bytearray()
+        self.started = False
+
+    def feed(self, piece: bytes):
+        """Records that are complete now that another piece (after a gap) is known."""
+        if self.started:
+            self.data += GAP
+        self.started = True
+        self.data += piece
+        yield from self._cut(len(GAP))
+
+    def _cut(self, after: int):
+        while True:
+            head = self.data.find(GAP)
+            if head < 0:
+                return
+            fields = _fields(bytes(self.data[:head]))
+            end = head + len(GAP) + int(fields["content-length"])
+            if len(self.data) < end + after:
+                return
+            block = bytes(self.data[head + len(GAP):end])
+            whole = self.data[end:end + after] == GAP[:after]
+            del self.data[:end + after]
+            yield _record(fields, block, whole)
+
+    def finish(self):
+        """The last record: the reader swallows the gap at the end of a file."""
+        # a record without a block ends where its header's gap would begin
+        if self.data and GAP not in self.data:
+            self.data += GAP
+        yield from self._cut(0)
+        if self.data:
+            yield (None, "broken", *[None] * 7, "file ends in a record")
+
+
 def _parse_batches(batches):
     """Records of archive pieces in file order; unsegmented responses are unframed at once."""
     columns = [c.split()[0] for c in PARSED.split(", ")]
-    file, fields, need, got, parts = None, None, 0, 0, []
+    file, stream = None, _Stream()
+
+    def told(rows):
+        return {c: [r[i] for r in rows] for i, c in enumerate(columns)}
+
     for b in batches:
         rows: list[tuple] = []
         for name, piece in zip(b["file"], b["piece"], strict=True):
             if name != file:
-                if fields is not None:
-                    rows.append((None, "broken", None, None, None, None, None, None, None, "file ends in a record"))
-                file, fields = name, None
-            if fields is None:
-                if not piece:
-                    continue
-                fields = _fields(piece)
-                need, got, parts = int(fields["content-length"]), 0, []
-                continue
-            got += len(piece) + (len(GAP) if parts else 0)
-            parts.append(piece)
-            if got < need:
-                continue
-            rows.append(_record(fields, GAP.join(parts), got == need))
-            fields = None
-        yield {c: [r[i] for r in rows] for i, c in enumerate(columns)}
-    if fields is not None:
-        yield {c: [x] for c, x in zip(columns, (None, "broken", *[None] * 7, "file ends in a record"), strict=True)}
+                rows += stream.finish()
+                file, stream = name, _Stream()
+            rows += stream.feed(piece)
+        yield told(rows)
+    yield told(list(stream.finish()))
 
 
 def _record(fields: dict[str, str], block: bytes, whole: bool) -> tuple:
