@@ -42,7 +42,7 @@ class RuleParams:
     min_support: float = MIN_SUPPORT
     min_confidence: float = MIN_CONFIDENCE
     top_n: int = TOP_N_PRODUCTS
-    max_items: int = MAX_ITEMS
+    max_items: int | None = MAX_ITEMS  # None: no cut
     min_lift: float = MIN_LIFT
 
 

@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.joins import BROADCAST_MAX_ROWS
+from basketry.session import materialize
 
 _CODE = "__code"
 _LVL = "__level"
+_PART = "__part"
 
 
 def bit_width(n_levels: int) -> int:
@@ -32,23 +34,24 @@ def bit_width(n_levels: int) -> int:
 def level_codes(df: DataFrame, col: str, max_broadcast: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
     """Return (levels table ``__level, __code``, number of distinct values incl. NULL).
 
-    Small level sets (the normal case: aisles, departments) are ranked in one
-    task and broadcast; larger ones are ranked with a distributed sort and
-    ``zipWithIndex``, which numbers partitions in sorted order.
+    The levels are range-partitioned and written, so partitions hold ascending
+    ranges; a level's code is its rank inside its partition plus the levels of
+    the partitions before (a running sum over one row per partition). One plan
+    for any number of levels; the codes are broadcast only if their counted
+    number is small.
     """
-    levels = df.select(col).distinct()
-    stats = levels.agg(F.count(F.lit(1)).alias("n")).first()
-    n_distinct = int(stats["n"])  # a NULL level is one of the distinct values, as in R's unique()
-    non_null = levels.filter(F.col(col).isNotNull())
-    if n_distinct <= max_broadcast:
-        codes = non_null.select(F.col(col).alias(_LVL),
-                                F.row_number().over(Window.orderBy(col)).cast("long").alias(_CODE))
-        codes = F.broadcast(codes)
-    else:
-        spark = df.sparkSession
-        ranked = non_null.orderBy(col).rdd.zipWithIndex().map(lambda r: (r[0][0], r[1] + 1))
-        codes = spark.createDataFrame(ranked, schema=f"{_LVL} {dict(df.dtypes)[col]}, {_CODE} long")
-    return codes, n_distinct
+    levels = df.select(F.col(col).alias(_LVL)).distinct()
+    ranged = materialize(levels.repartitionByRange(_LVL).withColumn(_PART, F.spark_partition_id()), "levels")
+    n_distinct = ranged.count()  # a NULL level is one of the distinct values, as in R's unique()
+    known = ranged.filter(F.col(_LVL).isNotNull())
+    # one row per partition
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = known.groupBy(_PART).agg(F.count(F.lit(1)).alias("__n")).select(
+        _PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy(_PART).orderBy(_LVL)
+    codes = known.join(F.broadcast(offsets), _PART).select(
+        _LVL, (F.row_number().over(inside) + F.col("__off")).cast("long").alias(_CODE))
+    return (F.broadcast(codes) if n_distinct <= max_broadcast else codes), n_distinct
 
 
 def binary_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

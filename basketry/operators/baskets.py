@@ -33,10 +33,10 @@ def top_products(lines: DataFrame, products: DataFrame, n: int) -> DataFrame:
     """
     top = top_product_frequency(lines, n)
     # products of the top n: the product table is streamed once against the n broadcast ids
-    # (no shuffle of the catalog, whatever its size); product_id is its key, so at most n
-    # rows match and both broadcasts are bounded by the limit
+    # (no shuffle of the catalog, whatever its size); at most n rows match if product_id is
+    # its key, which the count of the matching rows checks before they are broadcast
     attrs = products.select(*PRODUCT_COLS).join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
-    return top.join(F.broadcast(attrs), "product_id", "left") \
+    return top.join(bounded_broadcast(attrs), "product_id", "left") \
         .select("product_id", "frequency", "product_name", "aisle_id", "department_id")
 
 
@@ -77,6 +77,13 @@ def basket_incidence(named_lines: DataFrame, item_values: list[str], item_col: s
     return wide.select("order_id", *[F.coalesce(F.col(f"`{v}`"), F.lit(False)).alias(v) for v in item_values])
 
 
+def numbered_incidence(named_lines: DataFrame, names: list[str], n: int, item_col: str = "product_name") -> DataFrame:
+    """The incidence table under fixed column names: ``item_001`` .. for the sorted names, False beyond the last one."""
+    wide = basket_incidence(named_lines, names, item_col)
+    cells = [F.col(f"`{names[i]}`") if i < len(names) else F.lit(False) for i in range(n)]
+    return wide.select("order_id", *[c.alias(f"item_{i + 1:03d}") for i, c in enumerate(cells)])
+
+
 def item_names(top: DataFrame) -> list[str]:
     """Distinct item names of a top-N frame (at most N values, so collecting is bounded)."""
     return sorted({r[0] for r in top.select("product_name").distinct().collect() if r[0] is not None})

@@ -75,4 +75,6 @@ def confusion_metrics(counts: DataFrame, positive: int = 0) -> DataFrame:
         div(a + c, n).alias("prevalence"), div(a, n).alias("detection_rate"),
         div(a + b, n).alias("detection_prevalence"),
         ((sens + spec) / 2).alias("balanced_accuracy"),
-        div((F.abs(b - c) - 1) * (F.abs(b - c) - 1), b + c).alias("mcnemar_statistic"))
+        # the continuity correction applies only if the two cells differ
+        div(F.when(b == c, F.lit(0.0)).otherwise((F.abs(b - c) - 1) * (F.abs(b - c) - 1)), b + c)
+        .alias("mcnemar_statistic"))

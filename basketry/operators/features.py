@@ -12,7 +12,6 @@ occurrence number of a product in a user's history, not a count.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +38,10 @@ USER_MEASURES = ["avg_dow", "std_dow", "avg_doh", "std_doh", "avg_since_order",
                  "total_reorders_by_user", "reorder_propotion_by_user"]
 STD_COLS = ["std_dow", "std_doh", "std_since_order"]
 ENCODED_COLS = ["aisle", "department"]
+OCCURRENCE = "user_buy_product_times"
 
-# block of order numbers for the skew-safe occurrence number
-OCCURRENCE_BLOCK_ORDERS = 64
+# cart positions in a block of the skew-safe occurrence number (blocks never span orders)
+OCCURRENCE_BLOCK_LINES = 4096
 
 
 def fill_days_since_prior(orders: DataFrame) -> DataFrame:
@@ -64,29 +64,29 @@ def order_line_base(tables: Tables, scope: str = "train") -> DataFrame:
 
 
 def user_unique_products(base: DataFrame) -> DataFrame:
-    """Distinct products per user."""
-    return base.groupBy("user_id").agg(F.count_distinct("product_id").alias("unique_product_count"))
+    """Distinct products per user (first purchases, where the occurrence number tells them)."""
+    distinct = (F.count_if(F.col(OCCURRENCE) == 1) if OCCURRENCE in base.columns
+                else F.count_distinct("product_id"))
+    return base.groupBy("user_id").agg(distinct.alias("unique_product_count"))
 
 
 def with_user_unique_products(base: DataFrame) -> DataFrame:
     """G2 + J6: the per-user distinct product count joined back to every line."""
-    return base.join(user_unique_products(base), "user_id", "left").select(*base.columns, "unique_product_count")
+    rest = [c for c in base.columns if c != OCCURRENCE]
+    last = [OCCURRENCE] if OCCURRENCE in base.columns else []
+    return base.join(user_unique_products(base), "user_id", "left").select(*rest, "unique_product_count", *last)
 
 
 def with_occurrence_number(base: DataFrame) -> DataFrame:
     """``user_buy_product_times`` = 1, 2, ... over a user's lines of one product.
 
     Ordered by (order_number, add_to_cart_order, order_id); computed in blocks of
-    order numbers so that a huge (user, product) history is not one task.
+    (order number, range of cart positions), so neither a huge (user, product)
+    history nor one huge order is a task.
     """
     return block_row_number(base, ["user_id", "product_id"], ["order_number", "add_to_cart_order", "order_id"],
-                            F.col("order_number"), OCCURRENCE_BLOCK_ORDERS, "user_buy_product_times") \
-        .select(*base.columns, "user_buy_product_times")
-
-
-def enriched_line_base(tables: Tables, scope: str = "train") -> DataFrame:
-    """The line table every feature family is computed from (``df`` upstream)."""
-    return with_occurrence_number(with_user_unique_products(order_line_base(tables, scope)))
+                            [F.col("order_number"), F.col("add_to_cart_order")], [1, OCCURRENCE_BLOCK_LINES],
+                            OCCURRENCE).select(*base.columns, OCCURRENCE)
 
 
 def occurrence_line_base(tables: Tables, scope: str = "train") -> DataFrame:
@@ -96,37 +96,61 @@ def occurrence_line_base(tables: Tables, scope: str = "train") -> DataFrame:
     return with_occurrence_number(order_line_base(tables, scope))
 
 
+def enriched_line_base(tables: Tables, scope: str = "train") -> DataFrame:
+    """The line table every feature family is computed from (``df`` upstream).
+
+    The numbered lines feed the per-user count and the join it returns to, so
+    they are written once.
+    """
+    return with_user_unique_products(materialize(occurrence_line_base(tables, scope), "line_base"))
+
+
 def _group_measures(prefix: str) -> list:
     return [
         F.avg("add_to_cart_order").alias(f"{prefix}mean_add_to_cart_order"),
         F.count(F.lit(1)).alias(f"{prefix}total_orders"),
         r_sum("reordered").alias(f"{prefix}total_reorders"),
         F.avg("reordered").alias(f"{prefix}reorder_percentage"),
-        F.count_distinct("user_id").alias(f"{prefix}unique_users"),
     ]
 
 
-def product_features(base: DataFrame) -> DataFrame:
-    """Seven measures per product."""
+def _unique_users(prefix: str) -> Column:
+    return F.count_distinct("user_id").alias(f"{prefix}unique_users")
+
+
+def product_features(base: DataFrame, whole: bool = True) -> DataFrame:
+    """Seven measures per product.
+
+    On a ``whole`` base each user's first purchase of a product is there, so the
+    number of first purchases is the number of distinct users: a plain count
+    without a shuffle of the lines. A filtered base needs the distinct count.
+    """
+    first = F.count_if(F.col(OCCURRENCE) == 1)
     return base.groupBy("product_id").agg(
         *_group_measures(""),
-        F.count_if(F.col("user_buy_product_times") == 1).alias("order_first_time_total_cnt"),
-        F.count_if(F.col("user_buy_product_times") == 2).alias("order_second_time_total_cnt"),
+        first.alias("unique_users") if whole else _unique_users(""),
+        first.alias("order_first_time_total_cnt"),
+        F.count_if(F.col(OCCURRENCE) == 2).alias("order_second_time_total_cnt"),
     )
 
 
 def aisle_features(base: DataFrame) -> DataFrame:
     """Five measures per aisle (a missing aisle is one group)."""
-    return base.groupBy("aisle_id").agg(*_group_measures("aisle_"))
+    return base.groupBy("aisle_id").agg(*_group_measures("aisle_"), _unique_users("aisle_"))
 
 
 def department_features(base: DataFrame) -> DataFrame:
     """Five measures per department."""
-    return base.groupBy("department_id").agg(*_group_measures("department_"))
+    return base.groupBy("department_id").agg(*_group_measures("department_"), _unique_users("department_"))
+
 
+def user_features(base: DataFrame, whole: bool = True) -> DataFrame:
+    """Eleven measures per user (sd is NULL for a one-line user).
 
-def user_features(base: DataFrame) -> DataFrame:
-    """Eleven measures per user (sd is NULL for a one-line user)."""
+    On a ``whole`` base the distinct products are the first purchases, so one
+    distinct count (orders) is left, which needs no expansion of the lines.
+    """
+    products = F.count_if(F.col(OCCURRENCE) == 1) if whole else F.count_distinct("product_id")
     return base.groupBy("user_id").agg(
         F.avg("order_dow").alias("avg_dow"),
         F.stddev_samp("order_dow").alias("std_dow"),
@@ -136,7 +160,7 @@ def user_features(base: DataFrame) -> DataFrame:
         F.stddev_samp("days_since_prior_order").alias("std_since_order"),
         F.count_distinct("order_number").alias("total_orders_by_user"),
         F.count(F.lit(1)).alias("total_products_by_user"),
-        F.count_distinct("product_id").alias("total_unique_product_by_user"),
+        products.alias("total_unique_product_by_user"),
         r_sum("reordered").alias("total_reorders_by_user"),
         F.avg("reordered").alias("reorder_propotion_by_user"),
     )
@@ -147,13 +171,13 @@ def user_features_filled(base: DataFrame) -> DataFrame:
     return fill_zero(user_features(base), STD_COLS)
 
 
-def product_attributes(base: DataFrame, tables: Tables) -> DataFrame:
+def product_attributes(base: DataFrame, tables: Tables, whole: bool = True) -> DataFrame:
     """Product measures with product, aisle and department attributes.
 
     Aisle and department keys can be NULL (a line whose product is unknown);
     those joins match NULL to NULL as the upstream joins do.
     """
-    pf = product_features(base)
+    pf = product_features(base, whole)
     products = bounded_broadcast(tables.products.select("product_id", *PRODUCT_ATTR_COLS))
     out = pf.join(products, "product_id", "left")
     # aisle / department aggregates have at most one row per dimension key (+ NULL)
@@ -168,14 +192,36 @@ def product_attributes(base: DataFrame, tables: Tables) -> DataFrame:
                       *[f"department_{m}" for m in GROUP_MEASURES], "department")
 
 
-def product_feature_wide(base: DataFrame, tables: Tables) -> DataFrame:
+def product_feature_wide(base: DataFrame, tables: Tables, whole: bool = True) -> DataFrame:
     """Product attributes without name / aisle / department ids, aisle and department bit-encoded."""
-    # one row per product: kept so that the encoder's level count and the later
+    # one row per product: written so that the encoder's level count and the later
     # join read the small result instead of re-running the line-level plan
-    attrs = product_attributes(base, tables).drop(*PRODUCT_ATTR_COLS).persist(StorageLevel.MEMORY_AND_DISK)
+    attrs = materialize(product_attributes(base, tables, whole).drop(*PRODUCT_ATTR_COLS), "product_attributes")
     return binary_encode(attrs, ENCODED_COLS)
 
 
+def product_lines_fanout(base: DataFrame, tables: Tables, lines: DataFrame) -> DataFrame:
+    """Product attributes at the grain of the lines they were made from.
+
+    Run from the line side (the reference starts from the attributes and joins
+    the lines to them): both sides hold the same products, and a hot product's
+    lines stay spread out while the small attribute table is broadcast.
+    """
+    attrs = product_attributes(base, tables)
+    out = lines.join(broadcast_bounded_by(attrs, tables.products), "product_id", "inner")
+    return out.select(*attrs.columns, *[c for c in lines.columns if c != "product_id"])
+
+
+def product_base_suffix_join(base: DataFrame, tables: Tables) -> DataFrame:
+    """Attributes joined to the line base, clashing names marked ``_x`` and ``_y``; from the line side as J12."""
+    attrs = product_attributes(base, tables)
+    clash = [x for x in attrs.columns if x in base.columns and x != "product_id"]
+    left = attrs.select(*[F.col(x).alias(f"{x}_x") if x in clash else F.col(x) for x in attrs.columns])
+    right = base.select(*[F.col(x).alias(f"{x}_y") if x in clash else F.col(x) for x in base.columns])
+    out = right.join(broadcast_bounded_by(left, tables.products), "product_id", "inner")
+    return out.select(*left.columns, *[c for c in right.columns if c != "product_id"])
+
+
 def feature_table(tables: Tables, scope: str = "train", materialize_base: bool = True,
                   base: DataFrame | None = None, fit_on: Column | None = None) -> DataFrame:
     """One row per order line with product, aisle, department and user features.
@@ -211,7 +257,7 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
         # the distinct product count uses no label, so it stays over every line
         base = with_user_unique_products(base)
     fit = base if fit_on is None else base.filter(fit_on)
-    wide = product_feature_wide(fit, tables)
+    wide = product_feature_wide(fit, tables, fit_on is None)
     wide_cols = wide.columns
     # with every row fitted, each product of the lines has a row in ``wide``
     how = "inner" if fit_on is None else "left"
@@ -219,7 +265,7 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
     # one join by user brings the user measures and the distinct product count
     # (the same number as total_unique_product_by_user), so the line table is
     # shuffled by user once
-    users = user_features(fit)
+    users = user_features(fit, fit_on is None)
     if "unique_product_count" not in base.columns:
         users = users.withColumn("unique_product_count", F.col("total_unique_product_by_user"))
     out = out.join(users, "user_id", "left")

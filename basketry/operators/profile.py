@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.nulls import is_na
@@ -31,10 +31,11 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.selectExpr(f"stack({len(df.columns)}, {pairs}) as (`column`, na_count)")
 
 
-def schema_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Q3: ``position, column, type`` of a frame (metadata only, no job)."""
-    rows = [(i + 1, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "position int, `column` string, type string")
+def schema_table(df: DataFrame) -> DataFrame:
+    """Q3: ``position, column, type, n_values`` of a frame; one pass counts the values present."""
+    wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    rows = ", ".join(f"{i + 1}, '{name}', '{dtype}', c{i}" for i, (name, dtype) in enumerate(df.dtypes))
+    return wide.selectExpr(f"stack({len(df.columns)}, {rows}) as (position, `column`, type, n_values)")
 
 
 def preview(df: DataFrame, order_by: list[str], n: int = 6) -> DataFrame:

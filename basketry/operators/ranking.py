@@ -3,10 +3,10 @@
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` sends every row of a
 group to one task. When one user (or one user/product pair) holds a third of
 all rows that task holds a third of the data. The operator here cuts each group
-into blocks of a monotone numeric key, counts rows per block with a partial
-aggregate, turns the counts into per-block offsets with a window over the
-(small) block table, and numbers rows inside each block only. Only blocks, not
-groups, have to fit into a task.
+into blocks of monotone keys, counts rows per block with a partial aggregate,
+turns the counts into per-block offsets with a window over the (small) block
+table, and numbers rows inside each block only. Only blocks, not groups, have to
+fit into a task.
 """
 
 from __future__ import annotations
@@ -15,46 +15,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_BLK = "__blk"
 _OFF = "__off"
 _CNT = "__cnt"
+_FIRST = -(1 << 63)  # block of a NULL key: NULLs sort first
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def _stand_in(dtype: T.DataType) -> Column:
+    """A value of the type that stands for NULL beside a NULL flag."""
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return (F.lit("") if isinstance(dtype, (T.StringType, T.BinaryType)) else F.lit(0)).cast(dtype)
+
+
 def block_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
-                     block_key: Column, block_size: int, name: str, null_keys: bool = False) -> DataFrame:
+                     block_key: Column | Sequence[Column], block_size: int | Sequence[int], name: str) -> DataFrame:
     """Add ``name`` = 1-based row number per ``partition_by`` in ``order_by`` order.
 
     ``block_key`` must be numeric and never decrease along ``order_by`` inside a
-    group (it is usually the first ordering column). Rows are numbered exactly
-    as ``row_number()`` would number them; the result is a LONG column.
-
-    The offsets join back on the plain key columns, so its shuffle already
-    clusters the rows for the in-block window (one shuffle of ``df``). Group
-    keys are ids that are never NULL in this data model; with
-    ``null_keys=True`` rows having a NULL key are numbered in a separate plain
-    window and added back.
+    group (it is usually the first ordering column). With several keys the
+    blocks are compared like tuples, so each key but the last needs block size 1
+    to stay monotone. Rows are numbered exactly as ``row_number()`` would number
+    them, NULL group keys being one group and NULL block keys coming first; the
+    result is a LONG column.
+
+    The offsets join back on key columns whose NULLs are replaced (with a flag
+    beside them), so the join is a plain equality and its shuffle already
+    clusters the rows for the in-block window (one shuffle of ``df``).
     """
-    keyed = df.withColumn(_BLK, F.floor(block_key / F.lit(block_size)).cast("long"))
-    if null_keys:
-        has_null = F.lit(False)
-        for c in partition_by:
-            has_null = has_null | F.col(c).isNull()
-        nulls = keyed.filter(has_null)
-        keyed = keyed.filter(~has_null)
-    counts = keyed.groupBy(*partition_by, _BLK).agg(F.count(F.lit(1)).alias(_CNT))
-    before = (Window.partitionBy(*partition_by).orderBy(_BLK)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*partition_by, _BLK, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
-    joined = keyed.join(offsets, on=[*partition_by, _BLK], how="inner")
-    inside = Window.partitionBy(*partition_by, _BLK).orderBy(*_cols(order_by))
+    keys, sizes = ([block_key], [block_size]) if isinstance(block_key, Column) else (block_key, block_size)
+    blocks = {f"__blk{i}": F.coalesce(F.floor(k / F.lit(s)).cast("long"), F.lit(_FIRST))
+              for i, (k, s) in enumerate(zip(keys, sizes, strict=True))}
+    groups = {}
+    for i, c in enumerate(partition_by):
+        groups[f"__key{i}"] = F.coalesce(F.col(c), _stand_in(df.schema[c].dataType))
+        groups[f"__null{i}"] = F.col(c).isNull()
+    keyed = df.withColumns({**groups, **blocks})
+    counts = keyed.groupBy(*groups, *blocks).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(*groups).orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*groups, *blocks, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    joined = keyed.join(offsets, on=[*groups, *blocks], how="inner")
+    inside = Window.partitionBy(*groups, *blocks).orderBy(*_cols(order_by))
     out = joined.withColumn(name, (F.row_number().over(inside) + F.col(_OFF)).cast("long"))
-    out = out.select(*df.columns, name)
-    if null_keys:
-        plain = Window.partitionBy(*partition_by).orderBy(*_cols(order_by))
-        out = out.unionByName(nulls.withColumn(name, F.row_number().over(plain).cast("long")).select(*df.columns, name))
-    return out
+    return out.select(*df.columns, name)

@@ -30,7 +30,8 @@ def _product_copies(df: DataFrame) -> DataFrame:
 
 def _named_list(df: DataFrame, products: DataFrame, out_col: str) -> DataFrame:
     copies = _product_copies(df)
-    names = bounded_broadcast(products.select("product_id", "product_name"))
+    # a product without a name is printed as "NA"
+    names = bounded_broadcast(products.select("product_id", F.coalesce("product_name", F.lit("NA")).alias("product_name")))
     return _ordered_list(copies.join(names, "product_id", "inner"), "product_name", NAME_SEPARATOR, out_col)
 
 

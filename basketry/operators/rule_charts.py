@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.encode import level_codes
 from basketry.operators.rules import rule_labels
 
 GROUPS = 20
@@ -48,16 +49,14 @@ def rule_groups(rules: DataFrame, k: int = GROUPS, seed: int = 42) -> DataFrame:
     each (group, consequent) reports rule count, median lift and median support.
     """
     lab = rule_labels(rules)
-    cons = sorted(r[0] for r in lab.select("rhs").distinct().collect())  # consequents are single frequent items
-    if not cons:
+    codes, n_rhs = level_codes(lab, "rhs")
+    if not n_rhs:
         return lab.sparkSession.createDataFrame(
-            [], "grp int, rhs string, n_rules long, median_lift double, median_support double, antecedents string")
-    idx = {c: i for i, c in enumerate(cons)}
-    mapping = F.create_map(*[x for c, i in idx.items() for x in (F.lit(c), F.lit(i))])
-    keyed = lab.withColumn("j", mapping[F.col("rhs")])
+            [], "grp int, rhs string, n_rules long, median_lift double, median_support double, antecedents long")
+    keyed = lab.join(codes.select(F.col("__level").alias("rhs"), F.col("__code").alias("j")), "rhs")
     prof = keyed.groupBy("lhs").agg(F.map_from_entries(F.collect_list(F.struct("j", "lift"))).alias("m"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(len(cons) - 1)),
-                      lambda j: F.coalesce(F.element_at(F.col("m"), j), F.lit(1.0)))
+    vec = F.transform(F.sequence(F.lit(1), F.lit(n_rhs)),
+                      lambda j: F.coalesce(F.element_at(F.col("m"), j.cast("long")), F.lit(1.0)))
     prof = prof.select("lhs", array_to_vector(vec).alias("features"))
     n_lhs = prof.count()
     kk = max(1, min(k, n_lhs))

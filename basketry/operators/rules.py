@@ -9,12 +9,11 @@ and confidence >= min_confidence. Right-hand sides have one item.
 Two miners:
 
 - :func:`pair_rules` - rules with one item on each side, exact and fully
-  distributed. Each basket becomes a 0/1 indicator vector over the K frequent
-  items; the rows (basket, item a) are summed per item a with the vector
-  summarizer (partial aggregation, K x K numbers per task), which yields every
-  co-occurrence count without ever listing the item pairs of a basket.
+  distributed. Items are numbered, a basket lists each of its pairs once
+  (smaller id first), and the pairs are counted with partial aggregation, so a
+  task ships at most one row per pair of frequent items.
 - :func:`fpgrowth_rules` - all itemset sizes with Spark ML's FP-growth
-  (``pyspark.ml.fpm.FPGrowth``), limited to itemsets of at most ``max_items``.
+  (``pyspark.ml.fpm.FPGrowth``), all itemset sizes unless ``max_items`` is given.
 """
 
 from __future__ import annotations
@@ -22,20 +21,13 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.config import MAX_ITEMS
+from basketry.functions.joins import bounded_broadcast
 
 RULE_COLS = ["antecedent", "consequent", "support", "confidence", "lift", "coverage", "count"]
 
-# Upper bound on frequent items for the indicator-vector counter (K doubles per
-# row, K*K per task). Top-N mining has K <= N = 100.
-MAX_VECTOR_ITEMS = 4096
-
-
 def basket_count(baskets: DataFrame) -> int:
     return baskets.count()
 
@@ -49,57 +41,42 @@ def item_counts(baskets: DataFrame) -> DataFrame:
     return baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pair_counts(baskets: DataFrame, items: list[str]) -> DataFrame:
-    """(a, b, count) for every ordered pair of frequent items, a != b, count > 0.
+def pair_counts(baskets: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(x, nx, y, ny, count) of every pair of frequent items that share a basket, x < y.
 
-    ``items`` are the k frequent items; a and b are positions in that list.
-    k is bounded, so the item -> position lookup is a literal map applied
-    inside each basket row (no shuffle). Each (basket, item a) row then
-    carries the basket's 0/1 vector, and the vectors are summed per a with
-    partial aggregation: one shuffle of at most k vectors per task.
+    ``frequent`` is (item, n). The baskets' items are cut to the frequent ones
+    and numbered by one join, the numbers are collected per basket again, and
+    each basket lists its pairs of numbers once. A basket holds at most as many
+    items as there are frequent ones, and the counting aggregate is partial.
     """
-    k = len(items)
-    lookup = F.create_map(*[x for i, item in enumerate(items) for x in (F.lit(item), F.lit(i))])
-    ids = F.filter(F.transform("items", lambda x: lookup[x]), lambda i: i.isNotNull())
-    indicator = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                            lambda j: F.when(F.array_contains(F.col("ids"), j), F.lit(1.0)).otherwise(F.lit(0.0)))
-    rows = baskets.select(ids.alias("ids")).select(F.col("ids"), array_to_vector(indicator).alias("ind")) \
-        .select(F.explode("ids").alias("a"), "ind")
-    sums = rows.groupBy("a").agg(Summarizer.sum(F.col("ind")).alias("co"))
-    out = sums.select("a", F.posexplode(vector_to_array("co")).alias("b", "cnt"))
-    return out.filter((F.col("a") != F.col("b")) & (F.col("cnt") > 0)) \
-        .select("a", "b", F.col("cnt").cast("long").alias("count"))
+    ids = bounded_broadcast(frequent.select("item", F.xxhash64("item").alias("id")))
+    # a basket's row number only has to tell baskets apart, whatever columns the caller's table has
+    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), "items")
+    kept = numbered.select("basket", F.explode("items").alias("item")).join(ids, "item").groupBy("basket").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    pairs = F.flatten(F.transform("ids", lambda a, i: F.transform(
+        F.slice("ids", i + 2, F.size("ids")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    counts = kept.where(F.size("ids") > 1).select(F.explode(pairs).alias("p")).groupBy(
+        F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count(F.lit(1)).alias("count"))
+    named = frequent.select("item", "n", F.xxhash64("item").alias("id"))
+    left = bounded_broadcast(named.select(F.col("id").alias("a"), F.col("item").alias("x"), F.col("n").alias("nx")))
+    right = bounded_broadcast(named.select(F.col("id").alias("b"), F.col("item").alias("y"), F.col("n").alias("ny")))
+    return counts.join(left, "a").join(right, "b").select("x", "nx", "y", "ny", "count")
 
 
 def pair_rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules {x} -> {y}; array columns ``antecedent``/``consequent`` as FP-growth gives them.
 
-    Runs two small actions (basket count, frequent item counts) before the
-    lazy result; callers should persist ``baskets`` if it is expensive.
+    Runs small actions (basket count, a bounded count of the frequent items)
+    before the lazy result; callers should keep ``baskets`` if it is expensive.
     """
     n = basket_count(baskets)
-    spark = baskets.sparkSession
-    if n == 0:
-        return spark.createDataFrame([], "antecedent array<string>, consequent array<string>, support double, "
-                                         "confidence double, lift double, coverage double, count long")
     need = min_count(min_support, n)
-    # the frequent items are few (at most mean basket size / min_support, and at
-    # most N for top-N mining); the bounded list is indexed on the driver
-    rows = item_counts(baskets).filter(F.col("n") >= need).limit(MAX_VECTOR_ITEMS + 1).collect()
-    if len(rows) > MAX_VECTOR_ITEMS:
-        raise ValueError(f"more than {MAX_VECTOR_ITEMS} frequent items; use fpgrowth_rules")
-    rows = sorted((r["item"], int(r["n"])) for r in rows)
-    k = len(rows)
-    frequent = spark.createDataFrame([(item, cnt, i) for i, (item, cnt) in enumerate(rows)],
-                                     "item string, n long, idx int")
-    if k == 0:
-        return pair_rules(baskets.limit(0), min_support, min_confidence)
-    pc = pair_counts(baskets, [item for item, _ in rows]).filter(F.col("count") >= need)
-    fa = F.broadcast(frequent.select(F.col("idx").alias("a"), F.col("item").alias("x"), F.col("n").alias("nx")))
-    fb = F.broadcast(frequent.select(F.col("idx").alias("b"), F.col("item").alias("y"), F.col("n").alias("ny")))
-    r = pc.join(fa, "a").join(fb, "b")
+    frequent = item_counts(baskets).filter(F.col("n") >= need)
+    pc = pair_counts(baskets, frequent).filter(F.col("count") >= need)
+    both = pc.unionByName(pc.select(F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("x").alias("y"),
+                                    F.col("nx").alias("ny"), "count"))
     big_n = F.lit(n).cast("double")
-    r = r.select(
+    r = both.select(
         F.array("x").alias("antecedent"), F.array("y").alias("consequent"),
         (F.col("count") / big_n).alias("support"),
         (F.col("count") / F.col("nx").cast("double")).alias("confidence"),
@@ -120,23 +97,35 @@ def fpgrowth_model(baskets: DataFrame, min_support: float, min_confidence: float
     return fp.fit(baskets.select("items"))
 
 
-def frequent_itemsets(baskets: DataFrame, min_support: float, max_items: int = MAX_ITEMS) -> DataFrame:
-    """``items`` (sorted), ``freq``, ``support`` of itemsets with support >= min_support."""
+def _at_most(size, max_items: int | None):
+    return F.lit(True) if max_items is None else size <= max_items
+
+
+def frequent_itemsets(baskets: DataFrame, min_support: float, max_items: int | None = None) -> DataFrame:
+    """``items`` (sorted), ``freq``, ``support`` of itemsets with support >= min_support.
+
+    ``max_items`` is an optional cut of the miner's result; None keeps all sizes.
+    """
     n = basket_count(baskets)
     model = fpgrowth_model(baskets, min_support, 1.0)
-    return model.freqItemsets.filter(F.size("items") <= max_items).select(
+    return model.freqItemsets.filter(_at_most(F.size("items"), max_items)).select(
         F.sort_array("items").alias("items"), F.col("freq").cast("long").alias("freq"),
         (F.col("freq") / F.lit(float(max(n, 1)))).alias("support"))
 
 
 def fpgrowth_rules(baskets: DataFrame, min_support: float, min_confidence: float,
-                   max_items: int = MAX_ITEMS, min_items: int = 2) -> DataFrame:
-    """B4 + B5: rules of any antecedent size from FP-growth, with coverage and count."""
+                   max_items: int | None = None, min_items: int = 2) -> DataFrame:
+    """B4 + B5: rules of any antecedent size from FP-growth, with coverage and count.
+
+    The conditional trees are spread over the session's shuffle partitions.
+    ``max_items`` optionally cuts the result by itemset size; None keeps all.
+    """
     n = basket_count(baskets)
-    model = fpgrowth_model(baskets, min_support, min_confidence)
+    width = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    model = fpgrowth_model(baskets, min_support, min_confidence, width)
     r = model.associationRules
     size = F.size("antecedent") + 1
-    r = r.filter((size <= max_items) & (size >= min_items))
+    r = r.filter(_at_most(size, max_items) & (size >= min_items))
     return r.select(
         F.sort_array("antecedent").alias("antecedent"), "consequent", "support", "confidence", "lift",
         (F.col("support") / F.col("confidence")).alias("coverage"),

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.config import LABEL_COL, TRAIN_FRACTION_PERCENT
+from basketry.functions.joins import bounded_broadcast, null_safe_join
+from basketry.operators.ranking import block_row_number
 
 BUCKETS = 100
 
@@ -54,13 +56,11 @@ def split_stratified(df: DataFrame, percent: int = TRAIN_FRACTION_PERCENT, label
     it is computed with the block-wise running number rather than a window
     over the class; the class sizes come from one aggregate (one row per class).
     """
-    from basketry.operators.ranking import block_row_number
-
     h = F.xxhash64("user_id", "order_number", "product_id", "add_to_cart_order")
     keyed = df.withColumn("__h", h)
     ranked = block_row_number(keyed, [label], ["__h", "user_id", "order_number", "product_id", "add_to_cart_order"],
                               F.col("__h"), _HASH_BLOCK, "__rank")
     sizes = df.groupBy(label).agg(F.ceil(F.count(F.lit(1)) * F.lit(percent) / F.lit(100)).alias("__k"))
-    cut = ranked.join(F.broadcast(sizes), label, "inner")  # one row per class
+    cut = null_safe_join(ranked, bounded_broadcast(sizes), [label], "inner")  # one row per class, NULL being one
     side = F.col("__rank") <= F.col("__k")
     return cut.filter(side if train else ~side).select(*df.columns)

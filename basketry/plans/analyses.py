@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from basketry.config import LABEL_COL, TOP_RULES, ModelParams, RuleParams
+from basketry.config import LABEL_COL, ROUNDS_FIRST, ROUNDS_SECOND, TOP_RULES, ModelParams, RuleParams
 from basketry.operators import baskets as bk
 from basketry.operators import evaluate as ev
 from basketry.operators import features as fe
@@ -22,6 +21,7 @@ from basketry.operators import model as mo
 from basketry.operators import recommend as rc
 from basketry.operators import rules as ru
 from basketry.operators import split as sp
+from basketry.session import materialize
 from basketry.sources.tables import Tables
 
 
@@ -40,9 +40,8 @@ class RuleResult:
 
 def basket_rules(tables: Tables, scope: str = "train", params: RuleParams = RuleParams(),
                  miner: str = "fpgrowth") -> RuleResult:
-    # the baskets feed the basket count, the item counts and the miner: keep them once
-    # (memory, spilling to disk; lost blocks are recomputed from the lineage)
-    b = basket_frame(tables, scope, params.top_n).persist(StorageLevel.MEMORY_AND_DISK)
+    # the baskets feed the basket count, the item counts and the miner: write them once
+    b = materialize(basket_frame(tables, scope, params.top_n), "baskets")
     if miner == "pairs":
         rules = ru.pair_rules(b, params.min_support, params.min_confidence)
     else:
@@ -62,8 +61,9 @@ def build_feature_table(tables: Tables, path: str | None = None, scope: str = "t
 
 @dataclass
 class ModelResult:
-    model: PipelineModel
-    scored: DataFrame
+    model: PipelineModel      # scores the outcome share
+    final: PipelineModel      # scores the confusion matrix and the lists
+    scored: DataFrame         # by the final model
     outcome: DataFrame
     confusion: DataFrame
     metrics: DataFrame
@@ -71,15 +71,26 @@ class ModelResult:
     submission: DataFrame
 
 
-def train_and_evaluate(features: DataFrame, products: DataFrame,
-                       params: ModelParams = ModelParams()) -> ModelResult:
+def train_and_evaluate(features: DataFrame, products: DataFrame, params: ModelParams = ModelParams(),
+                       final_params: ModelParams | None = None) -> ModelResult:
+    """Fit, score and evaluate as upstream: a first model gives the outcome share, a second one with
+    ``final_params`` (70 rounds by default of the analysis, see :func:`reorder_model`) the confusion
+    matrix and the lists. Without ``final_params`` one model does both."""
     train = sp.split_train(features, params.train_percent).drop("eval_set")
     test = sp.split_holdout(features, params.train_percent).drop("eval_set")
     model = mo.fit(train, params)
-    scored = ev.threshold(mo.score(model, test), mo.SCORE_COL, params.threshold)
+    final_params = final_params or params
+    final = model if final_params == params else mo.fit(train, final_params)
+    first = ev.threshold(mo.score(model, test), mo.SCORE_COL, params.threshold)
+    scored = ev.threshold(mo.score(final, test), mo.SCORE_COL, final_params.threshold)
     counts = ev.confusion_counts(scored, LABEL_COL)
     return ModelResult(
-        model=model, scored=scored, outcome=ev.outcome_share(scored), confusion=counts,
+        model=model, final=final, scored=scored, outcome=ev.outcome_share(first), confusion=counts,
         metrics=ev.confusion_metrics(counts, positive=0),
         predicted_vs_actual=rc.predicted_vs_actual(scored, products),
         submission=rc.submission_list(scored))
+
+
+def reorder_model(features: DataFrame, products: DataFrame) -> ModelResult:
+    """The reorder analysis with upstream's two models: 50 rounds, then 70."""
+    return train_and_evaluate(features, products, ModelParams(rounds=ROUNDS_FIRST), ModelParams(rounds=ROUNDS_SECOND))

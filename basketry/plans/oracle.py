@@ -8,6 +8,8 @@ windows. Names are prefixed ``fx_`` so they never shadow the source views.
 
 from __future__ import annotations
 
+from basketry.plans.registry import WHOLE_HISTORY
+
 FIXTURE_CTES = r"""
 fx_departments AS (
   SELECT CAST(row_number() OVER (ORDER BY department) AS BIGINT) AS department_id, department
@@ -177,11 +179,21 @@ fx_ft AS (
   FROM fx_pw pw LEFT JOIN fx_base b ON pw.product_id = b.product_id
   LEFT JOIN fx_uf uf ON b.user_id = uf.user_id),
 fx_hold AS (
-  SELECT *, CASE WHEN reorder_propotion_by_user >= 0.7 THEN 1 ELSE 0 END AS prediction
+  SELECT *, CASE WHEN reorder_propotion_by_user >= @threshold THEN 1 ELSE 0 END AS prediction
   FROM fx_ft
   WHERE ((user_id * 7919 + order_number * 104729 + product_id * 31 + add_to_cart_order * 17) % 100) >= 80)
 """
 
+THRESHOLDS = {"train": "0.7", "all": "0.25"}
+BUCKET = "((user_id * 7919 + order_number * 104729 + product_id * 31 + add_to_cart_order * 17) % 100)"
+
+# measures of the training side only, joined onto every line
+_before, _after = AGGS.split("fx_ft AS (")
+FITTED = (f"fx_fit AS (SELECT * FROM fx_base WHERE {BUCKET} < 80)," + _before.replace("FROM fx_base GROUP", "FROM fx_fit GROUP")
+          + "fx_ft AS (" + _after.split("),\nfx_hold")[0].replace("SELECT DISTINCT pw.*", "SELECT pw.* EXCLUDE (product_id), b.product_id")
+          .replace("FROM fx_pw pw LEFT JOIN fx_base b ON pw.product_id = b.product_id",
+                   "FROM fx_base b LEFT JOIN fx_pw pw ON pw.product_id = b.product_id") + ")")
+
 FT_DOUBLES = (DOUBLE_MEASURES | {f"aisle_{m}" for m in DOUBLE_MEASURES} | {f"department_{m}" for m in DOUBLE_MEASURES}
               | USER_DOUBLES | {"days_since_prior_order"})
 FT_COLS = (["product_id", *PRODUCT_MEASURES, *[f"aisle_{m}" for m in GROUP_MEASURES],
@@ -249,7 +261,7 @@ fx_sets AS (SELECT [i1] AS items, c FROM fx_i1
 fx_parts AS (SELECT items, c AS cs, unnest(items) AS y FROM fx_sets WHERE len(items) >= 2),
 fx_fp AS (SELECT list_filter(items, lambda x: x <> y) AS ant, y, cs FROM fx_parts),
 fx_fp_rules AS (
-  SELECT '{' || array_to_string(r.ant, ',') || '}' AS lhs, '{' || r.y || '}' AS rhs,
+  SELECT r.ant, r.y, '{' || array_to_string(r.ant, ',') || '}' AS lhs, '{' || r.y || '}' AS rhs,
          CAST(r.cs AS DOUBLE) / n AS support,
          CAST(r.cs AS DOUBLE) / sx.c AS confidence,
          (CAST(r.cs AS DOUBLE) / sx.c) / (CAST(iy.c AS DOUBLE) / n) AS lift,
@@ -278,10 +290,16 @@ def _nulls_sql(cols: list[tuple[str, bool]], src: str) -> str:
 
 
 def oracle_statements() -> dict[str, str]:
-    T, A = "train", "all"
+    """One statement per key; the scoped keys once more over the whole history, as ``<key>_all``."""
+    whole = _statements("all")
+    return _statements("train") | {f"{name}_all": whole[name] for name in WHOLE_HISTORY if name in whole}
+
+
+def _statements(scope: str) -> dict[str, str]:
+    T, A = scope, "all"
     ft = with_fixture  # shorthand
     base_ctes = BASE
-    feat_ctes = BASE + "," + AGGS
+    feat_ctes = BASE + "," + AGGS.replace("@threshold", THRESHOLDS[scope])
     q: dict[str, str] = {}
 
     # sources
@@ -319,11 +337,14 @@ def oracle_statements() -> dict[str, str]:
     q["user_features_filled"] = ft(T, feat_ctes, f"SELECT user_id, {uf_sel} FROM fx_uf")
     q["user_features"] = ft(T, feat_ctes, f"SELECT user_id, {select_cols(USER_MEASURES, USER_DOUBLES)} FROM fx_uf")
     q["freq_order_lines"] = ft(A, RULES, "SELECT order_id, product_id, add_to_cart_order, reordered FROM fx_fl")
-    q["basket_incidence"] = ft(A, RULES, """
-SELECT order_id, coalesce(COLUMNS(* EXCLUDE (order_id)), false)
-FROM (PIVOT (SELECT order_id, product_name, product_id FROM fx_fln) ON product_name
-      USING count(product_id) >= 1 GROUP BY order_id) inc""")
-    q["rules_lift_gt1"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1")
+    names = "fx_names AS (SELECT row_number() OVER (ORDER BY product_name) AS rk, product_name " \
+            "FROM (SELECT DISTINCT product_name FROM fx_fln WHERE product_name IS NOT NULL) t)"
+    cells = ", ".join(f"coalesce(bool_or(n.rk = {i}), false) AS item_{i:03d}" for i in range(1, 101))
+    q["basket_incidence"] = ft(A, RULES + ",\n" + names, f"""
+SELECT l.order_id, {cells}
+FROM fx_fln l LEFT JOIN fx_names n ON l.product_name = n.product_name GROUP BY l.order_id""")
+    q["basket_item_names"] = ft(A, RULES + ",\n" + names, "SELECT CAST(rk AS BIGINT) AS item, product_name FROM fx_names")
+    q["rules_lift_gt1"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules WHERE lift > 1")
     q["threshold_predictions"] = ft(T, feat_ctes, "SELECT user_id, order_number, product_id, add_to_cart_order, "
                                                   f"reordered, {r('reorder_propotion_by_user', 'reorder_propotion_by_user')}, "
                                                   "CAST(prediction AS BIGINT) AS prediction FROM fx_hold")
@@ -375,7 +396,7 @@ FROM fx_hold WHERE prediction = 1 GROUP BY user_id""")
                             + " FROM fx_pw")
     q["product_lines_fanout"] = ft(T, feat_ctes, f"SELECT {select_cols(PATTR_COLS, PATTR_DOUBLES, prefix='a.')}, "
                                                  "l.order_id, l.add_to_cart_order, l.reordered FROM fx_pattr a "
-                                                 "LEFT JOIN fx_op_train l ON a.product_id = l.product_id")
+                                                 "LEFT JOIN fx_lines l ON a.product_id = l.product_id")
     clash = {"product_name", "aisle_id", "department_id"}
     left = [(f"a.{c}", f"{c}_x" if c in clash else c, c in PATTR_DOUBLES) for c in PATTR_COLS]
     right = [(f"b.{c}", f"{c}_y" if c in clash else c, c == "days_since_prior_order")
@@ -383,7 +404,7 @@ FROM fx_hold WHERE prediction = 1 GROUP BY user_id""")
     sel = ", ".join(r(e, n) if dbl else f"{e} AS {n}" for e, n, dbl in left + right)
     q["product_base_suffix_join"] = ft(T, feat_ctes, f"SELECT {sel} FROM fx_pattr a LEFT JOIN fx_base b "
                                                      "ON a.product_id = b.product_id")
-    bucket = "((user_id * 7919 + order_number * 104729 + product_id * 31 + add_to_cart_order * 17) % 100)"
+    bucket = BUCKET
     q["split_holdout"] = ft(T, feat_ctes, f"{ft_select} WHERE {bucket} >= 80")
     q["split_train"] = ft(T, feat_ctes, f"{ft_select} WHERE {bucket} < 80")
     q["split_balance"] = ft(T, feat_ctes, f"""
@@ -427,7 +448,7 @@ SELECT CAST(0 AS BIGINT) AS positive, CAST({n} AS BIGINT) AS n,
        {r(div('a + c', n), 'prevalence')}, {r(div('a', n), 'detection_rate')},
        {r(div('a + b', n), 'detection_prevalence')},
        {r(f'({sens} + {spec}) / 2', 'balanced_accuracy')},
-       {r(div('(abs(b - c) - 1) * (abs(b - c) - 1)', 'b + c'), 'mcnemar_statistic')}
+       {r(div('(CASE WHEN b = c THEN 0 ELSE (abs(b - c) - 1) * (abs(b - c) - 1) END)', 'b + c'), 'mcnemar_statistic')}
 FROM (SELECT CAST(count_if(prediction = 0 AND reordered = 0) AS DOUBLE) AS a,
              CAST(count_if(prediction = 0 AND reordered = 1) AS DOUBLE) AS b,
              CAST(count_if(prediction = 1 AND reordered = 0) AS DOUBLE) AS c,
@@ -443,15 +464,18 @@ FROM (SELECT CAST(count_if(prediction = 0 AND reordered = 0) AS DOUBLE) AS a,
                                                      f"CAST(c AS BIGINT) AS freq, {r('CAST(c AS DOUBLE) / n', 'support')} "
                                                      "FROM fx_sets CROSS JOIN fx_n")
     q["association_rules"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules")
-    q["top_rules"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1 "
-                                  "ORDER BY lift DESC, support DESC, x, y LIMIT 5")
-    q["rule_scatter"] = ft(A, RULES, f"SELECT lhs, rhs, {r('support', 'support')}, {r('lift', 'lift')}, "
-                                     f"{r('confidence', 'confidence')} FROM fx_rules")
-    q["rule_graph_edges"] = ft(A, RULES, f"""
-SELECT lhs || ' => ' || rhs AS rule, x AS item, 'item_to_rule' AS direction, {r('support', 'support')},
-       {r('lift', 'lift')} FROM fx_rules
+    q["top_rules"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules WHERE lift > 1 ORDER BY lift DESC, "
+                                             "support DESC, array_to_string(ant, chr(1)), y LIMIT 5")
+    q["top_pair_rules"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1 "
+                                       "ORDER BY lift DESC, support DESC, x, y LIMIT 5")
+    q["rule_scatter"] = ft(A, RULES + ITEMSETS, f"SELECT lhs, rhs, {r('support', 'support')}, {r('lift', 'lift')}, "
+                                                f"{r('confidence', 'confidence')} FROM fx_fp_rules")
+    q["rule_graph_edges"] = ft(A, RULES + ITEMSETS, f"""
+SELECT lhs || ' => ' || rhs AS rule, unnest(ant) AS item, 'item_to_rule' AS direction, {r('support', 'support')},
+       {r('lift', 'lift')} FROM fx_fp_rules
 UNION ALL
 SELECT lhs || ' => ' || rhs AS rule, y AS item, 'rule_to_item' AS direction, {r('support', 'support')},
-       {r('lift', 'lift')} FROM fx_rules""")
-    q["rule_matrix"] = ft(A, RULES, f"SELECT lhs, rhs, {r('lift', 'lift')} FROM fx_rules")
+       {r('lift', 'lift')} FROM fx_fp_rules""")
+    q["rule_matrix"] = ft(A, RULES + ITEMSETS, f"SELECT lhs, rhs, {r('lift', 'lift')} FROM fx_fp_rules")
+    q["feature_table_fitted"] = ft(T, BASE + "," + FITTED, f"SELECT {select_cols(FT_COLS, FT_DOUBLES)} FROM fx_ft")
     return q

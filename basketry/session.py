@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -102,6 +103,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "basketry", name)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_keepers: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def written_paths():
+    """Collects the folders that :func:`materialize` writes inside the block, so their owner can remove them later."""
+    paths: list[str] = []
+    _keepers.append(paths)
+    try:
+        yield paths
+    finally:
+        _keepers.pop()
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
@@ -112,5 +133,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if _keepers:
+        _keepers[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -16,13 +16,11 @@ week 0 = Sunday; day gaps capped at 30 and NULL for a user's first order.
 
 from __future__ import annotations
 
-import os
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.joins import bounded_broadcast
+from basketry.functions.joins import bounded_broadcast, bounded_count
 from basketry.operators.ranking import block_row_number
 from basketry.session import materialize
 from basketry.sources.tables import Tables
@@ -34,14 +32,12 @@ MAPPINGS = ("dense", "part")
 
 # block sizes for the skew-safe running numbers (rows of one block must fit a task)
 ORDER_DATE_BLOCK_DAYS = 32
-# cart position: blocks of a composite key (line number, then part key) that grows along the
-# ordering, so one huge order splits by line number and by part-key ranges of this width
-PART_KEY_BITS = 40  # part keys stay below 2**40 (about 1.1e12)
+# cart position: blocks of (line number, part-key range), so one huge order splits
 PART_KEY_BLOCK = 1 << 24
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dimensions(part: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +53,9 @@ def _dimensions(part: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _part_products(part: DataFrame, departments: DataFrame, mapping: str) -> DataFrame:
     """One row per part: p_partkey, product_id, product_name, aisle_id, department_id."""
-    p = part.join(F.broadcast(departments), part.p_type == departments.department, "inner")
+    if mapping == "dense" and bounded_count(departments, DEPARTMENTS_PER_AISLE + 1) > DEPARTMENTS_PER_AISLE:
+        raise ValueError(f"mapping dense numbers products for at most {DEPARTMENTS_PER_AISLE} part types")
+    p = part.join(bounded_broadcast(departments), part.p_type == departments.department, "inner")
     aisle_id = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
     if mapping == "dense":
         pid = ((aisle_id - 1) * DEPARTMENTS_PER_AISLE + F.col("department_id")).cast("long")
@@ -71,13 +69,16 @@ def _part_products(part: DataFrame, departments: DataFrame, mapping: str) -> Dat
                     aisle_id.alias("aisle_id"), F.col("department_id").cast("int").alias("department_id"))
 
 
-def _orders(orders_src: DataFrame) -> DataFrame:
+def _orders(orders_src: DataFrame, write: bool = False) -> DataFrame:
     o = orders_src.select(F.col("o_orderkey").cast("long").alias("order_id"),
                           F.col("o_custkey").cast("long").alias("user_id"),
                           F.to_date("o_orderdate").alias("odate"))
     day = F.datediff(F.col("odate"), F.lit("1970-01-01").cast("date"))
     o = block_row_number(o, ["user_id"], ["odate", "order_id"], day, ORDER_DATE_BLOCK_DAYS, "order_number")
     o = o.withColumn("order_number", F.col("order_number").cast("int"))
+    if write:
+        # read three times below: written once instead of numbered three times
+        o = materialize(o, "fx_numbered_orders")
     # previous / next order through joins on the unique key (user_id, order_number):
     # no window has to hold a whole user
     prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"),
@@ -106,8 +107,7 @@ def _lines(lineitem: DataFrame, part_products: DataFrame, orders: DataFrame) ->
         li, ["order_id"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
          "l_discount", "l_tax"],
-        F.col("l_linenumber").cast("long") * F.lit(1 << PART_KEY_BITS) + F.col("l_partkey"), PART_KEY_BLOCK,
-        "add_to_cart_order")
+        [F.col("l_linenumber"), F.col("l_partkey")], [1, PART_KEY_BLOCK], "add_to_cart_order")
     li = li.select("order_id", "product_id", F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
     lo = li.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
     # reordered: the user bought this product in an earlier order (min is a partial aggregate)
@@ -132,7 +132,7 @@ def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persis
     aisles, departments = _dimensions(part)
     pp = _part_products(part, departments, mapping)
     products = pp.select("product_id", "product_name", "aisle_id", "department_id").distinct()
-    orders = _orders(_read(spark, sf_dir, "orders"))
+    orders = _orders(_read(spark, sf_dir, "orders"), materialize_tables)
     if materialize_tables:
         # written before the lines are derived, so the lines' join reads it instead of re-deriving it
         orders = materialize(orders, "fx_orders")

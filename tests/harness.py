@@ -6,6 +6,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 
 # decimals kept when comparing doubles; both sides already round to 9, so
 # BASKETRY_EXACT=1 compares them exactly as a value hash would
@@ -19,13 +20,15 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(p):
+        if os.path.isdir(p):
+            p += "/*.parquet"
+        if os.path.exists(p.removesuffix("/*.parquet")):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if hasattr(v, "item") and not isinstance(v, (list, tuple, str, bytes)):
         try:

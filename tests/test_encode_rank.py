@@ -37,5 +37,35 @@ def test_block_row_number_matches_row_number_with_hot_key(spark):
 
 def test_block_row_number_null_keys(spark):
     df = spark.createDataFrame([(None, 1, 1), (None, 2, 2), (1, 5, 3), (1, 3, 4)], "g int, k int, id int")
-    got = block_row_number(df, ["g"], ["k", "id"], F.col("k"), 2, "rn", null_keys=True)
+    got = block_row_number(df, ["g"], ["k", "id"], F.col("k"), 2, "rn")
     assert sorted(map(tuple, got.select("id", "rn").collect())) == [(1, 1), (2, 2), (3, 2), (4, 1)]
+
+
+def test_block_row_number_null_groups_and_null_blocks(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice([None, "a", ""]), rnd.choice([None, 0, 1, 5, 9]), rnd.choice([None, 1, 2]), i) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, k int, t int, id int")
+    got = block_row_number(df, ["g"], ["k", "t", "id"], [F.col("k"), F.col("t")], [1, 2], "rn")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "t", "id")))
+    assert got.count() == 400
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == sorted(map(tuple, want.select("id", "rn").collect()))
+
+
+def test_one_huge_order_is_split(spark):
+    """All lines in one order of one user and product: the window sees blocks of cart positions, not the order."""
+    from basketry.operators import features as fe
+    lines = spark.range(0, 20000).selectExpr("7L AS user_id", "3L AS product_id", "1 AS order_number",
+                                             "CAST(id + 1 AS INT) AS add_to_cart_order", "9L AS order_id")
+    got = fe.with_occurrence_number(lines)
+    assert got.where("user_buy_product_times <> add_to_cart_order").count() == 0 and got.count() == 20000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "__blk1" in plan
+
+
+def test_encoder_numbers_levels_across_partitions(spark):
+    from basketry.functions.encode import level_codes
+    vals = [f"level {i * 7919 % 1000:04d}" for i in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "c string").repartition(13)
+    codes, n = level_codes(df, "c")
+    got = {r["__level"]: r["__code"] for r in codes.collect()}
+    assert n == 1001 and got == {v: i + 1 for i, v in enumerate(sorted(vals))}

@@ -75,3 +75,20 @@ def test_stratified_split_exact_shares(spark):
     import math
     for cls, n in {r["reordered"]: r["count"] for r in df.groupBy("reordered").count().collect()}.items():
         assert tr.filter(F.col("reordered") == cls).count() == math.ceil(n * 0.8)
+
+
+def test_mcnemar_without_difference_is_zero(spark):
+    def statistic(b, c):
+        rows = [(0, 0)] * 4 + [(0, 1)] * b + [(1, 0)] * c + [(1, 1)] * 5
+        return ev.confusion_metrics(ev.confusion_counts(
+            spark.createDataFrame(rows, "prediction int, reordered int"))).first()["mcnemar_statistic"]
+
+    assert statistic(3, 3) == 0.0 and statistic(0, 0) is None
+    assert abs(statistic(6, 2) - 9 / 8) < 1e-12 and abs(statistic(3, 2) - 0.0) < 1e-12
+
+
+def test_product_without_name_is_listed_as_missing(spark):
+    scored = spark.createDataFrame([(1, 10, 1, 1), (1, 11, 1, 1)],
+                                   "user_id long, product_id long, prediction int, reordered int")
+    prods = spark.createDataFrame([(10, None), (11, "b")], "product_id long, product_name string")
+    assert rc.predicted_products(scored, prods).first()["produtos_previstos"] == "NA, b"

@@ -25,7 +25,7 @@ def test_model_seeded_and_near_majority_baseline(spark, sf_small, tmp_path):
     m = res.metrics.first()
     cells = {(r["prediction"], r["reference"]): r["n"] for r in res.confusion.collect()}
     assert sum(cells.values()) == test.count()
-    assert m["accuracy"] >= m["no_information_rate"] - 0.05
+    assert m["accuracy"] >= m["no_information_rate"]
     assert {r["sucesso"] for r in res.outcome.collect()} <= {"sim", "não"}
 
 
@@ -69,3 +69,16 @@ def test_part_mapping_counts(spark, sf_small):
     share = lines.agg(F.avg("reordered")).first()[0]
     assert abs(share - 0.095) < 0.005  # FIXTURES.md: 9.5% at sf0.001
     assert os.path.isdir(sf_small)
+
+
+def test_two_models_as_the_analysis_runs_them(spark, sf_small, tmp_path):
+    t = tpch_tables(spark, sf_small, materialize_tables=True)
+    ft = analyses.build_feature_table(t, str(tmp_path / "ft"), "train")
+    short, long = ModelParams(rounds=2, depth=3), ModelParams(rounds=6, depth=3)
+    res = analyses.train_and_evaluate(ft, t.products, short, long)
+    test = sp.split_holdout(ft).drop("eval_set")
+    assert len(res.model.stages[-1].trees) == 2 and len(res.final.stages[-1].trees) == 6
+    first = ev.outcome_share(ev.threshold(mo.score(res.model, test), mo.SCORE_COL, short.threshold))
+    assert sorted(map(tuple, res.outcome.collect())) == sorted(map(tuple, first.collect()))
+    second = ev.confusion_counts(ev.threshold(mo.score(res.final, test), mo.SCORE_COL, long.threshold))
+    assert sorted(map(tuple, res.confusion.collect())) == sorted(map(tuple, second.collect()))

@@ -3,14 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from basketry.plans.oracle import oracle_statements
 from harness import compare
 
-# one key per operator family; tools/check_oracle.py runs all of them
-KEYS = ["scan_orders", "top_products", "freq_order_lines", "baskets", "pair_rules", "top_rules",
-        "frequent_pairs", "rule_graph_edges", "basket_incidence", "order_line_base", "user_buy_product_times",
-        "product_features", "aisle_features", "user_features", "product_feature_wide", "feature_table",
-        "product_base_suffix_join", "profile_nulls", "profile_shape", "split_balance", "outcome_share",
-        "confusion_metrics", "predicted_vs_actual", "submission_list"]
+KEYS = sorted(oracle_statements())
 
 
 def test_contract_keys_match():
@@ -21,7 +17,28 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["lhs", "rhs", "support", "confidence", "lift", "coverage", "count"]
-    assert 0 < len(rows) <= 5 and all(r["lift"] > 1 for r in rows)
+    assert len(rows) == 5 and all(r["lift"] > 1 for r in rows)
+    # the strongest rule has three items on the left: pairs alone would miss it
+    assert rows[0]["lhs"] == "{Brand#10 MEDIUM,Brand#14 ECONOMY,Brand#7 SMALL}" and rows[0]["rhs"] == "{Brand#4 SMALL}"
+    assert abs(rows[0]["lift"] - 63.9) < 0.1
+
+
+def test_rules_of_all_sizes_feed_every_rule_query(spark, sf_small):
+    q = E.queries()
+    assert q["association_rules"](spark, sf_small).count() == q["rule_matrix"](spark, sf_small).count() == 5711
+    assert q["rule_scatter"](spark, sf_small).count() == 5711
+    assert q["pair_rules"](spark, sf_small).count() == 3040
+    assert q["rules_lift_gt1"](spark, sf_small).count() == 5307
+    grouped = q["rule_groups"](spark, sf_small)
+    assert grouped.agg({"n_rules": "sum"}).first()[0] == 5711
+
+
+def test_whole_history_has_spread_and_repeats(spark, sf_small):
+    q = E.queries()
+    users = q["user_features_all"](spark, sf_small)
+    assert users.where("std_dow > 0 and std_doh > 0 and std_since_order > 0").count() > 100
+    assert users.where("total_orders_by_user > 2").count() > 100
+    assert q["user_buy_product_times_all"](spark, sf_small).where("user_buy_product_times > 2").count() > 100
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -23,10 +23,21 @@ def test_frequent_lines_use_broadcast_semi_join(spark, sf_small):
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
 
 
-def test_pair_rules_never_join_baskets_with_themselves(spark, sf_small):
+def test_pair_rules_count_pairs_partially(spark, sf_small):
     p = plan(E.queries()["pair_rules"](spark, sf_small))
-    assert "SortMergeJoin" not in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert "ObjectHashAggregate" in p  # partial vector sums per item
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "partial_count(1)" in p
+
+
+def test_user_features_need_no_expansion(spark, sf_small):
+    for key in ("user_features", "product_features", "user_features_all"):
+        assert "Expand" not in plan(E.queries()[key](spark, sf_small))
+
+
+def test_product_lines_stay_on_the_streamed_side(spark, sf_small):
+    for key in ("product_lines_fanout", "product_base_suffix_join"):
+        p = plan(E.queries()[key](spark, sf_small))
+        assert "BuildRight" in p and "SortMergeJoin" not in p and "RightOuter" not in p
 
 
 def test_feature_table_reads_materialized_base(spark, sf_small):

@@ -35,3 +35,16 @@ def test_pair_rules_equal_brute_force(spark, baskets, support, conf):
     for k, (c, s, cf, lift) in want.items():
         assert got[k][0] == c
         assert abs(got[k][1] - s) < 1e-12 and abs(got[k][2] - cf) < 1e-12 and abs(got[k][3] - lift) < 1e-9
+
+
+def test_more_than_4096_items_and_one_basket_of_100(spark):
+    data = [(i, [f"i{2 * i}", f"i{2 * i + 1}"]) for i in range(2500)]
+    data.append((9999, sorted({f"i{k * 49}" for k in range(100)})))
+    df = spark.createDataFrame(data, "order_id long, items array<string>")
+    rules = ru.pair_rules(df, 0.0, 0.0)
+    got = {(r["antecedent"][0], r["consequent"][0]): r["count"] for r in rules.collect()}
+    want = {}
+    for _, items in data:
+        for x, y in permutations(items, 2):
+            want[x, y] = want.get((x, y), 0) + 1
+    assert got == want and len({x for x, _ in got}) > 4096

@@ -38,3 +38,59 @@ def test_scale_conf_bounds():
     assert c["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+
+
+def test_shared_folder_is_required_outside_local_mode(monkeypatch):
+    import pytest
+
+    from basketry import session
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.made = master, None
+
+        def getCheckpointDir(self):
+            return self.made
+
+        def setCheckpointDir(self, path):
+            self.made = path
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, self.conf = Context(master), {}
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session("local-cluster[3,2,1024]"))
+    assert session.ensure_checkpoint_dir(Session("local[4]"))
+
+
+def test_context_follows_its_files_and_leaves_no_copies(spark, tmp_path):
+    import os
+    import shutil
+
+    from basketry.plans.registry import Context, query
+
+    source, mine = "/root/testdata/sf0.001", tmp_path / "data"
+    mine.mkdir()
+    for name in ("orders", "lineitem", "part"):
+        shutil.copy(f"{source}/{name}.parquet", mine / f"{name}.parquet")
+    first = query("product_frequency")(spark, str(mine)).agg(F.sum("frequency")).first()[0]
+    query("feature_table")(spark, str(mine)).count()
+    held = list(Context.get(spark, str(mine)).paths)
+    query("feature_table")(spark, str(mine)).count()
+    assert Context.get(spark, str(mine)).paths == held  # the second call writes nothing anew
+    lines = spark.read.parquet(f"{source}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas()
+    lines.to_parquet(mine / "lineitem.parquet", coerce_timestamps="us")
+    second = query("product_frequency")(spark, str(mine)).agg(F.sum("frequency")).first()[0]
+    assert second == len(lines) < first
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in held)
+    context = Context.get(spark, str(mine))
+    left = list(context.paths)
+    context.release()
+    Context._cache = {k: v for k, v in Context._cache.items() if v[1] is not context}
+    assert left and not any(os.path.exists(p.removeprefix("file:")) for p in left)
