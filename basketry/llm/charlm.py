@@ -22,8 +22,8 @@ from basketry.llm.common import materialize
 
 ORDER = 4
 BLANK = 32
-SLOTS = 131_071                                   # a prime: places per order and group
-_WEIGHTS = (1, 8_191, 131_071 + 4, 524_287)       # of the four characters in the place of a gram
+SLOTS = 524_287                                   # a prime: places per order and group
+_WEIGHTS = (1, 8_191, 250_007, 388_099)           # of the four characters in the place of a gram
 
 
 def pack_grams(units: np.ndarray) -> np.ndarray:

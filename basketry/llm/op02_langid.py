@@ -33,7 +33,7 @@ from basketry.llm.charlm import BLANK, CharModel, collect_models, merge_counts,
 from basketry.llm.common import hash_bucket, map_batches, materialize, table
 
 FOLDS, HELD_OUT = 4, 2
-BLOCK = 16                # languages whose models are broadcast together (at most 17 MB each)
+BLOCK = 4                 # languages whose models are broadcast together (at most 50 MB each, a few in practice)
 CHUNK_CHARS = 1 << 20     # characters held as arrays at once
 GRAMS_HELD = 1 << 21      # grams that a counting task holds before it hands them on
 KNOWN_GRAMS = 1 << 20     # scored grams that a task remembers
