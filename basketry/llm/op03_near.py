@@ -7,14 +7,17 @@
    each token makes a 64-bit sketch.
 3. Twelve independent trees start from one minwise token each: classes with the
    same token meet in a node. Nodes of up to ``SMALL`` classes are compared
-   exhaustively; the sketches weed out pairs far below the threshold. In larger
-   nodes every class is compared with a pivot chosen by the node's hash.
-4. The candidates are confirmed on the full shingle sets, and the links join
-   classes to components. A large node whose classes are all connected by now is
-   done. The others branch: a class goes on to a child node for each of two
-   further tokens that the node's hash selects, and only classes of different
-   components are compared. At ``MAX_DEPTH`` what is left is compared in salted
-   blocks, so no node is too large for a task and none is cut.
+   exhaustively; sizes and sketches weed out pairs far below the threshold. In
+   larger nodes every class is compared with a pivot chosen by the node's hash.
+   The candidates are confirmed on the full shingle sets, and the links join
+   classes to components.
+4. A large node whose classes are all connected by now is done, and of nodes with
+   the same members one is enough. What is left open is compared exhaustively on
+   the full sets, block against block: a task gets two blocks of bounded size and
+   returns only the links that join components, never the pairs. Nodes above
+   ``BRANCH`` classes branch first: a class goes on to a child node for each of
+   two further tokens that the node's hash selects, until the nodes are small
+   enough or ``MAX_DEPTH`` is reached; the blocks take nodes of any size.
 
 A pair at the threshold of 0.75 misses all twelve first nodes with probability
 0.25 ** 12; a true pair fails the sketch test at more than five standard
@@ -31,6 +34,7 @@ are ignored. All sets are those of whole texts.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +46,12 @@ from basketry.llm.shingles import shingle_set
 TOKENS = 64          # minwise tokens of a set
 TREES = 12           # independent trees: root tokens
 BRANCHES = 2         # further tokens that a large node selects
-SMALL = 64           # classes in a node that is compared exhaustively
-MAX_DEPTH = 8        # levels before the rest is compared in blocks
-BLOCK = 512          # classes in a block of that comparison
+SMALL = 64           # classes in a node that is compared by a join on the node
+BRANCH = 1 << 13     # classes in a node above which it branches before it is compared in blocks
+MAX_DEPTH = 8        # levels at most
+BLOCK = 1 << 10      # classes in a block, on average
+BLOCK_SHINGLES = 1 << 20  # shingles in a block, on average (8 MB)
+RARE = 8             # sets of a block pair that share a shingle, up to which they are paired one by one
 SKETCH_BITS = 22     # bits in which the sketches of a linked pair may differ (8 expected at similarity 0.75)
 SIMILARITY = 75      # percent
 
@@ -93,56 +100,144 @@ def _close(left: str, right: str):
     return F.bit_count(F.col(left).bitwiseXOR(F.col(right))) <= SKETCH_BITS
 
 
-def _exhaustive(rows: DataFrame, across: bool) -> DataFrame:
-    """Candidate pairs of nodes that fit a task: all whose sketches are close (and components differ)."""
-    cols = ["node", "id", "bits"] + (["root"] if across else [])
+def _alike_in_size(left: str, right: str):
+    """Sets whose sizes alone rule a link out are no candidates."""
+    return 100 * F.least(left, right) >= SIMILARITY * F.greatest(left, right)
+
+
+def _exhaustive(rows: DataFrame) -> DataFrame:
+    """Candidate pairs of small nodes: all whose sizes and sketches are close."""
+    cols = ["node", "id", "bits", "n"]
     a = rows.select(*[F.col(c).alias(f"a_{c}") for c in cols])
     b = rows.select(*[F.col(c).alias(f"b_{c}") for c in cols])
-    apart = (F.col("a_node") == F.col("b_node")) & (F.col("a_id") < F.col("b_id")) & _close("a_bits", "b_bits")
-    if across:
-        apart = apart & (F.col("a_root") != F.col("b_root"))
-    return a.join(b, apart).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    near = ((F.col("a_node") == F.col("b_node")) & (F.col("a_id") < F.col("b_id")) & _close("a_bits", "b_bits")
+            & _alike_in_size("a_n", "b_n"))
+    return a.join(b, near).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
 
 
 def _stars(rows: DataFrame) -> DataFrame:
     """Candidate pairs of large nodes: each class with the node's pivot."""
-    return rows.where((F.col("id") != F.col("pivot_id")) & _close("bits", "pivot_bits")).select(
+    near = _close("bits", "pivot_bits") & _alike_in_size("n", "pivot_n")
+    return rows.where((F.col("id") != F.col("pivot_id")) & near).select(
         F.least("id", "pivot_id").alias("a"), F.greatest("id", "pivot_id").alias("b"))
 
 
 def _sized(rows: DataFrame) -> DataFrame:
     """Rows of nodes with several classes, with the node's size and pivot."""
-    pivot = F.min(F.struct(F.xxhash64("node", "id").alias("rank"), "id", "bits")).alias("pivot")
+    pivot = F.min(F.struct(F.xxhash64("node", "id").alias("rank"), "id", "bits", "n")).alias("pivot")
     nodes = rows.groupBy("node").agg(F.count("*").alias("size"), pivot).where("size > 1").select(
-        "node", "size", F.col("pivot.id").alias("pivot_id"), F.col("pivot.bits").alias("pivot_bits"))
+        "node", "size", F.col("pivot.id").alias("pivot_id"), F.col("pivot.bits").alias("pivot_bits"),
+        F.col("pivot.n").alias("pivot_n"))
     return rows.join(nodes, "node")
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """All pairs of different components in nodes of any size, block against block in tasks of their own."""
-    marked = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    a = marked.select(F.col("node").alias("a_node"), F.col("id").alias("a_id"), F.col("bits").alias("a_bits"),
-                      F.col("root").alias("a_root"), F.col("own").alias("a_low"),
-                      F.explode(F.sequence("own", F.col("blocks") - 1)).alias("a_high"))
-    b = marked.select(F.col("node").alias("b_node"), F.col("id").alias("b_id"), F.col("bits").alias("b_bits"),
-                      F.col("root").alias("b_root"), F.col("own").alias("b_high"),
-                      F.explode(F.sequence(F.lit(0), F.col("own"))).alias("b_low"))
-    met = ((F.col("a_node") == F.col("b_node")) & (F.col("a_low") == F.col("b_low"))
-           & (F.col("a_high") == F.col("b_high")) & (F.col("a_root") != F.col("b_root")) & _close("a_bits", "b_bits")
-           & ((F.col("a_low") != F.col("a_high")) | (F.col("a_id") < F.col("b_id"))))
-    return a.join(b, met).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
+def _still_open(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows (node, id, n, root, size, total) of the nodes that hold several components, each set of members once."""
+    rooted = rows.select("node", "id", "n").join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    nodes = rooted.groupBy("node").agg(
+        F.count("*").alias("size"), F.sum("n").alias("total"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")).where("low <> high")
+    once = nodes.groupBy("size", "total", "members").agg(F.min("node").alias("node"))
+    return materialize(rooted.join(once.select("node", "size", "total"), "node"), "near_open")
+
+
+def _children(rows: DataFrame, classes: DataFrame, depth: int) -> DataFrame:
+    """The next level of large nodes: classes by two tokens that the node's hash selects."""
+    picks = F.array(*[F.pmod(F.xxhash64("node", F.lit(depth * BRANCHES + k)), F.lit(TOKENS)).cast("int")
+                      for k in range(BRANCHES)])
+    child = rows.select("node", "id", "n").join(classes.select("id", "tokens"), "id").withColumn(
+        "pick", F.explode(F.array_distinct(picks)))
+    return child.select("id", "n", F.xxhash64("node", "pick", F.get("tokens", F.col("pick"))).alias("node"))
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right`` (of ``left`` itself if that is None).
+
+    Shingles in few sets are counted pair by pair, those in many as products of 0/1 matrices.
+    """
+    sets = left if right is None else [*left, *right]
+    n, split = len(sets), len(left)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(flat)))
+    counts = np.zeros(n * n, np.int64)
+    for k in range(2, RARE + 1):
+        holders = owner[first[size == k][:, None] + np.arange(k)[None, :]]
+        for i in range(k):
+            for j in range(i + 1, k):
+                counts += np.bincount(holders[:, i] * n + holders[:, j], minlength=n * n)
+    counts = counts.reshape(n, n)[:split, 0 if right is None else split:].astype(np.float32)
+    common = np.flatnonzero(size > RARE)
+    for at in range(0, len(common), 2048):
+        part = common[at:at + 2048]
+        column = np.repeat(np.arange(len(part)), size[part])
+        rows = owner[np.concatenate([np.arange(first[c], first[c] + size[c]) for c in part])]
+        holds = np.zeros((n, len(part)), np.float32)
+        holds[rows, column] = 1.0
+        counts += holds[:split] @ holds[0 if right is None else split:].T
+    # pair by pair, only the smaller index leads; products hold both directions
+    return np.maximum(counts, counts.T) if right is None else counts
+
+
+def _block_links(rows: pa.Table) -> pa.Table:
+    """Links of two blocks that join different components; each joins two parts that were apart until then."""
+    ids, roots = rows.column("id").to_pylist(), rows.column("root").to_pylist()
+    side = np.array(rows.column("side").to_pylist())
+    sets = [np.asarray(x.values) for x in rows.column("shingles").combine_chunks()]
+    same = not (side == 1).any()
+    left = np.flatnonzero(side != 1)
+    right = left if same else np.flatnonzero(side == 1)
+    shared = shared_counts([sets[i] for i in left], None if same else [sets[i] for i in right])
+    sizes = np.array([len(s) for s in sets], np.float64)
+    either = sizes[left][:, None] + sizes[right][None, :] - shared
+    close = 100 * shared.astype(np.float64) >= SIMILARITY * either
+    named = np.array(roots)
+    close &= named[left][:, None] != named[right][None, :]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(close):
+        a, b = left[i], right[j]
+        x, y = find(roots[a]), find(roots[b])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
+def _in_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the components of nodes of any size, block against block, each pair of blocks a group."""
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    marked = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = marked.select("node", "id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") > F.col("other"), 1).otherwise(0)
+    dealt = dealt.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("pair"), "id",
+                         "root", side.alias("side"))
+    sets = _sets_of(rows.select("id").distinct(), docs, classes)
+    return dealt.join(sets, "id").groupBy("pair").applyInArrow(_block_links, "a long, b long")
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, shingles) of some classes, made from their texts again and written to the shared folder."""
+    named = ids.join(classes.select("id", "set_key", "doc_id"), "id")
+    texts = docs.select("doc_id", "text").join(named.select(F.col("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = map_batches(texts, ["text"], "set_key binary, shingles array<long>", _set_batches)
+    return materialize(sets.join(named.select("id", "set_key"), "set_key").dropDuplicates(["id"])
+                       .select("id", "shingles"), "near_sets")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The candidate pairs (a, b) whose full shingle sets reach the similarity."""
     pairs = materialize(pairs.distinct(), "near_candidates")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(
-        classes.select("id", "set_key", "doc_id"), "id")
-    texts = docs.select("doc_id", "text").join(named.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = map_batches(texts, ["text"], "set_key binary, shingles array<long>", _set_batches)
-    sets = materialize(sets.join(named.select("id", "set_key"), "set_key").dropDuplicates(["id"])
-                       .select("id", "shingles"), "near_sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, classes)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_set"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_set"))
     shared = F.size(F.array_intersect("a_set", "b_set"))
@@ -155,48 +250,27 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = materialize(map_batches(docs, ["doc_id", "text"], "doc_id long, n_shingles long, set_key binary, "
                                    "tokens array<long>, bits long", _sketch_batches), "near_sketches")
     classes = rows.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("tokens").alias("tokens"), F.any_value("bits").alias("bits"))
+        F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("tokens").alias("tokens"),
+        F.any_value("bits").alias("bits"))
     classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "near_classes")
 
     roots = F.array(*[F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))) for t in range(TREES)])
     first = materialize(_sized(classes.where("doc_id is not null").select(
-        "id", "bits", F.explode(roots).alias("node"))), "near_nodes")
+        "id", "bits", "n", F.explode(roots).alias("node"))), "near_nodes")
     small, large = first.where(F.col("size") <= SMALL), first.where(F.col("size") > SMALL)
-    links = _confirm(_exhaustive(small, False).unionByName(_stars(large)), docs, classes)
-    links = materialize(links, "near_links")
+    links = materialize(_confirm(_exhaustive(small).unionByName(_stars(large)), docs, classes), "near_links")
     joined = components(links)
 
-    open_rows = large.select("node", "id", "bits")
-    found = []
+    waiting = _still_open(large, joined)
+    nodes = waiting.where(F.col("size") <= BRANCH)
     for depth in range(2, MAX_DEPTH + 1):
-        # the next nodes: classes of large nodes that hold several components, by two tokens of the node's choice
-        rooted = open_rows.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        several = rooted.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
-            "low <> high").select("node")
-        picks = F.array(*[F.pmod(F.xxhash64("node", F.lit(depth * BRANCHES + k)), F.lit(TOKENS)).cast("int")
-                          for k in range(BRANCHES)])
-        rooted = rooted.join(several, "node", "left_semi")
-        if depth > 2 and rooted.isEmpty() or depth == 2 and several.isEmpty():
-            open_rows = None
+        above = waiting.where(F.col("size") > BRANCH)
+        if above.isEmpty():
             break
-        child = rooted.join(classes.select("id", "tokens"), "id").withColumn("pick", F.explode(F.array_distinct(picks)))
-        child = child.select("id", "bits", F.xxhash64("node", "pick", F.get("tokens", F.col("pick"))).alias("node"))
-        sized = materialize(_sized(child), "near_nodes")
-        here = sized.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        found.append(_exhaustive(here.where(F.col("size") <= SMALL), True))
-        big = here.where(F.col("size") > SMALL)
-        found.append(_stars(big.drop("root")))
-        open_rows = sized.where(F.col("size") > SMALL).select("node", "id", "bits")
-    if open_rows is not None:
-        rooted = open_rows.join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        sizes = rooted.groupBy("node").agg(F.count("*").alias("size"), F.min("root").alias("low"),
-                                           F.max("root").alias("high")).where("low <> high").select("node", "size")
-        found.append(_in_blocks(rooted.join(sizes, "node")))
-    if found:
-        pairs = found[0]
-        for more in found[1:]:
-            pairs = pairs.unionByName(more)
-        later = materialize(_confirm(pairs, docs, classes), "near_links")
+        waiting = _still_open(_children(above, classes, depth), joined)
+        nodes = nodes.unionByName(waiting if depth == MAX_DEPTH else waiting.where(F.col("size") <= BRANCH))
+    if not nodes.isEmpty():
+        later = materialize(_in_blocks(nodes, docs, classes), "near_links")
         if not later.isEmpty():
             joined = components(links.unionByName(later))
     return rows, classes.select("set_key", "id", "doc_id").join(joined, "id", "left").withColumn(
