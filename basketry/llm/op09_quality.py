@@ -5,7 +5,7 @@ before it is counted: blanks become one blank, a word that repeats the word
 before it becomes a mark of its own, digits become one digit. Junk shows as
 characters, cases, separators or repetitions that trusted text seldom has.
 
-1. Documents are coded and packed into shards of bounded size. A shard's last
+1. Documents are coded and packed (bzip2) into shards of bounded size. A shard's last
    row lists its distinct character 4-grams and how often its trusted texts have
    each (the only pass over the raw text; written to the shared folder).
 2. The counts of all shards make an interpolated modified Kneser-Ney model of
@@ -35,9 +35,10 @@ ignored.
 
 from __future__ import annotations
 
+import bz2
+
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +90,6 @@ PACKED = ("shard long, doc_ids array<long>, langs array<string>, trusted array<b
 
 
 def _pack_batches(batches):
-    pack = zstandard.ZstdCompressor(level=3).compress
     shard, size = TaskContext.get().partitionId() << 24, 0
     parts: list = []
 
@@ -107,7 +107,7 @@ def _pack_batches(batches):
         parts.append((np.concatenate([known, grams]), np.concatenate([np.zeros(len(known), np.int64), times])))
         if len(parts) > 16:
             parts[:] = [merge_counts(parts)]
-        return row(docs, pack(coded.encode("utf-8", "surrogatepass")))
+        return row(docs, bz2.compress(coded.encode("utf-8", "surrogatepass")))
 
     held, chars = [], 0
     for b in batches:
@@ -176,10 +176,9 @@ def _score_shard(packed: pa.Table, listed: pa.Table) -> pa.Table:
     known = listed.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(known)
     known, logp = known[order], listed.column("logp").to_numpy()[order]
-    unpack = zstandard.ZstdDecompressor().decompress
     out: dict[str, list] = {n: [] for n in ("doc_id", "lang", "trusted", "chars", "logp")}
     for row in packed.to_pylist():
-        keys, ends = gram_keys(unpack(row["payload"]).decode("utf-8", "surrogatepass"))
+        keys, ends = gram_keys(bz2.decompress(row["payload"]).decode("utf-8", "surrogatepass"))
         starts = np.concatenate([[0], ends[:-1] + 1])
         sums = np.add.reduceat(logp[np.searchsorted(known, keys)], starts)
         out["doc_id"] += row["doc_ids"]
