@@ -19,6 +19,3 @@ def make_docs(spark):
             df = df.withColumn(name, F.lit("x"))
         return df
     return make
-
-
-LONG = " ".join(f"word{i} tail{i % 7}" for i in range(6000))

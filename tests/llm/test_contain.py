@@ -1,7 +1,6 @@
 import random
 
-from brute import contained
-from conftest import LONG
+from brute import LONG, contained
 
 from basketry.llm import op07_contain as con
 

@@ -2,8 +2,7 @@ import hashlib
 import random
 from collections import defaultdict
 
-from brute import ascii_lower
-from conftest import LONG
+from brute import LONG, ascii_lower
 
 from basketry.llm import op06_exact as ex
 

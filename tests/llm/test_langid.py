@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import LONG
+from brute import LONG
 from pyspark.sql import functions as F
 
 from basketry.llm import op02_langid as langid

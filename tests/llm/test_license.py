@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import LONG
+from brute import LONG
 
 from basketry.llm import op10_license as lic
 

@@ -2,8 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import near_components
-from conftest import LONG
+from brute import LONG, near_components
 
 from basketry.llm import op03_near as near
 from basketry.llm.components import components

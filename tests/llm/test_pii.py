@@ -1,7 +1,8 @@
 import random
 
 import pytest
-from conftest import LONG
+
+from brute import LONG
 
 from basketry.llm import op04_pii as pii
 

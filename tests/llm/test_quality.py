@@ -2,7 +2,8 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import LONG
+
+from brute import LONG
 
 from basketry.llm import op09_quality as quality
 from basketry.llm.charlm import ORDER, discounts
