@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from basketry.session import materialize  # noqa: F401  (shared-folder tables, used by the operators)
+from basketry.session import materialize, scratch_path  # noqa: F401  (the operators take materialize from here)
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -25,21 +26,27 @@ _shipped: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Hand this package to the executors' Python workers once per application.
 
-    The zip is given to Spark's own file distribution (``addPyFile``), so the
-    workers import the operators wherever the package is installed or not.
+    A zip in the shared folder is given to Spark's own file distribution
+    (``addPyFile``), so the workers import the operators wherever the package is
+    installed or not.
     """
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="basketry-code-")), "basketry_code.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(root):
             for name in sorted(names):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(archive)
+    path = scratch_path(spark, f"code-{uuid.uuid4().hex}/basketry_code.zip")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
     _shipped.add(sc.applicationId)
 
 
@@ -70,6 +77,14 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
+BROADCAST_IDS = 1 << 21  # ids (16 MB) up to which a written list of them is sent to the scans
+
+
+def few_enough(written: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
+    """A written table of ids, marked for broadcast if a count shows that it is small; joined by shuffle beyond."""
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def hash_bucket(column: str, modulus: int):
     """crc32 of the column written as text, modulo ``modulus`` (the folds of the contracts)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

@@ -11,8 +11,8 @@
    larger nodes every class is compared with a pivot chosen by the node's hash.
    The candidates are confirmed on the full shingle sets, and the links join
    classes to components.
-4. A large node whose classes are all connected by now is done, and of nodes with
-   the same members one is enough. What is left open is compared exhaustively on
+4. A large node whose classes are all connected by now is done, and so is one
+   whose members all lie in a larger one. What is left open is compared exhaustively on
    the full sets, block against block: a task gets two blocks of bounded size and
    returns only the links that join components, never the pairs. Nodes above
    ``BRANCH`` classes branch first: a class goes on to a child node for each of
@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import map_batches, materialize, table
+from basketry.llm.common import few_enough, map_batches, materialize, table
 from basketry.llm.components import components
 from basketry.llm.shingles import shingle_set
 
@@ -49,7 +49,7 @@ BRANCHES = 2         # further tokens that a large node selects
 SMALL = 64           # classes in a node that is compared by a join on the node
 BRANCH = 1 << 13     # classes in a node above which it branches before it is compared in blocks
 MAX_DEPTH = 8        # levels at most
-BLOCK = 1 << 10      # classes in a block, on average
+BLOCK = 1 << 11      # classes in a block, on average
 BLOCK_SHINGLES = 1 << 20  # shingles in a block, on average (8 MB)
 RARE = 8             # sets of a block pair that share a shingle, up to which they are paired one by one
 SKETCH_BITS = 22     # bits in which the sketches of a linked pair may differ (8 expected at similarity 0.75)
@@ -132,13 +132,20 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 
 def _still_open(rows: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows (node, id, n, root, size, total) of the nodes that hold several components, each set of members once."""
+    """Rows (node, id, n, root, size, total) of the nodes that hold several components.
+
+    A node whose members all lie in one larger node would compare nothing new, so it is left out.
+    """
     rooted = rows.select("node", "id", "n").join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
     nodes = rooted.groupBy("node").agg(
-        F.count("*").alias("size"), F.sum("n").alias("total"), F.min("root").alias("low"), F.max("root").alias("high"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members")).where("low <> high")
-    once = nodes.groupBy("size", "total", "members").agg(F.min("node").alias("node"))
-    return materialize(rooted.join(once.select("node", "size", "total"), "node"), "near_open")
+        F.count("*").alias("size"), F.sum("n").alias("total"), F.min("root").alias("low"),
+        F.max("root").alias("high")).where("low <> high").select("node", "size", "total")
+    held = materialize(rooted.join(nodes, "node"), "near_open")
+    largest = held.groupBy("id").agg(F.max(F.struct("size", "total", "node")).alias("most")).select(
+        F.col("id").alias("__id"), F.col("most.node").alias("most"))
+    needed = held.join(largest, F.col("id") == F.col("__id")).groupBy("node").agg(
+        F.min("most").alias("low"), F.max("most").alias("high")).where("low <> high or low = node").select("node")
+    return materialize(held.join(needed, "node", "left_semi"), "near_open")
 
 
 def _children(rows: DataFrame, classes: DataFrame, depth: int) -> DataFrame:
@@ -227,8 +234,9 @@ def _in_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
 
 def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, shingles) of some classes, made from their texts again and written to the shared folder."""
-    named = ids.join(classes.select("id", "set_key", "doc_id"), "id")
-    texts = docs.select("doc_id", "text").join(named.select(F.col("doc_id")).distinct(), "doc_id", "left_semi")
+    named = materialize(ids.join(classes.select("id", "set_key", "doc_id"), "id"), "near_named")
+    wanted = few_enough(named.select("doc_id"))
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     sets = map_batches(texts, ["text"], "set_key binary, shingles array<long>", _set_batches)
     return materialize(sets.join(named.select("id", "set_key"), "set_key").dropDuplicates(["id"])
                        .select("id", "shingles"), "near_sets")
@@ -290,9 +298,9 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each component those with its smallest doc_id."""
-    dropped = materialize(near_components(docs).where("not kept").select("doc_id").distinct(), "near_dropped")
-    return docs.join(dropped.withColumnRenamed("doc_id", "__gone"), F.col("doc_id").eqNullSafe(F.col("__gone")),
-                     "left_anti")
+    dropped = materialize(near_components(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(),
+                          "near_dropped")
+    return docs.join(few_enough(dropped), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def op3_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:

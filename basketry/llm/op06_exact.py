@@ -27,11 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import LOWER, UPPER, map_batches, materialize, table
+from basketry.llm.common import LOWER, UPPER, few_enough, map_batches, materialize, table
 
 SLOTS = 4              # entries of a bucket
 MAX_KICKS = 200        # evictions tried before the table is doubled
 LIVE_DIGESTS = 1 << 17  # digests that the map-side combiner holds at once
+GROUPS_SENT = 1 << 18    # groups of copies (16 MB) up to which the stage sends them to the scan
 NO_ID = -(1 << 63)     # rank of a NULL doc_id
 
 
@@ -231,8 +232,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     key = F.unhex(F.sha2(lowered.cast("binary"), 256))
     groups = materialize(digest_groups(digest_table(docs)), "exact_groups")
-    shared = groups.where("n > 1").select(F.col("digest").alias("__digest"), F.col("doc_id").alias("__keep"),
-                                          F.col("n_keep").alias("__same"))
+    shared = few_enough(groups.where("n > 1").select(
+        F.col("digest").alias("__digest"), F.col("doc_id").alias("__keep"), F.col("n_keep").alias("__same")), GROUPS_SENT)
     joined = docs.withColumn("__digest", key).join(shared, "__digest", "left")
     stays = joined.where("__same is null or doc_id <=> __keep")
     if groups.where("n_keep > 1").isEmpty():

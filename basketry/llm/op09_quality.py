@@ -53,11 +53,10 @@ from basketry.llm.charlm import (
     merge_counts,
     pack_grams,
 )
-from basketry.llm.common import map_batches, materialize, ship_package, table
+from basketry.llm.common import few_enough, map_batches, materialize, ship_package, table
 
 SHARD_CHARS = 1 << 24       # characters of a shard
 CHUNK_CHARS = 1 << 20       # characters that a task holds as arrays at once
-BROADCAST_IDS = 1 << 21     # trusted ids (16 MB) up to which they are sent to the scan; joined by shuffle beyond
 PRIOR = 200.0               # characters of its language's mean that each text is mixed with
 QUANTILE = 0.995
 MARGIN = 0.5
@@ -132,10 +131,8 @@ def _pack_batches(batches):
 
 def pack_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Shards of coded texts and their gram lists, written to the shared folder."""
-    trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    marks = trusted.select(F.col("doc_id").alias("__id"))
-    if trusted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        marks = F.broadcast(marks)
+    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    marks = few_enough(materialize(trusted, "quality_trusted"))
     rows = docs.select("doc_id", "lang", "text").join(marks, F.col("doc_id") == F.col("__id"), "left").select(
         "doc_id", "lang", F.col("__id").isNotNull().alias("trusted"), "text")
     return materialize(map_batches(rows, ["doc_id", "lang", "trusted", "text"], PACKED, _pack_batches),
@@ -233,7 +230,7 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps."""
     gone = materialize(classify(docs, labels).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(),
                        "quality_rejected")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    return docs.join(few_enough(gone), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
