@@ -308,11 +308,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = materialize(read_pages(spark, path).select(
         "page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha1("payload").alias("payload_digest"), "problem"), "warc_pages")
-    referred = pages.where("record_type = 'response'").groupBy(F.col("page_id").alias("__page")).agg(
-        F.max("payload_bytes").alias("__bytes"), F.max("payload_digest").alias("__digest"))
-    out = pages.join(referred, F.col("refers_to") == F.col("__page"), "left")
-    return out.select("page_id", F.coalesce("payload_bytes", "__bytes").alias("payload_bytes"),
-                      F.coalesce("payload_digest", "__digest").alias("payload_digest"), "record_type", "refers_to")
+    stored = pages.where("refers_to is null").select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                     "refers_to")
+    # written, so that the join below has plain shuffles on both sides and a page with very many revisits is split
+    referred = materialize(pages.where("record_type = 'response'").groupBy(F.col("page_id").alias("__page")).agg(
+        F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")), "warc_stored")
+    revisits = pages.where("refers_to is not null").select("page_id", "record_type", "refers_to").join(
+        referred, F.col("refers_to") == F.col("__page"), "left")
+    return stored.unionByName(revisits.select(stored.columns))
 
 
 ORACLE = """
