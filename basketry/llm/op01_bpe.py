@@ -33,8 +33,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-import unicodedata
 from itertools import chain
 
 import regex
@@ -46,7 +44,7 @@ from basketry.llm.common import map_batches, table
 PIECES_KEPT = 200_000   # encoded pieces in each of the two generations that a worker remembers
 PIECE_BYTES = 64        # longer pieces are not remembered
 LOOKAHEAD = 1 << 10     # bytes of a piece held before agreed tokens are emitted
-STATES_KEPT = 100_000   # determinised states
+STATES_KEPT = 200_000   # determinised states
 PAIRS_KEPT = 1 << 20    # compatibility results
 FRESH = ()              # decoder state between characters
 
@@ -82,46 +80,12 @@ class _State:
         self.next: dict = {}
 
 
-WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode White_Space
-
-
-def _char_class(kind: str) -> str:
-    """All characters whose general category starts with ``kind``, as ranges for a regular expression."""
-    ranges: list[list[int]] = []
-    for code in range(0x110000):
-        if unicodedata.category(chr(code))[0] == kind:
-            if ranges and ranges[-1][1] == code - 1:
-                ranges[-1][1] = code
-            else:
-                ranges.append([code, code])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
-
-
-def splitter(pattern: str):
-    """``findall`` of a splitting pattern, its classes spelled out for the standard engine, which is faster.
-
-    Patterns with other properties or operators stay with the ``regex`` package.
-    """
-    if re.search(r"\\[pP]\{(?![LN]\})|\\[hRXK]|\(\?[^!]|([?*+]|(?<!\{[LN])\})\+", pattern):
-        return regex.compile(pattern).findall
-    letters, numbers = _char_class("L"), _char_class("N")
-    known = {r"\p{L}": letters, r"\p{N}": numbers, r"\s": WHITE}
-
-    def spell(text: str, inside: bool) -> str:
-        for name, chars in known.items():
-            text = text.replace(name, chars if inside else f"[{chars}]")
-        return text if inside else text.replace(r"\S", f"[^{WHITE}]")
-
-    parts = re.split(r"(\[[^\]]*\])", pattern)
-    return re.compile("".join(spell(x, i % 2 == 1) for i, x in enumerate(parts))).findall
-
-
 class Encoder:
     """The lazily determinised transducer of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = splitter(pattern)
+        self.pieces = regex.compile(pattern).findall
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.size_of = {r: len(b) for b, r in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
@@ -241,12 +205,14 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         pieces = self.pieces(text or "")
         got = list(map(self.known.get, pieces))
-        if None in got:
-            for i, ids in enumerate(got):
-                if ids is None:
-                    # a piece that came up earlier in this text is known by now
-                    got[i] = self.known.get(pieces[i]) or self.piece(pieces[i])
-        return list(chain.from_iterable(got))
+        i = -1
+        try:
+            while True:
+                i = got.index(None, i + 1)
+                # a piece that came up earlier in this text is known by now
+                got[i] = self.known.get(pieces[i]) or self.piece(pieces[i])
+        except ValueError:  # no unknown piece is left
+            return list(chain.from_iterable(got))
 
 
 def utf8_step(pending: tuple[int, ...], byte: int) -> tuple[str, tuple[int, ...]]:
