@@ -20,6 +20,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+ROWS = 1024  # rows that a Python worker holds as objects at once
+
 _shipped: set[str] = set()
 
 
@@ -68,8 +70,10 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
 
     def run(batches):
         def lists():
-            for b in batches:
-                yield {name: b.column(i).to_pylist() for i, name in enumerate(columns)}
+            for whole in batches:
+                for start in range(0, whole.num_rows, ROWS):
+                    b = whole.slice(start, ROWS)
+                    yield {name: b.column(i).to_pylist() for i, name in enumerate(columns)}
         for out in work(lists()):
             arrays = [pa.array(out[f.name], type=f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)

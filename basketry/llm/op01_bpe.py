@@ -41,11 +41,11 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import map_batches, table
 
-PIECES_KEPT = 200_000   # encoded pieces in each of the two generations that a worker remembers
+PIECES_KEPT = 150_000   # encoded pieces in each of the two generations that a worker remembers
 PIECE_BYTES = 64        # longer pieces are not remembered
 LOOKAHEAD = 1 << 10     # bytes of a piece held before agreed tokens are emitted
-STATES_KEPT = 200_000   # determinised states
-PAIRS_KEPT = 1 << 20    # compatibility results
+STATES_KEPT = 150_000   # determinised states
+PAIRS_KEPT = 300_000    # compatibility results, kept from task to task
 FRESH = ()              # decoder state between characters
 
 
@@ -106,10 +106,13 @@ class Encoder:
         self.pairs: dict = {}
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.states: dict = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.states: dict = {}
+        for state in self.states.values():  # states point at each other
+            state.next = {}
+        self.states = {}
         self.start = self._state(((0, -1),))
 
     def _state(self, items) -> _State:
@@ -118,6 +121,11 @@ class Encoder:
             state = self.states[items] = _State(items)
         return state
 
+    def rest(self) -> None:
+        """Give back what one task has gathered; a reused worker may serve other operators next."""
+        self.known, self.older = {}, {}
+        self._reset()
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left``; for left = -1, whether ``right`` encodes to itself."""
         key = (left, right)
@@ -311,6 +319,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
         encoder, _ = _codec(shared)
         for b in batches:
             yield {**{c: b[c] for c in kept}, "token_ids": [encoder.encode(t) for t in b["text"]]}
+        encoder.rest()
 
     return map_batches(docs, [*kept, "text"], schema, work)
 
@@ -346,6 +355,7 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
                 out["ids_sha256"].append(sha(",".join([written[i] for i in ids]).encode()).hexdigest())
                 out["decoded_sha256"].append(sha(decoder.decode(ids).encode("utf-8")).hexdigest())
             yield out
+        encoder.rest()
 
     return map_batches(docs, ["doc_id", "text"], DIGESTS, work)
 
