@@ -235,8 +235,8 @@ def _in_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
 def _sets_of(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, shingles) of some classes, made from their texts again and written to the shared folder."""
     named = materialize(ids.join(classes.select("id", "set_key", "doc_id"), "id"), "near_named")
-    wanted = few_enough(named.select("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    # as many ids as there are near copies: joined by shuffle at every size
+    texts = docs.select("doc_id", "text").join(named.select("doc_id"), "doc_id", "left_semi")
     sets = map_batches(texts, ["text"], "set_key binary, shingles array<long>", _set_batches)
     return materialize(sets.join(named.select("id", "set_key"), "set_key").dropDuplicates(["id"])
                        .select("id", "shingles"), "near_sets")
