@@ -12,16 +12,18 @@
    The candidates are confirmed on the full shingle sets, and the links join
    classes to components.
 4. A large node whose classes are all connected by now is done, and so is one
-   whose members all lie in a larger one. What is left open is compared exhaustively on
-   the full sets, block against block: a task gets two blocks of bounded size and
+   whose members all lie in a larger one that is compared exhaustively. What is left
+   open is compared exhaustively on the full sets, block against block: a task gets two blocks of bounded size and
    returns only the links that join components, never the pairs. Nodes above
    ``BRANCH`` classes branch first: a class goes on to a child node for each of
    two further tokens that the node's hash selects, until the nodes are small
-   enough or ``MAX_DEPTH`` is reached; the blocks take nodes of any size.
+   enough or ``MAX_DEPTH`` is reached; the blocks take nodes of any size. A node
+   inside a branching one stays, because branching can part a pair.
 
 A pair at the threshold of 0.75 misses all twelve first nodes with probability
-0.25 ** 12; a true pair fails the sketch test at more than five standard
-deviations. Components need no list of all pairs: links that join what is
+0.25 ** 12. A node that branches at every level parts it with probability 0.11,
+so the bound is 0.33 ** 12 (2e-6) if all its nodes do; a true pair fails the
+sketch test at more than five standard deviations. Components need no list of all pairs: links that join what is
 already connected are not looked for.
 
 Defined results: a text without words (or NULL) has an empty set, is linked with
@@ -131,20 +133,26 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(nodes, "node")
 
 
-def _still_open(rows: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows (node, id, n, root, size, total) of the nodes that hold several components.
+def _still_open(rows: DataFrame, joined: DataFrame, last: bool = False) -> DataFrame:
+    """Rows (node, id, n, root, size, total) of the nodes that hold several components and must be looked at.
 
-    A node whose members all lie in one larger node would compare nothing new, so it is left out.
+    A node that is compared in blocks (up to ``BRANCH`` classes, on the ``last`` level any) would compare nothing new
+    if one larger such node has all its members. A branching node loses pairs, so it covers nothing alone: one is left
+    out only if the same ``TREES`` larger branching nodes have all its members.
     """
     rooted = rows.select("node", "id", "n").join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
     nodes = rooted.groupBy("node").agg(
         F.count("*").alias("size"), F.sum("n").alias("total"), F.min("root").alias("low"),
         F.max("root").alias("high")).where("low <> high").select("node", "size", "total")
     held = materialize(rooted.join(nodes, "node"), "near_open")
-    largest = held.groupBy("id").agg(F.max(F.struct("size", "total", "node")).alias("most")).select(
-        F.col("id").alias("__id"), F.col("most.node").alias("most"))
-    needed = held.join(largest, F.col("id") == F.col("__id")).groupBy("node").agg(
-        F.min("most").alias("low"), F.max("most").alias("high")).where("low <> high or low = node").select("node")
+    branching = F.lit(False) if last else F.col("size") > BRANCH
+    mine = held.groupBy("id", branching.alias("branching")).agg(
+        F.sort_array(F.collect_list(F.struct("size", "total", "node")), asc=False)["node"].alias("nodes"))
+    covers = F.slice("nodes", 1, F.when(F.col("branching"), TREES).otherwise(1))
+    needed = mine.select(F.explode("nodes").alias("node"), covers.alias("covers")).groupBy("node").agg(
+        F.min(F.xxhash64("covers")).alias("low"), F.max(F.xxhash64("covers")).alias("high"),
+        F.bool_or(F.array_contains("covers", F.col("node"))).alias("covering")).where(
+        "low <> high or covering").select("node")
     return materialize(held.join(needed, "node", "left_semi"), "near_open")
 
 
@@ -275,7 +283,7 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         above = waiting.where(F.col("size") > BRANCH)
         if above.isEmpty():
             break
-        waiting = _still_open(_children(above, classes, depth), joined)
+        waiting = _still_open(_children(above, classes, depth), joined, depth == MAX_DEPTH)
         nodes = nodes.unionByName(waiting if depth == MAX_DEPTH else waiting.where(F.col("size") <= BRANCH))
     if not nodes.isEmpty():
         later = materialize(_in_blocks(nodes, docs, classes), "near_links")

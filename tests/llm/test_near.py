@@ -43,6 +43,29 @@ def test_large_nodes_branch_and_end_in_blocks(make_docs, monkeypatch, branch):
     assert as_rows(near.near_components(make_docs(rows))) == sorted(near_components(rows))
 
 
+def star(seed, leaves=70, words=100, lead=50):
+    """A text and others that are linked with it alone: each has four other words in places of its own."""
+    rng = random.Random(seed)
+    shared = [f"lead{i}" for i in range(lead)]
+    middle = [f"w{i}" for i in range(words)]
+    rows = [(1, " ".join(shared + middle))]
+    for leaf in range(leaves):
+        text = list(middle)
+        for i in range(4):
+            text[25 * i + 4 + rng.randrange(17)] = f"x{leaf}y{i}"
+        rows.append((leaf + 2, " ".join(shared + text)))
+    return rows
+
+
+def test_star_of_single_links_inside_a_branching_node(make_docs, monkeypatch):
+    """All texts share the lead's tokens, so one branching node holds all; it alone would part some links."""
+    for name, value in (("SMALL", 3), ("BLOCK", 4), ("BRANCH", 20), ("MAX_DEPTH", 4)):
+        monkeypatch.setattr(near, name, value)
+    monkeypatch.setattr(near, "_stars", lambda rows: rows.select(rows.id.alias("a"), rows.id.alias("b")).limit(0))
+    rows = star(1)
+    assert as_rows(near.near_components(make_docs(rows))) == sorted(near_components(rows))
+
+
 def test_shared_counts_of_blocks():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) for _ in range(40)]
