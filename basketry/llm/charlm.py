@@ -1,17 +1,18 @@
-"""Character n-grams packed into 64 bits, and Kneser-Ney models kept in sorted hash arrays.
+"""Character n-grams packed into 64 bits, and Kneser-Ney models kept in sorted arrays.
 
 A gram is a UTF-16 unit with up to three units before it, 16 bits each, so up to
 four characters fit one integer exactly. Contexts end at the blank before the
 word, so a gram never spans two words.
 
 The counts of a model are tables dealt out by gram; only the finished model is
-collected. Its size has a fixed bound: grams and contexts are hashed to ``SLOTS``
-places per order and group (what shares a place is added up), whatever the
-corpus holds.
+collected, in slices of bounded size. It holds every gram and context under its
+exact key, so it grows with the distinct grams of the corpus (12 bytes a gram, 16
+a context) and an unseen gram has no counts.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +23,7 @@ from basketry.llm.common import materialize
 
 ORDER = 4
 BLANK = 32
-SLOTS = 524_287                                   # a prime: places per order and group
-_WEIGHTS = (1, 8_191, 250_007, 388_099)           # of the four characters in the place of a gram
+SLICE = 1 << 22     # rows of a model's table that are collected at once
 
 
 def pack_grams(units: np.ndarray) -> np.ndarray:
@@ -82,21 +82,9 @@ def held_back(d: tuple[float, float, float]) -> Column:
     return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
 
 
-def _place(column: Column) -> Column:
-    chars = [F.shiftrightunsigned(column, 16 * i).bitwiseAND(F.lit(0xFFFF)) * F.lit(w) for i, w in enumerate(_WEIGHTS)]
-    return ((chars[0] + chars[1] + chars[2] + chars[3]) % F.lit(SLOTS)).cast("int")
-
-
-def places(grams: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(grams), np.uint64)
-    for i, w in enumerate(_WEIGHTS):
-        total += (grams >> np.uint64(16 * i) & np.uint64(0xFFFF)) * np.uint64(w)
-    return (total % np.uint64(SLOTS)).astype(np.int32)
-
-
 @dataclass
-class HashArray:
-    """Sorted places with their values; a place that is missing has the value 0."""
+class GramArray:
+    """Sorted packed grams with their values; a gram that is missing has the value 0."""
 
     at: np.ndarray
     values: np.ndarray
@@ -112,8 +100,8 @@ class HashArray:
 class CharModel:
     """Interpolated Kneser-Ney model of one group: per order its grams and contexts."""
 
-    grams: dict[int, HashArray]
-    contexts: dict[int, HashArray]
+    grams: dict[int, GramArray]
+    contexts: dict[int, GramArray]
     size: int
 
     def logp(self, keys: np.ndarray) -> np.ndarray:
@@ -121,35 +109,50 @@ class CharModel:
         p = np.full(len(keys), 1.0 / (self.size + 1))
         for order in range(1, ORDER + 1):
             tail = keys & np.uint64((1 << 16 * order) - 1) if order < ORDER else keys
-            above = self.grams[order].get(places(tail))[:, 0]
-            context = self.contexts[order].get(places(tail >> np.uint64(16)))
+            above = self.grams[order].get(tail)[:, 0]
+            context = self.contexts[order].get(tail >> np.uint64(16))
             total = np.maximum(context[:, 0], 1e-9)
-            p = np.where(context[:, 0] > 0, np.minimum(above / total, 1.0) + context[:, 1] / total * p, p)
+            p = np.where(context[:, 0] > 0, above / total + context[:, 1] / total * p, p)
         return np.log(np.clip(p, 1e-12, 1.0))
 
 
+def _collected(rows: DataFrame, by: str, values: list[str], slices: int) -> dict[object, GramArray]:
+    """Sorted arrays of the groups of ``by`` from (by, gram, values), collected slice by slice."""
+    parts: dict[object, list] = {}
+    for i in range(slices):
+        some = rows.where(F.pmod(F.xxhash64("gram"), F.lit(slices)) == i) if slices > 1 else rows
+        for group, mine in some.toPandas().groupby(by, sort=False):
+            parts.setdefault(group, []).append((mine["gram"].to_numpy(np.int64).view(np.uint64),
+                                                mine[values].to_numpy(np.float32)))
+    out = {}
+    for group in list(parts):
+        held = parts.pop(group)
+        at, told = np.concatenate([a for a, _ in held]), np.concatenate([v for _, v in held])
+        order = np.argsort(at)
+        out[group] = GramArray(at[order], told[order])
+    return out
+
+
 def collect_models(counts: DataFrame, by: str, name: str) -> dict[object, CharModel]:
-    """Models of the groups of ``by`` from (by, gram, n); at most ``SLOTS`` places per order, table and group."""
+    """Models of the groups of ``by`` from (by, gram, n)."""
     tables = count_tables(counts, [by], name)
     found: dict[object, CharModel] = {}
 
     def model(group) -> CharModel:
-        none = HashArray(np.zeros(0, np.int32), np.zeros((0, 2)))
+        none = GramArray(np.zeros(0, np.uint64), np.zeros((0, 2), np.float32))
         return found.setdefault(group, CharModel(dict.fromkeys(range(1, ORDER + 1), none),
                                                  dict.fromkeys(range(1, ORDER + 1), none), 0))
 
     for order, table in tables.items():
         cut = held_back(discounts(table))
-        grams = table.groupBy(by, _place(F.col("gram")).alias("place")).agg(F.sum(F.col("n") - cut).alias("x"),
-                                                                         F.lit(0.0).alias("y"))
-        context = F.shiftrightunsigned(F.col("gram"), 16)
-        contexts = table.groupBy(by, _place(context).alias("place")).agg(
-            F.sum("n").cast("double").alias("x"), F.sum(cut).alias("y"))
-        for part, kind in ((grams, "grams"), (contexts, "contexts")):
-            rows = part.select(by, "place", "x", "y").toPandas().sort_values([by, "place"], kind="stable")
-            for group, mine in rows.groupby(by, sort=False):
-                array = HashArray(mine["place"].to_numpy(np.int32), mine[["x", "y"]].to_numpy(np.float32))
-                getattr(model(group), kind)[order] = array
-                if order == 1 and kind == "grams":
-                    found[group].size = len(mine)
+        slices = max(1, math.ceil(table.count() / SLICE))
+        grams = table.select(by, "gram", (F.col("n") - cut).cast("float").alias("x"))
+        contexts = table.groupBy(by, F.shiftrightunsigned("gram", 16).alias("gram")).agg(
+            F.sum("n").cast("float").alias("x"), F.sum(cut).cast("float").alias("y"))
+        for group, array in _collected(grams, by, ["x"], slices).items():
+            model(group).grams[order] = array
+            if order == 1:
+                found[group].size = len(array.at)
+        for group, array in _collected(contexts, by, ["x", "y"], slices).items():
+            model(group).contexts[order] = array
     return found

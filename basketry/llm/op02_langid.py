@@ -1,8 +1,7 @@
 """Language identification by Kneser-Ney character models.
 
 Each language gets an interpolated Kneser-Ney model of order 4 over the letters
-of its training texts; the models are sorted hash arrays of bounded size. A
-text's cross-entropy per character is taken under every model, together with
+of its training texts; the models hold every gram under its exact key. A text's cross-entropy per character is taken under every model, together with
 the code length of the language itself; the lowest one gives the prediction.
 
 Calibrated rejection: the training texts that a language won set a limit for it,
@@ -33,7 +32,7 @@ from basketry.llm.charlm import BLANK, CharModel, collect_models, merge_counts,
 from basketry.llm.common import hash_bucket, map_batches, materialize, table
 
 FOLDS, HELD_OUT = 4, 2
-BLOCK = 4                 # languages whose models are broadcast together (at most 50 MB each, a few in practice)
+BLOCK = 4                 # languages whose models are broadcast together (each grows with its distinct grams)
 CHUNK_CHARS = 1 << 20     # characters held as arrays at once
 GRAMS_HELD = 1 << 21      # grams that a counting task holds before it hands them on
 KNOWN_GRAMS = 1 << 20     # scored grams that a task remembers

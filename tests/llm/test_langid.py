@@ -7,7 +7,7 @@ from brute import LONG
 from pyspark.sql import functions as F
 
 from basketry.llm import op02_langid as langid
-from basketry.llm.charlm import ORDER, collect_models, discounts
+from basketry.llm.charlm import BLANK, ORDER, collect_models, discounts
 
 
 def test_held_out_accuracy(spark):
@@ -93,3 +93,18 @@ def test_models_equal_the_textbook_recursion(spark, make_docs):
     assert size == model.size
     # places are hashed, so a few grams may share one
     assert np.mean(np.abs(got - want) < 1e-4 * np.maximum(want, 1e-3) + 1e-6) > 0.98
+
+
+def test_models_keep_every_gram_apart(spark, monkeypatch):
+    """More distinct grams than any fixed table: each keeps its counts, and an unseen one has none."""
+    from basketry.llm import charlm
+    monkeypatch.setattr(charlm, "SLICE", 1 << 18)
+    n = 600_000
+    char = lambda step: F.lit(0x4E00) + F.pmod(F.floor(F.col("id") / step), F.lit(1000))
+    packed = char(1) + char(1000) * F.lit(1 << 16) + F.lit(0x4E00 << 32) + F.lit(BLANK << 48)
+    counted = spark.range(n).select(F.lit("all").alias("lang"), packed.cast("long").alias("gram"),
+                                    F.lit(2).cast("long").alias("n"))
+    model = collect_models(counted, "lang", "test_many")["all"]
+    assert len(model.grams[ORDER].at) == n
+    unseen = np.array([(BLANK << 48) + (0x4E01 << 32) + (0x4E00 << 16) + 0x4E00 + i for i in range(1000)], np.uint64)
+    assert not model.grams[ORDER].get(unseen).any()
