@@ -50,7 +50,8 @@ MIN_RIGHT = 0.85         # toxic share of the texts that hold it
 STEM = (3, 9)            # lengths of word beginnings that may be marks
 BEST = 6                 # restored forms of a word that are looked up
 MARKS_HELD = 1 << 18     # marks that a counting task holds before it hands their sums on
-LONGEST = 24             # characters of a word that is decoded
+BEAM = 1 << 11           # contexts of the best paths that decoding goes on with
+SEEN = 64                # characters of a disguised word whose forms are remembered
 
 # What digits and symbols stand for in disguised writing.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -64,10 +65,11 @@ KEEP = math.log(0.9)     # a letter written as itself
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKED = re.escape("".join(c for c in LEET if not c.isdigit()) + "*")
 _HINT = re.compile(rf"[\d{_MARKED}][^\W\d_]|[^\W\d_][\d@$*](?!\S)")
-_TOKEN = re.compile(rf"(?<!\S)(?=\S*[\d{_MARKED}])(?=\S*[^\W\d_])\S{{3,{2 * LONGEST}}}(?!\S)")
+_TOKEN = re.compile(rf"(?<!\S)(?=\S*[\d{_MARKED}])(?=\S*[^\W\d_])\S{{3,}}(?!\S)")
 _EDGES = re.compile(r"^[^\w\s@$|+*€£¡!]+|[^\w\s@$*€£]+$|([^\w\s])\1+$|^([^\w\s])\2+")
 _PLACE = re.compile(r"[./:=\\&%#?]|@.*@")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_]){2,}(?![^\W_])")
 
 
@@ -75,7 +77,7 @@ def disguised(token: str) -> str:
     """The token without punctuation at its ends if it looks like a disguised word, else the empty string."""
     word = _EDGES.sub("", _EDGES.sub("", token))
     letters = sum(map(str.isalpha, word))
-    if not 3 <= len(word) <= LONGEST or letters == len(word) or 5 * letters < 2 * len(word) or _PLACE.search(word):
+    if len(word) < 3 or letters == len(word) or 5 * letters < 2 * len(word) or _PLACE.search(word):
         return ""
     return word
 
@@ -104,6 +106,19 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
     return places
 
 
+def _score(path: tuple[float, tuple]) -> float:
+    return path[0]
+
+
+def _spelled(chain: tuple) -> str:
+    """The text of a path, whose steps are chained from the last to the first."""
+    parts = []
+    while chain:
+        chain, told = chain
+        parts.append(told)
+    return "".join(reversed(parts))
+
+
 class Restorer:
     """List Viterbi decoder of disguised words."""
 
@@ -127,25 +142,30 @@ class Restorer:
 
     def decode(self, word: str) -> list[str]:
         """The most probable words behind a disguised one, best first."""
+        word = _LONG_RUN.sub(r"\1\1\1", word)  # runs of three and more are read alike
         got = self.seen.get(word)
         if got is not None:
             return got
-        paths: dict[str, list[tuple[float, str]]] = {" ": [(0.0, "")]}  # context -> best paths to it
+        paths: dict[str, list[tuple[float, tuple]]] = {" ": [(0.0, ())]}  # context -> best paths to it, as chains
         for letters in [*_lattice(word), [(" ", 0.0)]]:
-            after: dict[str, list[tuple[float, str]]] = {}
+            after: dict[str, list[tuple[float, tuple]]] = {}
             for context, best in paths.items():
                 for told, p in letters:
                     now, more = context, p
                     for c in told:
                         more += self._logp(now, c)
                         now = (now + c)[1 - ORDER:]
-                    after.setdefault(now, []).extend((score + more, text + told) for score, text in best)
-            paths = {now: sorted(best, reverse=True)[:BEST] for now, best in after.items()}
-        found = sorted((x for best in paths.values() for x in best), reverse=True)[:BEST]
-        if len(self.seen) > 1 << 16:
-            self.seen.clear()
-        self.seen[word] = [text.strip() for _, text in found]
-        return self.seen[word]
+                    after.setdefault(now, []).extend((score + more, (chain, told)) for score, chain in best)
+            paths = {now: sorted(best, key=_score, reverse=True)[:BEST] for now, best in after.items()}
+            if len(paths) > BEAM:
+                paths = dict(sorted(paths.items(), key=lambda x: x[1][0][0], reverse=True)[:BEAM])
+        found = sorted((x for best in paths.values() for x in best), key=_score, reverse=True)[:BEST]
+        forms = [_spelled(chain).strip() for _, chain in found]
+        if len(word) <= SEEN:
+            if len(self.seen) > 1 << 16:
+                self.seen.clear()
+            self.seen[word] = forms
+        return forms
 
     def restored(self, text: str) -> list[str]:
         """Restored forms of the suspicious words of a lower-cased text."""
@@ -163,7 +183,7 @@ class Restorer:
                 end += 1
             found.append(text[start:end])
         found += [m.group().replace(m.group(1), "") for m in _SPACED.finditer(text)]
-        return [form for w in found if len(w) <= LONGEST for form in self.decode(w)]
+        return [form for w in found for form in self.decode(w)]
 
 
 def word_marks(words) -> set[str]:

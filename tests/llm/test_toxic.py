@@ -76,3 +76,17 @@ def test_odd_rows(spark, make_docs, labels):
     assert toxic.score_toxicity(make_docs([]), labels, F.lit(True)).count() == 0
     untaught = toxic.score_toxicity(make_docs(rows), labels, F.lit(False)).collect()
     assert {r.score for r in untaught} == {0.0}
+
+
+@pytest.fixture
+def restorer(make_docs):
+    counts = count_grams(make_docs(corpus()[0]).select(F.lit("all").alias("lang"), "text"), "t")
+    return toxic.Restorer(collect_models(counts, "lang", "u")["all"])
+
+
+def test_long_disguises_are_decoded_whole(restorer):
+    for text, plain in {"st" + "u" * 40 + "pid": "stupid", "m" * 30 + "oron": "moron",
+                        "1d" + "1" * 60 + "0t": "idiot"}.items():
+        assert plain in restorer.restored(f"you {text} there"), text
+    assert any("idiot" in w for w in restorer.restored("riverhousegardenlighteveningvalleyhillstrees1d10t"))
+    assert restorer.restored("x1" * 20_000)
