@@ -2,7 +2,8 @@
 
 1. Channel and language model. A disguised word is a character lattice: digits
    and symbols may stand for letters, a run of one letter for one or two of it,
-   blanks or marks between single letters for nothing, a star for any letter.
+   blanks or marks between single letters for nothing or a word's end, a star for
+   any letter.
    An interpolated Kneser-Ney character model of order 4, counted over the words
    of all documents, rates the paths; Viterbi decoding over the model's contexts
    (the last three characters) finds the best one. Only suspicious words are
@@ -30,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -59,6 +61,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 ANY = "abcdefghijklmnopqrstuvwxyz"
 SWAP = math.log(0.05)    # channel: a letter written as a digit or symbol
 WILD = math.log(0.01)    # a letter written as a star
+JOINED = math.log(0.8)   # a blank or mark between single letters stands for nothing
+BREAK = math.log(0.2)    # or for the end of a word
 REPEAT = math.log(0.2)   # a run of a letter stands for fewer of it
 KEEP = math.log(0.9)     # a letter written as itself
 
@@ -70,7 +74,7 @@ _EDGES = re.compile(r"^[^\w\s@$|+*€£¡!]+|[^\w\s@$*€£]+$|([^\w\s])\1+$|^([
 _PLACE = re.compile(r"[./:=\\&%#?]|@.*@")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_]){2,}(?![^\W_])")
+_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_])+(?![^\W_])")
 
 
 def disguised(token: str) -> str:
@@ -106,6 +110,15 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
     return places
 
 
+def _spaced_lattice(letters: str) -> list[list[tuple[str, float]]]:
+    """Places of single letters with blanks between them, each of which is nothing or a word's end."""
+    places: list[list[tuple[str, float]]] = []
+    for _, run in groupby(letters):
+        for place in _lattice("".join(run)):
+            places += [[("", JOINED), (" ", BREAK)], place] if places else [place]
+    return places
+
+
 def _score(path: tuple[float, tuple]) -> float:
     return path[0]
 
@@ -124,7 +137,7 @@ class Restorer:
 
     def __init__(self, model: CharModel):
         self.model = model
-        self.seen: dict[str, list[str]] = {}
+        self.seen: dict[tuple[str, bool], list[str]] = {}
         self.cost: dict[tuple[str, str], float] = {}
 
     def _logp(self, context: str, letter: str) -> float:
@@ -140,21 +153,21 @@ class Restorer:
             self.cost[key] = got
         return got
 
-    def decode(self, word: str) -> list[str]:
-        """The most probable words behind a disguised one, best first."""
+    def decode(self, word: str, spaced: bool = False) -> list[str]:
+        """The most probable words behind a disguised one, best first; letters that stood ``spaced`` may be several."""
         word = _LONG_RUN.sub(r"\1\1\1", word)  # runs of three and more are read alike
-        got = self.seen.get(word)
+        got = self.seen.get((word, spaced))
         if got is not None:
             return got
         paths: dict[str, list[tuple[float, tuple]]] = {" ": [(0.0, ())]}  # context -> best paths to it, as chains
-        for letters in [*_lattice(word), [(" ", 0.0)]]:
+        for letters in [*(_spaced_lattice if spaced else _lattice)(word), [(" ", 0.0)]]:
             after: dict[str, list[tuple[float, tuple]]] = {}
             for context, best in paths.items():
                 for told, p in letters:
                     now, more = context, p
                     for c in told:
                         more += self._logp(now, c)
-                        now = (now + c)[1 - ORDER:]
+                        now = (now + c)[1 - ORDER:] if c != " " else c
                     after.setdefault(now, []).extend((score + more, (chain, told)) for score, chain in best)
             paths = {now: sorted(best, key=_score, reverse=True)[:BEST] for now, best in after.items()}
             if len(paths) > BEAM:
@@ -164,7 +177,7 @@ class Restorer:
         if len(word) <= SEEN:
             if len(self.seen) > 1 << 16:
                 self.seen.clear()
-            self.seen[word] = forms
+            self.seen[word, spaced] = forms
         return forms
 
     def restored(self, text: str) -> list[str]:
@@ -182,8 +195,12 @@ class Restorer:
             while end < len(text) and text[end].isalpha():
                 end += 1
             found.append(text[start:end])
-        found += [m.group().replace(m.group(1), "") for m in _SPACED.finditer(text)]
-        return [form for w in found for form in self.decode(w)]
+        forms = [form for w in found for form in self.decode(w)]
+        for m in _SPACED.finditer(text):
+            letters = m.group()[::2]
+            if not letters.isdigit():
+                forms += dict.fromkeys(w for form in self.decode(letters, True) for w in form.split())
+        return forms
 
 
 def word_marks(words) -> set[str]:

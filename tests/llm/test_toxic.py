@@ -90,3 +90,11 @@ def test_long_disguises_are_decoded_whole(restorer):
         assert plain in restorer.restored(f"you {text} there"), text
     assert any("idiot" in w for w in restorer.restored("riverhousegardenlighteveningvalleyhillstrees1d10t"))
     assert restorer.restored("x1" * 20_000)
+
+
+def test_single_letter_words_do_not_hide_spaced_ones(restorer):
+    for text, plain in {"such a m o r o n there": "moron", "what a i d i o t": "idiot", "y o u i d i o t": "idiot",
+                        "the s.t.u.p.i.d.l.o.s.e.r": "loser", "m o o o o r o n": "moron"}.items():
+        assert plain in restorer.restored(text), text
+    assert restorer.restored("1 2 3 4 5") == []
+    assert restorer.restored("the b a d one")
