@@ -60,6 +60,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 ANY = "abcdefghijklmnopqrstuvwxyz"
 SWAP = math.log(0.05)    # channel: a letter written as a digit or symbol
+PLAIN = math.log(1 / 95) # a digit or symbol that stands for itself: any printable character
 WILD = math.log(0.01)    # a letter written as a star
 JOINED = math.log(0.8)   # a blank or mark between single letters stands for nothing
 BREAK = math.log(0.2)    # or for the end of a word
@@ -68,7 +69,7 @@ KEEP = math.log(0.9)     # a letter written as itself
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKED = re.escape("".join(c for c in LEET if not c.isdigit()) + "*")
-_HINT = re.compile(rf"[\d{_MARKED}][^\W\d_]|[^\W\d_][\d@$*](?!\S)")
+_HINT = re.compile(rf"[\d{_MARKED}][^\W\d_]|[^\W\d_](?:[\d@$*€£+|]|[!(¡][\d{_MARKED}])")
 _TOKEN = re.compile(rf"(?<!\S)(?=\S*[\d{_MARKED}])(?=\S*[^\W\d_])\S{{3,}}(?!\S)")
 _EDGES = re.compile(r"^[^\w\s@$|+*€£¡!]+|[^\w\s@$*€£]+$|([^\w\s])\1+$|^([^\w\s])\2+")
 _PLACE = re.compile(r"[./:=\\&%#?]|@.*@")
@@ -81,7 +82,7 @@ def disguised(token: str) -> str:
     """The token without punctuation at its ends if it looks like a disguised word, else the empty string."""
     word = _EDGES.sub("", _EDGES.sub("", token))
     letters = sum(map(str.isalpha, word))
-    if len(word) < 3 or letters == len(word) or 5 * letters < 2 * len(word) or _PLACE.search(word):
+    if len(word) < 3 or letters in (0, len(word)) or _PLACE.search(word):
         return ""
     return word
 
@@ -153,6 +154,16 @@ class Restorer:
             self.cost[key] = got
         return got
 
+    def _plain(self, word: str) -> float:
+        """Log-probability of a token read as it is written: its runs of letters, and digits and symbols as such."""
+        total = PLAIN * sum(not c.isalpha() for c in word)
+        for run in _WORD.findall(word):
+            now = " "
+            for c in run + " ":
+                total += (KEEP if c != " " else 0.0) + self._logp(now, c)
+                now = (now + c)[1 - ORDER:]
+        return total
+
     def decode(self, word: str, spaced: bool = False) -> list[str]:
         """The most probable words behind a disguised one, best first; letters that stood ``spaced`` may be several."""
         word = _LONG_RUN.sub(r"\1\1\1", word)  # runs of three and more are read alike
@@ -173,6 +184,8 @@ class Restorer:
             if len(paths) > BEAM:
                 paths = dict(sorted(paths.items(), key=lambda x: x[1][0][0], reverse=True)[:BEAM])
         found = sorted((x for best in paths.values() for x in best), key=_score, reverse=True)[:BEST]
+        if not spaced and 5 * sum(map(str.isalpha, word)) < 2 * len(word) and found[0][0] <= self._plain(word):
+            found = []  # mostly digits and symbols, and likelier just that
         forms = [_spelled(chain).strip() for _, chain in found]
         if len(word) <= SEEN:
             if len(self.seen) > 1 << 16:

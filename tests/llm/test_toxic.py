@@ -98,3 +98,9 @@ def test_single_letter_words_do_not_hide_spaced_ones(restorer):
         assert plain in restorer.restored(text), text
     assert restorer.restored("1 2 3 4 5") == []
     assert restorer.restored("the b a d one")
+
+
+def test_words_of_mostly_digits_and_symbols_are_decoded(restorer):
+    for text, plain in {"1d107": "idiot", "57up1d": "stupid", "$7up1d": "stupid", "1053r": "loser", "m0r0n": "moron"}.items():
+        assert plain in restorer.restored(f"you {text} there"), text
+    assert restorer.restored("in 1998a and 2023b") == []
