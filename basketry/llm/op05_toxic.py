@@ -46,7 +46,6 @@ from basketry.llm.shingles import shingle_sequence
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 FIT_ROWS = 20_000        # labelled texts that the marks are learned from at most
-MARKS = 2_000            # marks learned at most, the most frequent ones
 MIN_TOXIC = 6            # toxic texts that must hold a mark
 MIN_RIGHT = 0.85         # toxic share of the texts that hold it
 STEM = (3, 9)            # lengths of word beginnings that may be marks
@@ -259,6 +258,19 @@ def _sign_batches(batches):
         yield {"text": b["text"], "toxic": b["toxic"], "sign": signs}
 
 
+def telling_marks(marks) -> list[tuple[str, float]]:
+    """The marks without those that a shorter beginning of at least the same probability implies."""
+    begins: dict[str, float] = {}
+    kept = []
+    for mark, p in sorted(marks, key=lambda x: (len(x[0].strip()), x[0])):
+        word = mark.strip()
+        if all(begins.get(word[:n], 0.0) < p for n in range(STEM[0], len(word))):
+            kept.append((mark, p))
+            if mark == word:
+                begins[word] = p
+    return kept
+
+
 def learn_marks(labelled: DataFrame, shared) -> tuple[list[tuple[str, float]], float]:
     """(marks with their probability, score of a text without any) from the sample (text, toxic)."""
     signed = map_batches(labelled, ["text", "toxic"], "text string, toxic long, sign long", _sign_batches)
@@ -268,8 +280,7 @@ def learn_marks(labelled: DataFrame, shared) -> tuple[list[tuple[str, float]], f
     counts = counts.groupBy("mark").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     right = (F.col("toxic") + 0.5) / (F.col("toxic") + F.col("clean") + 1.0)
     marks = counts.where(F.col("toxic") >= MIN_TOXIC).withColumn("right", right).where(F.col("right") >= MIN_RIGHT)
-    found = marks.orderBy(F.desc("toxic"), F.desc("right"), "mark").limit(MARKS).collect()
-    picked = [(r["mark"], r["right"]) for r in found]
+    picked = telling_marks((r["mark"], r["right"]) for r in marks.collect())
 
     def unmarked(batches):
         scorer = Scorer(shared.value, picked, 0.0)

@@ -104,3 +104,28 @@ def test_words_of_mostly_digits_and_symbols_are_decoded(restorer):
     for text, plain in {"1d107": "idiot", "57up1d": "stupid", "$7up1d": "stupid", "1053r": "loser", "m0r0n": "moron"}.items():
         assert plain in restorer.restored(f"you {text} there"), text
     assert restorer.restored("in 1998a and 2023b") == []
+
+
+def test_no_mark_is_left_out_for_its_frequency(spark, make_docs):
+    """Boilerplate of a toxic source makes thousands of marks; an insult in few texts still counts."""
+    rng = random.Random(3)
+    boiler = ["".join(rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(4)) + "q" for _ in range(3000)]
+    rows, marks = [], []
+    for i in range(60):
+        words = [rng.choice(CALM) for _ in range(30)]
+        if i < 12:
+            words = rng.sample(boiler, len(boiler))
+        elif i < 20:
+            words[3 + i % 5] = "moron"
+        rows.append((i, " ".join(words)))
+        marks.append((i, None, int(i < 20)))
+    rows.append((100, "river moron valley"))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxic.score_toxicity(make_docs(rows), labels, F.lit(True)).collect()}
+    assert got[100] >= toxic.THRESHOLD
+
+
+def test_implied_marks_are_left_out():
+    marks = [("abc", 0.9), ("abcd", 0.9), ("abcd ", 0.95), ("abc ", 0.9), ("abce ", 0.9), ("xyz ", 0.9), ("xyzw ", 0.9)]
+    assert sorted(toxic.telling_marks(marks)) == [("abc", 0.9), ("abc ", 0.9), ("abcd ", 0.95), ("xyz ", 0.9),
+                                                  ("xyzw ", 0.9)]
