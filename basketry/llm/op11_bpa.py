@@ -59,7 +59,7 @@ def text_terms(body: bytes) -> Iterator[list[bytes]]:
             if cut < 0:
                 break
         yield folded[start:cut].split()
-        start = cut
+        start = cut + 1
     yield folded[start:].split()
 
 
