@@ -78,7 +78,7 @@ def test_context_follows_its_files_and_leaves_no_copies(spark, tmp_path):
     source, mine = "/root/testdata/sf0.001", tmp_path / "data"
     mine.mkdir()
     for name in ("orders", "lineitem", "part"):
-        shutil.copy(f"{source}/{name}.parquet", mine / f"{name}.parquet")
+        shutil.copyfile(f"{source}/{name}.parquet", mine / f"{name}.parquet")
     first = query("product_frequency")(spark, str(mine)).agg(F.sum("frequency")).first()[0]
     query("feature_table")(spark, str(mine)).count()
     held = list(Context.get(spark, str(mine)).paths)
