@@ -12,8 +12,8 @@ items, and a transition tells the token that ends the encoding of the bytes so
 far. Tokens are emitted once all live items agree on them. An item dies as soon
 as its bytes are no prefix of any token, so that waits for a bounded number of
 bytes (a small multiple of the longest token). States,
-transitions and the compatibility of pairs are kept in bounded tables that are
-emptied when full and rebuilt on demand.
+transitions, the compatibility of pairs and the pieces met are kept in bounded tables
+from task to task of a worker, emptied when full and rebuilt on demand.
 
 A piece is one match of the splitting pattern; a piece that is itself a token is
 that token. The merges compare ranks of joined bytes, leftmost first on ties.
@@ -121,11 +121,6 @@ class Encoder:
             state = self.states[items] = _State(items)
         return state
 
-    def rest(self) -> None:
-        """Give back what one task has gathered; a reused worker may serve other operators next."""
-        self.known, self.older = {}, {}
-        self._reset()
-
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left``; for left = -1, whether ``right`` encodes to itself."""
         key = (left, right)
@@ -319,7 +314,6 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
         encoder, _ = _codec(shared)
         for b in batches:
             yield {**{c: b[c] for c in kept}, "token_ids": [encoder.encode(t) for t in b["text"]]}
-        encoder.rest()
 
     return map_batches(docs, [*kept, "text"], schema, work)
 
@@ -355,7 +349,6 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
                 out["ids_sha256"].append(sha(",".join([written[i] for i in ids]).encode()).hexdigest())
                 out["decoded_sha256"].append(sha(decoder.decode(ids).encode("utf-8")).hexdigest())
             yield out
-        encoder.rest()
 
     return map_batches(docs, ["doc_id", "text"], DIGESTS, work)
 
