@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from typing import Any
+
 from pyspark.sql import DataFrame
 
 from basketry.config import LABEL_COL, ROUNDS_FIRST, ROUNDS_SECOND, TOP_RULES, ModelParams, RuleParams
 from basketry.operators import baskets as bk
+from basketry.operators import boosting as bo
 from basketry.operators import evaluate as ev
 from basketry.operators import features as fe
 from basketry.operators import model as mo
@@ -61,8 +63,8 @@ def build_feature_table(tables: Tables, path: str | None = None, scope: str = "t
 
 @dataclass
 class ModelResult:
-    model: PipelineModel      # scores the outcome share
-    final: PipelineModel      # scores the confusion matrix and the lists
+    model: Any                # scores the outcome share
+    final: Any                # scores the confusion matrix and the lists
     scored: DataFrame         # by the final model
     outcome: DataFrame
     confusion: DataFrame
@@ -72,17 +74,18 @@ class ModelResult:
 
 
 def train_and_evaluate(features: DataFrame, products: DataFrame, params: ModelParams = ModelParams(),
-                       final_params: ModelParams | None = None) -> ModelResult:
+                       final_params: ModelParams | None = None, learner: Any = mo) -> ModelResult:
     """Fit, score and evaluate as upstream: a first model gives the outcome share, a second one with
     ``final_params`` (70 rounds by default of the analysis, see :func:`reorder_model`) the confusion
-    matrix and the lists. Without ``final_params`` one model does both."""
+    matrix and the lists. Without ``final_params`` one model does both. ``learner`` is a module with
+    ``fit`` and ``score``: Spark ML's trees or :mod:`~basketry.operators.boosting`."""
     train = sp.split_train(features, params.train_percent).drop("eval_set")
     test = sp.split_holdout(features, params.train_percent).drop("eval_set")
-    model = mo.fit(train, params)
+    model = learner.fit(train, params)
     final_params = final_params or params
-    final = model if final_params == params else mo.fit(train, final_params)
-    first = ev.threshold(mo.score(model, test), mo.SCORE_COL, params.threshold)
-    scored = ev.threshold(mo.score(final, test), mo.SCORE_COL, final_params.threshold)
+    final = model if final_params == params else learner.fit(train, final_params)
+    first = ev.threshold(learner.score(model, test), mo.SCORE_COL, params.threshold)
+    scored = ev.threshold(learner.score(final, test), mo.SCORE_COL, final_params.threshold)
     counts = ev.confusion_counts(scored, LABEL_COL)
     return ModelResult(
         model=model, final=final, scored=scored, outcome=ev.outcome_share(first), confusion=counts,
@@ -92,5 +95,5 @@ def train_and_evaluate(features: DataFrame, products: DataFrame, params: ModelPa
 
 
 def reorder_model(features: DataFrame, products: DataFrame) -> ModelResult:
-    """The reorder analysis with upstream's two models: 50 rounds, then 70."""
-    return train_and_evaluate(features, products, ModelParams(rounds=ROUNDS_FIRST), ModelParams(rounds=ROUNDS_SECOND))
+    """The reorder analysis with upstream's two models of second-order trees: 50 rounds, then 70."""
+    return train_and_evaluate(features, products, ModelParams(rounds=ROUNDS_FIRST), ModelParams(rounds=ROUNDS_SECOND), bo)

@@ -8,7 +8,7 @@ windows. Names are prefixed ``fx_`` so they never shadow the source views.
 
 from __future__ import annotations
 
-from basketry.plans.registry import WHOLE_HISTORY
+from basketry.plans.registry import STUMP_FEATURES, WHOLE_HISTORY
 
 FIXTURE_CTES = r"""
 fx_departments AS (
@@ -289,6 +289,20 @@ def _nulls_sql(cols: list[tuple[str, bool]], src: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _stump_sql() -> str:
+    """One split over all rows: squared error, first score 0.5, L2 term 1, step 0.3, one row a side at least."""
+    values = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, 0.5 - reordered AS g FROM fx_tr"
+                                for i, c in enumerate(STUMP_FEATURES))
+    return f"""
+fx_tr AS (SELECT * FROM fx_ft WHERE {BUCKET} < 80),
+fx_sv AS (SELECT f, feature, v, CAST(sum(g) AS DOUBLE) AS g, count(*) AS h FROM ({values}) GROUP BY f, feature, v),
+fx_sc AS (SELECT f, feature, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY f) AS g,
+                 sum(h) OVER (PARTITION BY f) AS h, max(v) OVER (PARTITION BY f) AS top
+          FROM fx_sv WINDOW w AS (PARTITION BY f ORDER BY v)),
+fx_sb AS (SELECT *, gl * gl / (hl + 1.0) + (g - gl) * (g - gl) / (h - hl + 1.0) - g * g / (h + 1.0) AS gain
+          FROM fx_sc WHERE v < top ORDER BY gain DESC, f, v LIMIT 1)"""
+
+
 def oracle_statements() -> dict[str, str]:
     """One statement per key; the scoped keys once more over the whole history, as ``<key>_all``."""
     whole = _statements("all")
@@ -438,6 +452,14 @@ LEFT JOIN (SELECT prediction, reordered AS reference, count(*) AS n FROM fx_hold
     acc = div("a + d", n)
     pe = div("(a + b) * (a + c) + (c + d) * (b + d)", f"{n} * {n}")
     sens, spec = div("a", "a + c"), div("d", "b + d")
+    q["model_stump"] = ft(T, feat_ctes + "," + _stump_sql(), f"""
+SELECT 0 AS tree, 1 AS node, NULL AS feature, NULL AS cut, NULL AS missing_left, NULL AS "left", NULL AS "right",
+       0.5 AS leaf, NULL AS gain, 0 AS n_rows
+UNION ALL SELECT 1, 1, feature, v, true, 2, 3, NULL, {r('gain', 'gain')}, CAST(h AS BIGINT) FROM fx_sb
+UNION ALL SELECT 1, 2, NULL, NULL, NULL, NULL, NULL, round(-gl / (hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), NULL,
+                 CAST(hl AS BIGINT) FROM fx_sb
+UNION ALL SELECT 1, 3, NULL, NULL, NULL, NULL, NULL, round(-(g - gl) / (h - hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), NULL,
+                 CAST(h - hl AS BIGINT) FROM fx_sb""")
     q["confusion_metrics"] = ft(T, feat_ctes, f"""
 SELECT CAST(0 AS BIGINT) AS positive, CAST({n} AS BIGINT) AS n,
        {r(acc, 'accuracy')},

@@ -39,6 +39,7 @@ from basketry.config import (
     ModelParams,
 )
 from basketry.operators import baskets as bk
+from basketry.operators import boosting as bo
 from basketry.operators import evaluate as ev
 from basketry.operators import features as fe
 from basketry.operators import model as mo
@@ -189,12 +190,14 @@ class Context:
     def model(self, rounds: int):
         def build():
             train = sp.split_train(self.features()).drop("eval_set")
-            return mo.fit(train, ModelParams(rounds=rounds))
+            # the first trees of the longer model are those of the shorter one
+            start = self.model(ROUNDS_FIRST) if rounds > ROUNDS_FIRST else None
+            return bo.fit(train, ModelParams(rounds=rounds), start=start)
         return self.memo(f"model{rounds}", build)
 
     def holdout_scored(self, rounds: int) -> DataFrame:
         test = sp.split_holdout(self.features()).drop("eval_set")
-        return ev.threshold(mo.score(self.model(rounds), test), mo.SCORE_COL, THRESHOLD)
+        return ev.threshold(bo.score(self.model(rounds), test), mo.SCORE_COL, THRESHOLD)
 
     def lists_by_csv(self, df: DataFrame, name: str) -> DataFrame:
         """K2 / K3: a per-user list as upstream hands it on, written as CSV and read back."""
@@ -517,16 +520,40 @@ def q_model_submission_list(spark, d):
 def q_model_roundtrip(spark, d):
     c = _ctx(spark, d)
     path = c.scratch("model")
-    mo.save(c.model(ROUNDS_FIRST), path)
-    loaded = mo.load(path)
+    bo.save(spark, c.model(ROUNDS_FIRST), path)
+    loaded = bo.load(spark, path)
     test = sp.split_holdout(c.features()).drop("eval_set")
-    a = mo.score(c.model(ROUNDS_FIRST), test).select("user_id", "order_number", "add_to_cart_order",
+    a = bo.score(c.model(ROUNDS_FIRST), test).select("user_id", "order_number", "add_to_cart_order",
                                                      F.col("score").alias("score_fitted"))
-    b = mo.score(loaded, test).select("user_id", "order_number", "add_to_cart_order",
+    b = bo.score(loaded, test).select("user_id", "order_number", "add_to_cart_order",
                                       F.col("score").alias("score_loaded"))
     return a.join(b, ["user_id", "order_number", "add_to_cart_order"], "inner")
 
 
+def q_model_trees(spark, d):
+    """K4: the 50-round model as a table of nodes."""
+    c = _ctx(spark, d)
+    path = c.scratch("model_trees")
+    bo.save(spark, c.model(ROUNDS_FIRST), path)
+    return spark.read.schema(bo.MODEL_SCHEMA).parquet(path)
+
+
+def q_model_feature_gain(spark, d):
+    """Splits and gain per feature of the 50-round model."""
+    return bo.gain_by_feature(bo.model_table(spark, _ctx(spark, d).model(ROUNDS_FIRST)))
+
+
+# features of few values: a tree over them can be refitted in SQL cut by cut
+STUMP_FEATURES = ["order_dow", "order_hour_of_day", "days_since_prior_order", "add_to_cart_order", "order_number",
+                  "department_id", "user_buy_product_times", "aisle_bin_1"]
+
+
+def q_model_stump(spark, d, scope=FEATURE_SCOPE):
+    """M3 with one round and one split, as a table of nodes."""
+    train = sp.split_train(_ctx(spark, d).features(scope))
+    return bo.model_table(spark, bo.fit(train, ModelParams(rounds=1, depth=1), cols=STUMP_FEATURES))
+
+
 def q_feature_table_fitted(spark, d):
     """Option without label leakage: measures from the training side of the split only."""
     c = _ctx(spark, d)
@@ -554,6 +581,7 @@ WHOLE_HISTORY = (
     "feature_table",
     "feature_table_roundtrip",
     "join_orders_lines",
+    "model_stump",
     "order_line_base",
     "outcome_share",
     "predicted_products",

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import io
 import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -109,6 +111,36 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers once per application.
+
+    A zip in the shared folder is given to Spark's own file distribution
+    (``addPyFile``), so the workers import the package wherever it is installed or
+    not. Needed by operators that run Python in tasks.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = scratch_path(spark, f"code-{uuid.uuid4().hex}/basketry_code.zip")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 _keepers: list[list[str]] = []
 
 
