@@ -6,12 +6,12 @@ count / baskets holding X; lift = confidence / (baskets holding y / N).
 A rule is kept when support >= min_support (count >= ceil(min_support * N))
 and confidence >= min_confidence. Right-hand sides have one item.
 
-Two miners:
+Miners (:mod:`~basketry.operators.apriori` is a third one, level-wise):
 
 - :func:`pair_rules` - rules with one item on each side, exact and fully
-  distributed. Items are numbered, a basket lists each of its pairs once
-  (smaller id first), and the pairs are counted with partial aggregation, so a
-  task ships at most one row per pair of frequent items.
+  distributed. A basket is cut to its frequent items and lists each of its pairs
+  once (smaller item first), and the pairs are counted with partial aggregation, so
+  a task ships at most one row per pair of frequent items.
 - :func:`fpgrowth_rules` - all itemset sizes with Spark ML's FP-growth
   (``pyspark.ml.fpm.FPGrowth``), all itemset sizes unless ``max_items`` is given.
 """
@@ -41,26 +41,36 @@ def item_counts(baskets: DataFrame) -> DataFrame:
     return baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
+NAMES_IN_PLAN = 1 << 12   # frequent items that are written into the plan; more of them are joined
+
+
+def _frequent_only(baskets: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Baskets as sorted arrays of their frequent items; without a shuffle while the frequent items are few."""
+    names = [r[0] for r in frequent.select("item").limit(NAMES_IN_PLAN + 1).collect()]
+    if len(names) <= NAMES_IN_PLAN:
+        held = F.array(*[F.lit(x) for x in sorted(names)]) if names else F.array().cast("array<string>")
+        return baskets.select(F.sort_array(F.array_intersect("items", held)).alias("items"))
+    # a basket's row number only has to tell baskets apart, whatever columns the caller's table has
+    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), "items")
+    return numbered.select("basket", F.explode("items").alias("item")).join(frequent.select("item"), "item", "left_semi").groupBy("basket").agg(
+        F.sort_array(F.collect_set("item")).alias("items"))
+
+
 def pair_counts(baskets: DataFrame, frequent: DataFrame) -> DataFrame:
     """(x, nx, y, ny, count) of every pair of frequent items that share a basket, x < y.
 
-    ``frequent`` is (item, n). The baskets' items are cut to the frequent ones
-    and numbered by one join, the numbers are collected per basket again, and
-    each basket lists its pairs of numbers once. A basket holds at most as many
-    items as there are frequent ones, and the counting aggregate is partial.
+    ``frequent`` is (item, n). The baskets' items are cut to the frequent ones inside
+    their array, each basket lists its pairs once, and the counting aggregate is
+    partial.
     """
-    ids = bounded_broadcast(frequent.select("item", F.xxhash64("item").alias("id")))
-    # a basket's row number only has to tell baskets apart, whatever columns the caller's table has
-    numbered = baskets.select(F.monotonically_increasing_id().alias("basket"), "items")
-    kept = numbered.select("basket", F.explode("items").alias("item")).join(ids, "item").groupBy("basket").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    pairs = F.flatten(F.transform("ids", lambda a, i: F.transform(
-        F.slice("ids", i + 2, F.size("ids")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    counts = kept.where(F.size("ids") > 1).select(F.explode(pairs).alias("p")).groupBy(
-        F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count(F.lit(1)).alias("count"))
-    named = frequent.select("item", "n", F.xxhash64("item").alias("id"))
-    left = bounded_broadcast(named.select(F.col("id").alias("a"), F.col("item").alias("x"), F.col("n").alias("nx")))
-    right = bounded_broadcast(named.select(F.col("id").alias("b"), F.col("item").alias("y"), F.col("n").alias("ny")))
-    return counts.join(left, "a").join(right, "b").select("x", "nx", "y", "ny", "count")
+    kept = _frequent_only(baskets, frequent)
+    pairs = F.flatten(F.transform("items", lambda a, i: F.transform(
+        F.slice("items", i + 2, F.size("items")), lambda b: F.struct(a.alias("x"), b.alias("y")))))
+    counts = kept.where(F.size("items") > 1).select(F.explode(pairs).alias("p")).groupBy(
+        F.col("p.x").alias("x"), F.col("p.y").alias("y")).agg(F.count(F.lit(1)).alias("count"))
+    left = bounded_broadcast(frequent.select(F.col("item").alias("x"), F.col("n").alias("nx")))
+    right = bounded_broadcast(frequent.select(F.col("item").alias("y"), F.col("n").alias("ny")))
+    return counts.join(left, "x").join(right, "y").select("x", "nx", "y", "ny", "count")
 
 
 def pair_rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
@@ -107,7 +117,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_items: int | N
     ``max_items`` is an optional cut of the miner's result; None keeps all sizes.
     """
     n = basket_count(baskets)
-    model = fpgrowth_model(baskets, min_support, 1.0)
+    model = fpgrowth_model(baskets, min_support, 1.0, int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return model.freqItemsets.filter(_at_most(F.size("items"), max_items)).select(
         F.sort_array("items").alias("items"), F.col("freq").cast("long").alias("freq"),
         (F.col("freq") / F.lit(float(max(n, 1)))).alias("support"))

@@ -486,6 +486,7 @@ FROM (SELECT CAST(count_if(prediction = 0 AND reordered = 0) AS DOUBLE) AS a,
                                                      f"CAST(c AS BIGINT) AS freq, {r('CAST(c AS DOUBLE) / n', 'support')} "
                                                      "FROM fx_sets CROSS JOIN fx_n")
     q["association_rules"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules")
+    q["apriori_itemsets"], q["apriori_rules"] = q["frequent_itemsets"], q["association_rules"]
     q["top_rules"] = ft(A, RULES + ITEMSETS, f"SELECT {RULE_OUT} FROM fx_fp_rules WHERE lift > 1 ORDER BY lift DESC, "
                                              "support DESC, array_to_string(ant, chr(1)), y LIMIT 5")
     q["top_pair_rules"] = ft(A, RULES, f"SELECT {RULE_OUT} FROM fx_rules WHERE lift > 1 "

@@ -38,6 +38,7 @@ from basketry.config import (
     TRAIN_FRACTION_PERCENT,
     ModelParams,
 )
+from basketry.operators import apriori as ap
 from basketry.operators import baskets as bk
 from basketry.operators import boosting as bo
 from basketry.operators import evaluate as ev
@@ -183,6 +184,10 @@ class Context:
         return self.memo("fp_rules", lambda: materialize(
             ru.fpgrowth_rules(self.baskets(), MIN_SUPPORT, MIN_CONFIDENCE), "rules"))
 
+    def level_sets(self) -> DataFrame:
+        """Frequent itemsets of all sizes by the level-wise miner."""
+        return self.memo("level_sets", lambda: ap.frequent_sets(self.baskets(), MIN_SUPPORT))
+
     def holdout_stand_in(self, scope: str = FEATURE_SCOPE) -> DataFrame:
         return self.memo(f"holdout-{scope}", lambda: ev.threshold(
             sp.split_holdout(self.features(scope)), STAND_IN_SCORE, EVAL_THRESHOLDS[scope]))
@@ -433,6 +438,18 @@ def q_frequent_itemsets(spark, d):
     return its.select(F.array_join("items", ", ").alias("items"), "freq", "support")
 
 
+def q_apriori_itemsets(spark, d):
+    c = _ctx(spark, d)
+    n = float(max(ru.basket_count(c.baskets()), 1))
+    return c.level_sets().select(F.array_join("set", ", ").alias("items"), F.col("n").alias("freq"),
+                                 (F.col("n") / F.lit(n)).alias("support"))
+
+
+def q_apriori_rules(spark, d):
+    c = _ctx(spark, d)
+    return ru.rule_labels(ap.rules_of(c.level_sets(), ru.basket_count(c.baskets()), MIN_CONFIDENCE))
+
+
 def q_frequent_pairs(spark, d):
     r = _ctx(spark, d).memo("pairs_all", lambda: ru.pair_rules(_ctx(spark, d).baskets(), MIN_SUPPORT, 0.0))
     r = r.filter(F.col("antecedent")[0] < F.col("consequent")[0])
