@@ -258,20 +258,23 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
         base = with_user_unique_products(base)
     fit = base if fit_on is None else base.filter(fit_on)
     wide = product_feature_wide(fit, tables, fit_on is None)
-    wide_cols = wide.columns
     # with every row fitted, each product of the lines has a row in ``wide``
     how = "inner" if fit_on is None else "left"
-    out = base.join(broadcast_bounded_by(wide, tables.products), "product_id", how)
+    return assemble(base, broadcast_bounded_by(wide, tables.products), user_features(fit, fit_on is None), how)
+
+
+def assemble(base: DataFrame, wide: DataFrame, users: DataFrame, how: str = "inner") -> DataFrame:
+    """E3, last steps: product features and user features joined to the lines, upstream's columns in its order."""
+    out = base.join(wide, "product_id", how)
     # one join by user brings the user measures and the distinct product count
     # (the same number as total_unique_product_by_user), so the line table is
     # shuffled by user once
-    users = user_features(fit, fit_on is None)
     if "unique_product_count" not in base.columns:
         users = users.withColumn("unique_product_count", F.col("total_unique_product_by_user"))
     out = out.join(users, "user_id", "left")
     line_cols = [c for c in base.columns if c not in ("product_id", "unique_product_count",
                                                       "user_buy_product_times")]
-    out = out.select(*wide_cols, *line_cols, "unique_product_count", "user_buy_product_times", *USER_MEASURES)
+    out = out.select(*wide.columns, *line_cols, "unique_product_count", "user_buy_product_times", *USER_MEASURES)
     out = fill_zero(out, STD_COLS)
     out = out.drop("order_id", "product_name", "aisle_id")
     return out.select(*[c for c in out.columns if c != "reordered"], "reordered")

@@ -501,4 +501,7 @@ SELECT lhs || ' => ' || rhs AS rule, y AS item, 'rule_to_item' AS direction, {r(
        {r('lift', 'lift')} FROM fx_fp_rules""")
     q["rule_matrix"] = ft(A, RULES + ITEMSETS, f"SELECT lhs, rhs, {r('lift', 'lift')} FROM fx_fp_rules")
     q["feature_table_fitted"] = ft(T, BASE + "," + FITTED, f"SELECT {select_cols(FT_COLS, FT_DOUBLES)} FROM fx_ft")
+    # the same results by another route
+    q["store_feature_table"], q["store_user_unique_products"] = q["feature_table"], q["user_unique_products"]
+    q["distinct_purchases"] = ft(A, "", "SELECT DISTINCT order_id, product_id, reordered FROM fx_lines")
     return q

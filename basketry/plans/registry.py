@@ -41,7 +41,9 @@ from basketry.config import (
 from basketry.operators import apriori as ap
 from basketry.operators import baskets as bk
 from basketry.operators import boosting as bo
+from basketry.operators import distinct as di
 from basketry.operators import evaluate as ev
+from basketry.operators import feature_store as fs
 from basketry.operators import features as fe
 from basketry.operators import model as mo
 from basketry.operators import profile as pr
@@ -104,6 +106,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.paths: list[str] = []
+        self.stores: list[str] = []
         self._memo: dict = {}
         self.tables: Tables = self._owned(lambda: tpch_tables(spark, sf_dir, "dense", materialize_tables=True))
 
@@ -129,6 +132,9 @@ class Context:
         for path in self.paths:
             remove_path(self.spark, path)
         self.paths.clear()
+        for name in self.stores:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.stores.clear()
 
     def _owned(self, build: Callable[[], object]):
         with written_paths() as paths:
@@ -164,6 +170,14 @@ class Context:
             return self.spark.read.parquet(path)
         return self.memo(f"features-{scope}", build)
 
+    def store(self, scope: str = FEATURE_SCOPE) -> fs.UserStore:
+        """The line base bucketed by user."""
+        def build():
+            store = fs.build_store(self.base(scope), self.scratch(f"store-{scope}"))
+            self.stores.append(store.name)
+            return store
+        return self.memo(f"store-{scope}", build)
+
     def top(self) -> DataFrame:
         return self.memo("top", lambda: bk.top_products(self.tables.lines(BASKET_SCOPE), self.tables.products, TOP_N))
 
@@ -363,6 +377,23 @@ def q_product_base_suffix_join(spark, d, scope=FEATURE_SCOPE):
     return fe.product_base_suffix_join(fe.with_user_unique_products(c.base(scope)), c.tables)
 
 
+def q_store_user_unique_products(spark, d, scope=FEATURE_SCOPE):
+    """J6 on the bucketed line base."""
+    return fs.with_user_unique_products(_ctx(spark, d).store(scope)).drop(fe.OCCURRENCE)
+
+
+def q_store_feature_table(spark, d, scope=FEATURE_SCOPE):
+    """E3 on the bucketed line base."""
+    c = _ctx(spark, d)
+    return fs.feature_table(c.store(scope), c.tables)
+
+
+def q_distinct_purchases(spark, d):
+    """Distinct rows of the raw lines without their cart position; repeated products of an order are duplicates."""
+    lines = _ctx(spark, d).tables.lines(BASKET_SCOPE).select("order_id", "product_id", "reordered")
+    return di.distinct_rows(lines)
+
+
 def q_split_holdout(spark, d, scope=FEATURE_SCOPE):
     return sp.split_holdout(_ctx(spark, d).features(scope))
 
@@ -614,6 +645,8 @@ WHOLE_HISTORY = (
     "split_holdout",
     "split_stratified_balance",
     "split_train",
+    "store_feature_table",
+    "store_user_unique_products",
     "submission_list",
     "threshold_predictions",
     "user_buy_product_times",
