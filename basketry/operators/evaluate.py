@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import LABEL_COL, LABEL_RIGHT, LABEL_WRONG
+from basketry.functions.special import binomial_interval, binomial_upper_tail, chi_square_1_tail
 
 PRED_COL = "prediction"
 # Outcome column names "sucesso" and "contagem" (labels "sim" / "não" in config).
@@ -78,3 +79,21 @@ def confusion_metrics(counts: DataFrame, positive: int = 0) -> DataFrame:
         # the continuity correction applies only if the two cells differ
         div(F.when(b == c, F.lit(0.0)).otherwise((F.abs(b - c) - 1) * (F.abs(b - c) - 1)), b + c)
         .alias("mcnemar_statistic"))
+
+
+def confusion_tests(counts: DataFrame, level: float = 0.95) -> DataFrame:
+    """Exact interval of the accuracy, its test against the no-information rate, and McNemar's p-value.
+
+    One row; NULL where a test is not defined (no rows, or no wrong predictions for
+    McNemar's). The interval inverts the binomial distribution, the first p-value is
+    the chance of at least as many right answers at the no-information rate.
+    """
+    m = confusion_metrics(counts, positive=0).select(
+        F.col("n").cast("double").alias("n"), F.round(F.col("accuracy") * F.col("n")).alias("right"), "accuracy",
+        "no_information_rate", "mcnemar_statistic")
+    low, high = binomial_interval(F.col("right"), F.col("n"), level)
+    return m.select(
+        F.col("n").cast("long").alias("n"), F.col("right").cast("long").alias("n_right"), "accuracy",
+        low.alias("accuracy_lower"), high.alias("accuracy_upper"), "no_information_rate",
+        binomial_upper_tail(F.col("right"), F.col("n"), F.col("no_information_rate")).alias("accuracy_p_value"),
+        "mcnemar_statistic", chi_square_1_tail(F.col("mcnemar_statistic")).alias("mcnemar_p_value"))

@@ -450,6 +450,10 @@ def q_confusion_metrics(spark, d, scope=FEATURE_SCOPE):
     return ev.confusion_metrics(ev.confusion_counts(_ctx(spark, d).holdout_stand_in(scope)), positive=0)
 
 
+def q_confusion_tests(spark, d, scope=FEATURE_SCOPE):
+    return ev.confusion_tests(ev.confusion_counts(_ctx(spark, d).holdout_stand_in(scope)))
+
+
 def q_binary_encode(spark, d, scope=FEATURE_SCOPE):
     c = _ctx(spark, d)
 
@@ -625,6 +629,7 @@ WHOLE_HISTORY = (
     "binary_encode",
     "confusion_counts",
     "confusion_metrics",
+    "confusion_tests",
     "department_features",
     "feature_table",
     "feature_table_roundtrip",
