@@ -501,6 +501,18 @@ SELECT lhs || ' => ' || rhs AS rule, y AS item, 'rule_to_item' AS direction, {r(
        {r('lift', 'lift')} FROM fx_fp_rules""")
     q["rule_matrix"] = ft(A, RULES + ITEMSETS, f"SELECT lhs, rhs, {r('lift', 'lift')} FROM fx_fp_rules")
     q["feature_table_fitted"] = ft(T, BASE + "," + FITTED, f"SELECT {select_cols(FT_COLS, FT_DOUBLES)} FROM fx_ft")
+    hashed = ("((user_id * 7919 + order_number * 104729 + product_id * 31 + add_to_cart_order * 17) % 2147483647 "
+              "* 1103515245 + 12345) % 4294967296")
+    # quantiles 0, 1/4, 1/2, 3/4, 1 of the numeric column; the distinct inner ones cut it
+    strata = """fx_qs AS (SELECT list_distinct(quantile_disc(user_buy_product_times, [0, 0.25, 0.5, 0.75, 1.0])) AS qs FROM fx_ft),
+fx_st AS (SELECT *, len(list_filter(qs, lambda q: q > list_min(qs) AND q < list_max(qs) AND q < user_buy_product_times)) AS s
+          FROM fx_ft, fx_qs),"""
+    for name, source, by in (("classes", "fx_ft", "reordered"), ("numeric", "fx_st", "s")):
+        q[f"split_exact_{name}"] = ft(T, feat_ctes + "," + (strata if name == "numeric" else "") + f"""
+fx_ranked AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {hashed}, user_id, order_number, product_id,
+                     add_to_cart_order) AS rn, count(*) OVER (PARTITION BY {by}) AS n FROM {source})""", """
+SELECT user_id, order_number, product_id, add_to_cart_order, reordered,
+       CASE WHEN rn <= ceil(n * 80 / 100.0) THEN 'train' ELSE 'holdout' END AS part FROM fx_ranked""")
     # the same results by another route
     q["store_feature_table"], q["store_user_unique_products"] = q["feature_table"], q["user_unique_products"]
     q["distinct_purchases"] = ft(A, "", "SELECT DISTINCT order_id, product_id, reordered FROM fx_lines")

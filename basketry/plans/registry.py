@@ -416,6 +416,18 @@ def q_split_stratified_balance(spark, d, scope=FEATURE_SCOPE):
     return tr.unionByName(ho)
 
 
+def q_split_exact_classes(spark, d, scope=FEATURE_SCOPE):
+    """M1 option: which rows land where when every label class is cut exactly."""
+    sides = sp.exact_sides(_ctx(spark, d).features(scope), F.col(LABEL_COL))
+    return sides.select(*sp.KEYS, LABEL_COL, "part")
+
+
+def q_split_exact_numeric(spark, d, scope=FEATURE_SCOPE):
+    """M1 as upstream's partition of a numeric outcome: strata between its quantiles, each cut exactly."""
+    ft = _ctx(spark, d).features(scope)
+    return sp.exact_sides(ft, sp.numeric_strata(ft, "user_buy_product_times")).select(*sp.KEYS, LABEL_COL, "part")
+
+
 # ---------------------------------------------------------------- aggregations / window
 def q_product_frequency(spark, d):
     return bk.product_frequency(_ctx(spark, d).tables.lines(BASKET_SCOPE))
@@ -647,6 +659,8 @@ WHOLE_HISTORY = (
     "profile_nulls",
     "profile_schema",
     "split_balance",
+    "split_exact_classes",
+    "split_exact_numeric",
     "split_holdout",
     "split_stratified_balance",
     "split_train",
