@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import io
 import os
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -81,6 +85,29 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
+def give_back_memory(spark: SparkSession) -> None:
+    """Let the idle Python workers hand memory that they no longer use back to the system.
+
+    Workers are reused from one step to the next, and what their allocators keep
+    for themselves counts against the executor while the next step allocates anew.
+    One short task for each place where a task can run; none depends on it.
+    """
+    ship_package(spark)
+
+    def tidy(batches):
+        for _ in batches:
+            pass
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):   # other C libraries have no such call
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        time.sleep(0.1)   # long enough for every place to get a task
+        yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], ["done"])
+
+    places = max(2, 2 * spark.sparkContext.defaultParallelism)
+    spark.range(0, places, 1, places).mapInArrow(tidy, "done long").agg(F.sum("done")).first()
+
+
 BROADCAST_IDS = 1 << 21  # ids (16 MB) up to which a written list of them is sent to the scans
 
 
