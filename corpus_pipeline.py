@@ -4,7 +4,8 @@
 returns a DataFrame that is written as Parquet to the shared folder and read
 again as the next stage's ``docs``, so a lost executor costs one stage at most.
 All stages but the last return the columns of ``documents``; the last one
-returns the token ids of what is left.
+returns the token ids of what is left. A stage first lets the Python workers give back
+what the stage before left in them.
 
 Each stage decides by the doc_id of a row: rows that share a doc_id but not
 their text are kept or dropped together by the quality and near-duplicate
@@ -19,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import op01_bpe, op03_near, op06_exact, op07_contain, op09_quality
-from basketry.llm.common import table
+from basketry.llm.common import give_back_memory, table
 from basketry.session import scratch_path
 
 
@@ -30,21 +31,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest doc_id."""
+    give_back_memory(spark)
     return op06_exact.drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest doc_id."""
+    give_back_memory(spark)
     return op03_near.drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
+    give_back_memory(spark)
     return op07_contain.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, token_ids and n_tokens of what is left."""
+    give_back_memory(spark)
     return op01_bpe.token_rows(docs)
 
 
