@@ -178,13 +178,16 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
     flat, owner = flat[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(flat)))
-    counts = np.zeros(n * n, np.int64)
+    # only left against right is counted: an owner comes before another one of the same shingle if its index is smaller
+    start, width = (0, n) if right is None else (split, n - split)
+    counts = np.zeros(split * width, np.float32)
     for k in range(2, RARE + 1):
         holders = owner[first[size == k][:, None] + np.arange(k)[None, :]]
         for i in range(k):
             for j in range(i + 1, k):
-                counts += np.bincount(holders[:, i] * n + holders[:, j], minlength=n * n)
-    counts = counts.reshape(n, n)[:split, 0 if right is None else split:].astype(np.float32)
+                cross = (holders[:, i] < split) & (holders[:, j] >= start)
+                counts += np.bincount(holders[cross, i] * width + holders[cross, j] - start, minlength=split * width)
+    counts = counts.reshape(split, width)
     common = np.flatnonzero(size > RARE)
     for at in range(0, len(common), 2048):
         part = common[at:at + 2048]
@@ -192,7 +195,7 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
         rows = owner[np.concatenate([np.arange(first[c], first[c] + size[c]) for c in part])]
         holds = np.zeros((n, len(part)), np.float32)
         holds[rows, column] = 1.0
-        counts += holds[:split] @ holds[0 if right is None else split:].T
+        counts += holds[:split] @ holds[start:].T
     # pair by pair, only the smaller index leads; products hold both directions
     return np.maximum(counts, counts.T) if right is None else counts
 
