@@ -453,12 +453,11 @@ LEFT JOIN (SELECT prediction, reordered AS reference, count(*) AS n FROM fx_hold
     pe = div("(a + b) * (a + c) + (c + d) * (b + d)", f"{n} * {n}")
     sens, spec = div("a", "a + c"), div("d", "b + d")
     q["model_stump"] = ft(T, feat_ctes + "," + _stump_sql(), f"""
-SELECT 0 AS tree, 1 AS node, NULL AS feature, NULL AS cut, NULL AS missing_left, NULL AS "left", NULL AS "right",
-       0.5 AS leaf, NULL AS gain, 0 AS n_rows
-UNION ALL SELECT 1, 1, feature, v, true, 2, 3, NULL, {r('gain', 'gain')}, CAST(h AS BIGINT) FROM fx_sb
-UNION ALL SELECT 1, 2, NULL, NULL, NULL, NULL, NULL, round(-gl / (hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), NULL,
-                 CAST(hl AS BIGINT) FROM fx_sb
-UNION ALL SELECT 1, 3, NULL, NULL, NULL, NULL, NULL, round(-(g - gl) / (h - hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), NULL,
+SELECT CAST(0 AS BIGINT) AS tree, CAST(1 AS BIGINT) AS node, '' AS feature, CAST(0 AS DOUBLE) AS cut,
+       CAST(0.5 AS DOUBLE) AS leaf, CAST(0 AS DOUBLE) AS gain, CAST(0 AS BIGINT) AS n_rows
+UNION ALL SELECT 1, 1, feature, v, 0, {r('gain', 'gain')}, CAST(h AS BIGINT) FROM fx_sb
+UNION ALL SELECT 1, 2, '', 0, round(-gl / (hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), 0, CAST(hl AS BIGINT) FROM fx_sb
+UNION ALL SELECT 1, 3, '', 0, round(-(g - gl) / (h - hl + 1.0) * CAST(0.3 AS DOUBLE), {D}), 0,
                  CAST(h - hl AS BIGINT) FROM fx_sb""")
     q["confusion_metrics"] = ft(T, feat_ctes, f"""
 SELECT CAST(0 AS BIGINT) AS positive, CAST({n} AS BIGINT) AS n,

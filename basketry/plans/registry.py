@@ -615,7 +615,10 @@ STUMP_FEATURES = ["order_dow", "order_hour_of_day", "days_since_prior_order", "a
 def q_model_stump(spark, d, scope=FEATURE_SCOPE):
     """M3 with one round and one split, as a table of nodes."""
     train = sp.split_train(_ctx(spark, d).features(scope))
-    return bo.model_table(spark, bo.fit(train, ModelParams(rounds=1, depth=1), cols=STUMP_FEATURES))
+    nodes = bo.model_table(spark, bo.fit(train, ModelParams(rounds=1, depth=1), cols=STUMP_FEATURES))
+    # what a node has not is shown as 0 or no text
+    return nodes.select("tree", "node", F.coalesce("feature", F.lit("")).alias("feature"),
+                        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("cut", "leaf", "gain")], "n_rows")
 
 
 def q_feature_table_fitted(spark, d):
