@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import LONG, near_components
 
@@ -37,7 +38,7 @@ def test_all_pairs_of_a_small_corpus(make_docs, common):
 @pytest.mark.parametrize("branch", [5, 1000])
 def test_large_nodes_branch_and_end_in_blocks(make_docs, monkeypatch, branch):
     """With tiny nodes every level and the blocks at the end are used; nothing may be lost."""
-    for name, value in (("SMALL", 3), ("BLOCK", 4), ("BRANCH", branch), ("MAX_DEPTH", 3)):
+    for name, value in (("SMALL", 3), ("BLOCK", 4), ("WIDE_BLOCK", 5), ("HOT", 6), ("BRANCH", branch), ("MAX_DEPTH", 3)):
         monkeypatch.setattr(near, name, value)
     rows = varied(11, groups=4, size=14, common=60)
     assert as_rows(near.near_components(make_docs(rows))) == sorted(near_components(rows))
@@ -66,6 +67,28 @@ def test_star_of_single_links_inside_a_branching_node(make_docs, monkeypatch):
     assert as_rows(near.near_components(make_docs(rows))) == sorted(near_components(rows))
 
 
+def test_sketches_of_blocks_find_all_possible_partners(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(1 << 63, size=64, dtype=np.uint64)
+    tokens = np.where(rng.random((30, 64)) < rng.random((30, 1)), rng.integers(1 << 63, size=(30, 64), dtype=np.uint64), base)
+    four = tokens >> np.uint64(20) & np.uint64(15)
+    wide = (four.reshape(30, 4, 16) * near._NIBBLES).sum(axis=2, dtype=np.uint64).view(np.int64)
+    n, root = rng.integers(60, 100, 30), rng.integers(0, 9, 30)
+    alike = (four[:, None] != four[None]).sum(axis=2) <= near.WIDE_DIFFER
+    sized = 100 * np.minimum(n[:, None], n) >= 75 * np.maximum(n[:, None], n)
+    want = alike & sized & (root[:, None] != root)
+    assert 0 < want.sum() < 30 * 29
+    sides = (np.arange(30) % 3 == 0).astype(int)
+    for side, some in ((np.zeros(30, int), want), (sides, want & (sides[:, None] != sides))):
+        got = near._possible(pa.table({"node": np.arange(30) + 100, "id": np.arange(30), "root": root, "n": n,
+                                       "side": side, "wide": pa.array(wide.tolist())}))
+        assert got["id"].to_pylist() == np.flatnonzero(some.any(axis=1)).tolist()
+        assert got["node"].to_pylist() == [100 + i for i in got["id"].to_pylist()]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(wide.tolist())], "id long, wide array<long>")
+    pairs = rows.toDF("a", "x").join(rows.toDF("b", "y"), near._close_wide("x", "y")).select("a", "b").collect()
+    assert {(r.a, r.b) for r in pairs} == set(zip(*(x.tolist() for x in np.nonzero(alike))))
+
+
 def test_shared_counts_of_blocks():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) for _ in range(40)]
