@@ -289,6 +289,46 @@ def _nulls_sql(cols: list[tuple[str, bool]], src: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+# Spark's types of the feature table's columns; the others are bigint
+SCHEMA_INTS = ("order_number", "order_dow", "order_hour_of_day", "add_to_cart_order", "department_id", "reordered")
+
+
+def _schema_sql(cols: list[str], doubles, src: str) -> str:
+    parts = []
+    for i, c in enumerate(cols):
+        kind = ("double" if c in doubles else "string" if c == "eval_set"
+                else "int" if c in SCHEMA_INTS or "_bin_" in c else "bigint")
+        parts.append(f"SELECT CAST({i + 1} AS BIGINT) AS position, '{c}' AS \"column\", '{kind}' AS type, "
+                     f"count({c}) AS n_values FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+# the columns of the order tables: whole numbers (z), numbers (d), text (s)
+FOUND_COLS = {
+    "orders": ("fx_orders", "order_id z, user_id z, eval_set s, order_number z, order_dow z, order_hour_of_day z, "
+                            "days_since_prior_order d"),
+    "products": ("fx_products", "product_id z, product_name s, aisle_id z, department_id z"),
+    "aisles": ("fx_aisles", "aisle_id z, aisle s"),
+    "departments": ("fx_departments", "department_id z, department s"),
+    "order_products_train": ("fx_op_train", "order_id z, product_id z, add_to_cart_order z, reordered z"),
+    "order_products_prior": ("fx_op_prior", "order_id z, product_id z, add_to_cart_order z, reordered z"),
+}
+
+
+def _found_sql() -> str:
+    """The narrowest type of each column by the range of its values."""
+    parts = []
+    for name, (src, cols) in FOUND_COLS.items():
+        for i, col in enumerate(cols.split(", ")):
+            c, kind = col.split()
+            held = {"z": f"CASE WHEN min({c}) < -2147483648 OR max({c}) > 2147483647 THEN 'bigint' ELSE 'int' END",
+                    "d": "'double'", "s": "'string'"}[kind]
+            parts.append(f"SELECT '{name}' AS \"table\", CAST({i + 1} AS BIGINT) AS position, '{c}' AS \"column\", "
+                         f"CASE WHEN count({c}) = 0 THEN 'boolean' ELSE {held} END AS type, "
+                         f"count(*) - count({c}) AS n_missing FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
 def _stump_sql() -> str:
     """One split over all rows: squared error, first score 0.5, L2 term 1, step 0.3, one row a side at least."""
     values = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, 0.5 - reordered AS g FROM fx_tr"
@@ -338,6 +378,10 @@ def _statements(scope: str) -> dict[str, str]:
         for n, src, k in shape_parts))
     q["profile_nulls"] = ft(T, base_ctes, _nulls_sql(
         [(c, c == "days_since_prior_order") for c in BASE_COLS.split(", ")], "fx_base0"))
+    q["profile_on_write"] = ft(T, base_ctes, f"SELECT *, (SELECT count(*) FROM fx_base0) AS n_rows FROM ({_nulls_sql(
+        [(c, c == 'days_since_prior_order') for c in BASE_COLS.split(', ')], 'fx_base0')})")
+    q["profile_schema"] = ft(T, feat_ctes, _schema_sql(FT_COLS, FT_DOUBLES, "fx_ft"))
+    q["csv_found_types"] = ft(A, "", _found_sql())
     q["preview_head"] = ft(T, base_ctes, f"SELECT {select_cols(BASE_COLS.split(', '), {'days_since_prior_order'})} "
                                          "FROM fx_base0 ORDER BY order_id, add_to_cart_order LIMIT 6")
 

@@ -53,10 +53,12 @@ from basketry.operators import rules as ru
 from basketry.operators import split as sp
 from basketry.functions.encode import binary_encode
 from basketry.session import materialize, remove_path, scratch_path, written_paths
+from basketry.sources import found_types as ft
 from basketry.sources import sinks
 from basketry.sources.fixtures import tpch_tables
 from basketry.sources.tables import Tables
 
+FOUND_TABLES = ("orders", "products", "aisles", "departments", "order_products_train", "order_products_prior")
 BASKET_SCOPE = "all"
 FEATURE_SCOPE = "train"
 TOP_N = TOP_N_PRODUCTS
@@ -277,6 +279,23 @@ def q_profile_schema(spark, d, scope=FEATURE_SCOPE):
     return pr.schema_table(_ctx(spark, d).features(scope))
 
 
+def q_profile_on_write(spark, d, scope=FEATURE_SCOPE):
+    """Q1, Q2 as metrics of the job that writes the line table."""
+    c = _ctx(spark, d)
+    return sinks.write_observed(fe.order_line_base(c.tables, scope), c.scratch(f"observed-{scope}"))
+
+
+def q_csv_found_types(spark, d):
+    """The order tables written as CSV, their column types found from all rows."""
+    c = _ctx(spark, d)
+    out = []
+    for name in FOUND_TABLES:
+        path = c.scratch(f"csv-{name}")
+        sinks.write_csv(getattr(c.tables, name), path)
+        out.append(ft.found_types(spark, path).select(F.lit(name).alias("table"), "*"))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def q_preview_head(spark, d, scope=FEATURE_SCOPE):
     return pr.preview(fe.order_line_base(_ctx(spark, d).tables, scope), ["order_id", "add_to_cart_order"],
                       PREVIEW_ROWS)
@@ -660,6 +679,7 @@ WHOLE_HISTORY = (
     "product_features",
     "product_lines_fanout",
     "profile_nulls",
+    "profile_on_write",
     "profile_schema",
     "split_balance",
     "split_exact_classes",
