@@ -13,7 +13,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -116,6 +116,19 @@ def few_enough(written: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(written) if written.count() <= rows else written
 
 
+def content_digest(*columns: str) -> Column:
+    """128 bits of some text columns, which tell rows of one doc_id apart by what they hold (NULL is no empty text)."""
+    told = [F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("\x00", *told)))
+
+
+def without(docs: DataFrame, gone: DataFrame, digest: Column) -> DataFrame:
+    """The rows of ``docs`` but those whose doc_id and digest are listed in the written table ``gone``."""
+    listed = gone.select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__digest"))
+    return docs.join(few_enough(listed, BROADCAST_IDS // 4),
+                     F.col("doc_id").eqNullSafe(F.col("__gone")) & (digest == F.col("__digest")), "left_anti")
+
+
 def hash_bucket(column: str, modulus: int):
     """crc32 of the column written as text, modulo ``modulus`` (the folds of the contracts)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

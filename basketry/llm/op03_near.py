@@ -41,10 +41,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import few_enough, map_batches, materialize, table
+from basketry.llm.common import content_digest, few_enough, map_batches, materialize, table, without
 from basketry.llm.components import components
 from basketry.llm.shingles import shingle_set
 
@@ -57,6 +57,7 @@ BRANCH = 1 << 13     # classes in a node above which it branches before it is co
 MAX_DEPTH = 8        # levels at most
 BLOCK = 1 << 11      # classes in a block, on average
 BLOCK_SHINGLES = 1 << 20  # shingles in a block, on average (8 MB)
+COLUMNS = 512        # shingles whose 0/1 matrix is held at once
 RARE = 8             # sets of a block pair that share a shingle, up to which they are paired one by one
 SKETCH_BITS = 22     # bits in which the sketches of a linked pair may differ (8 expected at similarity 0.75)
 WIDE_DIFFER = 33     # tokens whose four bits may differ in a linked pair (15 expected at similarity 0.75)
@@ -83,7 +84,7 @@ def minwise_tokens(shingles: np.ndarray) -> np.ndarray:
 
 def _sketch_batches(batches):
     for b in batches:
-        out = {"doc_id": b["doc_id"], "n_shingles": [], "set_key": [], "tokens": [], "bits": [], "wide": []}
+        out = {"doc_id": b["doc_id"], "digest": b["digest"], "n_shingles": [], "set_key": [], "tokens": [], "bits": [], "wide": []}
         for text in b["text"]:
             s = shingle_set(text)
             out["n_shingles"].append(len(s))
@@ -217,11 +218,11 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
         for i in range(k):
             for j in range(i + 1, k):
                 cross = (holders[:, i] < split) & (holders[:, j] >= start)
-                counts += np.bincount(holders[cross, i] * width + holders[cross, j] - start, minlength=split * width)
+                np.add.at(counts, holders[cross, i] * width + holders[cross, j] - start, np.float32(1))
     counts = counts.reshape(split, width)
     common = np.flatnonzero(size > RARE)
-    for at in range(0, len(common), 2048):
-        part = common[at:at + 2048]
+    for at in range(0, len(common), COLUMNS):
+        part = common[at:at + COLUMNS]
         column = np.repeat(np.arange(len(part)), size[part])
         rows = owner[np.concatenate([np.arange(first[c], first[c] + size[c]) for c in part])]
         holds = np.zeros((n, len(part)), np.float32)
@@ -241,10 +242,13 @@ def _block_links(rows: pa.Table) -> pa.Table:
     right = left if same else np.flatnonzero(side == 1)
     shared = shared_counts([sets[i] for i in left], None if same else [sets[i] for i in right])
     sizes = np.array([len(s) for s in sets], np.float64)
-    either = sizes[left][:, None] + sizes[right][None, :] - shared
-    close = 100 * shared.astype(np.float64) >= SIMILARITY * either
     named = np.array(roots)
-    close &= named[left][:, None] != named[right][None, :]
+    close = []
+    for at in range(0, len(left), 256):
+        part, both = left[at:at + 256], shared[at:at + 256].astype(np.float64)
+        either = sizes[part][:, None] + sizes[right][None, :] - both
+        found = (100 * both >= SIMILARITY * either) & (named[part][:, None] != named[right][None, :])
+        close.append(np.argwhere(found) + (at, 0))
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -253,7 +257,7 @@ def _block_links(rows: pa.Table) -> pa.Table:
         return x
 
     out = []
-    for i, j in np.argwhere(close):
+    for i, j in np.concatenate([np.zeros((0, 2), np.int64), *close]):
         a, b = left[i], right[j]
         x, y = find(roots[a]), find(roots[b])
         if x != y:
@@ -333,9 +337,11 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         100 * shared >= SIMILARITY * (F.size("a_set") + F.size("b_set") - shared)).select("a", "b")
 
 
-def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): rows have doc_id, n_shingles, set_key; classes have set_key, id and root (an id)."""
-    rows = materialize(map_batches(docs, ["doc_id", "text"], "doc_id long, n_shingles long, set_key binary, "
+def near_classes(docs: DataFrame, digest: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows have doc_id, n_shingles, set_key, digest; classes have set_key, id and root (an id)."""
+    digest = F.lit(None).cast("binary") if digest is None else digest
+    marked = docs.select("doc_id", "text", digest.alias("digest"))
+    rows = materialize(map_batches(marked, ["doc_id", "text", "digest"], "doc_id long, digest binary, n_shingles long, set_key binary, "
                                    "tokens array<long>, bits long, wide array<long>", _sketch_batches), "near_sketches")
     classes = rows.where("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("tokens").alias("tokens"),
@@ -366,27 +372,27 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "root", F.coalesce("root", "id"))
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id of the component), kept."""
-    rows, classes = near_classes(docs)
+def near_components(docs: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id of the component), kept, and its ``digest``."""
+    rows, classes = near_classes(docs, digest)
     least = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = materialize(classes.join(least, "root").select("set_key", "component_id"), "near_named")
-    out = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    out = rows.select("doc_id", "n_shingles", "set_key", "digest").join(named, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "digest")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component those with its smallest doc_id."""
-    dropped = materialize(near_components(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(),
-                          "near_dropped")
-    return docs.join(few_enough(dropped), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that stay: of each component those with its smallest doc_id, told by doc_id and text."""
+    digest = content_digest("text")
+    dropped = near_components(docs, digest).where("not kept").select("doc_id", "digest").distinct()
+    return without(docs, materialize(dropped, "near_dropped"), digest)
 
 
 def op3_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: set size, component and kept flag of every document."""
-    return near_components(table(spark, sf_dir, "documents"))
+    return near_components(table(spark, sf_dir, "documents")).drop("digest")
 
 
 ORACLE = r"""

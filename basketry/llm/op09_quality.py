@@ -40,7 +40,7 @@ import bz2
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.charlm import (
@@ -53,7 +53,7 @@ from basketry.llm.charlm import (
     merge_counts,
     pack_grams,
 )
-from basketry.llm.common import few_enough, map_batches, materialize, ship_package, table
+from basketry.llm.common import content_digest, few_enough, map_batches, materialize, ship_package, table, without
 
 SHARD_CHARS = 1 << 24       # characters of a shard
 CHUNK_CHARS = 1 << 20       # characters that a task holds as arrays at once
@@ -84,8 +84,8 @@ def gram_keys(coded: str) -> tuple[np.ndarray, np.ndarray]:
     return pack_grams(units)[told], np.flatnonzero(units[told] == ord(END))
 
 
-PACKED = ("shard long, doc_ids array<long>, langs array<string>, trusted array<boolean>, payload binary, "
-          "grams array<long>, counts array<long>")
+PACKED = ("shard long, doc_ids array<long>, langs array<string>, trusted array<boolean>, digests array<binary>, "
+          "payload binary, grams array<long>, counts array<long>")
 
 
 def _pack_batches(batches):
@@ -93,14 +93,15 @@ def _pack_batches(batches):
     parts: list = []
 
     def row(docs=(), payload=None, grams=None, counts=None):
-        return {"shard": [shard], "doc_ids": [[d for d, _, _, _ in docs]], "langs": [[x for _, x, _, _ in docs]],
-                "trusted": [[t for _, _, t, _ in docs]], "payload": [payload], "grams": [grams], "counts": [counts]}
+        return {"shard": [shard], "doc_ids": [[d[0] for d in docs]], "langs": [[d[1] for d in docs]],
+                "trusted": [[d[2] for d in docs]], "digests": [[d[3] for d in docs]], "payload": [payload],
+                "grams": [grams], "counts": [counts]}
 
     def chunk(docs):
-        coded = "".join([PAD + c + END for _, _, _, c in docs])
+        coded = "".join([PAD + d[4] + END for d in docs])
         keys, ends = gram_keys(coded)
         sizes = np.diff(ends, prepend=-1)
-        trusted = np.repeat(np.array([t for _, _, t, _ in docs], bool), sizes)
+        trusted = np.repeat(np.array([d[2] for d in docs], bool), sizes)
         grams, times = np.unique(keys[trusted], return_counts=True)
         known = np.unique(keys)
         parts.append((np.concatenate([known, grams]), np.concatenate([np.zeros(len(known), np.int64), times])))
@@ -110,9 +111,9 @@ def _pack_batches(batches):
 
     held, chars = [], 0
     for b in batches:
-        for doc, lang, good, text in zip(b["doc_id"], b["lang"], b["trusted"], b["text"], strict=True):
+        for doc, lang, good, digest, text in zip(b["doc_id"], b["lang"], b["trusted"], b["digest"], b["text"], strict=True):
             coded = code_text(text)
-            held.append((doc, lang, bool(good) and bool(coded), coded))
+            held.append((doc, lang, bool(good) and bool(coded), digest, coded))
             chars += len(coded) + ORDER
             if chars >= CHUNK_CHARS:
                 yield chunk(held)
@@ -129,13 +130,14 @@ def _pack_batches(batches):
         yield row(grams=grams.view(np.int64), counts=counts)
 
 
-def pack_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Shards of coded texts and their gram lists, written to the shared folder."""
+def pack_documents(docs: DataFrame, labels: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Shards of coded texts and their gram lists, written to the shared folder; rows take their ``digest`` along."""
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
     marks = few_enough(materialize(trusted, "quality_trusted"))
+    digest = F.lit(None).cast("binary") if digest is None else digest
     rows = docs.select("doc_id", "lang", "text").join(marks, F.col("doc_id") == F.col("__id"), "left").select(
-        "doc_id", "lang", F.col("__id").isNotNull().alias("trusted"), "text")
-    return materialize(map_batches(rows, ["doc_id", "lang", "trusted", "text"], PACKED, _pack_batches),
+        "doc_id", "lang", F.col("__id").isNotNull().alias("trusted"), digest.alias("digest"), "text")
+    return materialize(map_batches(rows, ["doc_id", "lang", "trusted", "digest", "text"], PACKED, _pack_batches),
                        "quality_shards")
 
 
@@ -165,7 +167,7 @@ def gram_scores(shards: DataFrame) -> DataFrame:
     return scored.select("gram", F.log("__q").alias("logp"))
 
 
-SCORED = "doc_id long, lang string, trusted boolean, chars long, logp double"
+SCORED = "doc_id long, lang string, trusted boolean, digest binary, chars long, logp double"
 
 
 def _score_shard(packed: pa.Table, listed: pa.Table) -> pa.Table:
@@ -173,36 +175,39 @@ def _score_shard(packed: pa.Table, listed: pa.Table) -> pa.Table:
     known = listed.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(known)
     known, logp = known[order], listed.column("logp").to_numpy()[order]
-    out: dict[str, list] = {n: [] for n in ("doc_id", "lang", "trusted", "chars", "logp")}
-    for row in packed.to_pylist():
+    out: dict[str, list] = {n: [] for n in ("doc_id", "lang", "trusted", "digest", "chars", "logp")}
+    for i in range(packed.num_rows):  # one packed row as objects at a time
+        row = packed.slice(i, 1).to_pylist()[0]
         keys, ends = gram_keys(bz2.decompress(row["payload"]).decode("utf-8", "surrogatepass"))
         starts = np.concatenate([[0], ends[:-1] + 1])
         sums = np.add.reduceat(logp[np.searchsorted(known, keys)], starts)
         out["doc_id"] += row["doc_ids"]
         out["lang"] += row["langs"]
         out["trusted"] += row["trusted"]
+        out["digest"] += row["digests"]
         out["chars"] += (ends - starts).tolist()
         out["logp"] += sums.tolist()
     return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "lang": pa.array(out["lang"], pa.string()),
-                     "trusted": pa.array(out["trusted"], pa.bool_()), "chars": pa.array(out["chars"], pa.int64()),
+                     "trusted": pa.array(out["trusted"], pa.bool_()), "digest": pa.array(out["digest"], pa.binary()),
+                     "chars": pa.array(out["chars"], pa.int64()),
                      "logp": pa.array(out["logp"], pa.float64())})
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, lang, trusted, chars, logp) of every document, written to the shared folder."""
+def score_documents(docs: DataFrame, labels: DataFrame, digest: Column | None = None) -> DataFrame:
+    """(doc_id, lang, trusted, digest, chars, logp) of every document, written to the shared folder."""
     ship_package(docs.sparkSession)
-    shards = pack_documents(docs, labels)
+    shards = pack_documents(docs, labels, digest)
     logp = materialize(gram_scores(shards), "quality_logp")
     lists = shards.where("grams is not null").select(
         F.col("shard").alias("of_shard"), F.explode("grams").alias("gram")).join(logp, "gram")
-    texts = shards.where("payload is not null").select("shard", "doc_ids", "langs", "trusted", "payload")
+    texts = shards.where("payload is not null").select("shard", "doc_ids", "langs", "trusted", "digests", "payload")
     scored = texts.groupBy("shard").cogroup(lists.groupBy("of_shard")).applyInArrow(_score_shard, SCORED)
     return materialize(scored, "quality_scores")
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, lang, perplexity, entropy (drawn to the mean), threshold, kept."""
-    rows = score_documents(docs, labels)
+def classify(docs: DataFrame, labels: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Per document: doc_id, lang, perplexity, entropy (drawn to the mean), threshold, kept, and its ``digest``."""
+    rows = score_documents(docs, labels, digest)
     good = rows.where("trusted")
     means = good.groupBy("lang").agg((-F.sum("logp") / F.sum("chars")).alias("mean"))
     all_mean = good.agg(-F.sum("logp") / F.sum("chars")).first()[0] or 0.0
@@ -223,14 +228,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select("doc_id", "lang", F.when(F.col("chars") > 0, F.exp(-F.col("logp") / F.col("chars")))
                       .alias("perplexity"), "entropy", "threshold",
                       ((F.col("chars") > 0) & (F.col("threshold").isNull() | (F.col("entropy") <= F.col("threshold"))))
-                      .alias("kept"))
+                      .alias("kept"), "digest")
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps."""
-    gone = materialize(classify(docs, labels).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(),
-                       "quality_rejected")
-    return docs.join(few_enough(gone), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that the classifier keeps; rows of one doc_id are told apart by text and language."""
+    digest = content_digest("text", "lang")
+    rejected = classify(docs, labels, digest).where("not kept").select("doc_id", "digest").distinct()
+    return without(docs, materialize(rejected, "quality_rejected"), digest)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

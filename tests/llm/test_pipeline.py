@@ -4,6 +4,7 @@ import sys
 import pytest
 from brute import contained, near_components
 from harness import compare
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -61,3 +62,37 @@ def test_stages_follow_brute_force(spark, sf_small, tmp_path):
 def test_modules_do_not_hide_missing_imports():
     assert corpus_pipeline.ORACLE_SQL is None and corpus_pipeline.STAGES[0][0] == "quality"
     assert "basketry.llm" in sys.modules
+
+
+TEXTS = ["the river runs below the old house and the garden is quiet in the evening light of the valley",
+         "a small hill stands above the water and the trees behind it walk down to the morning shore",
+         "people of the town bring bread and fruit to the market before the sun is over the roofs again"]
+
+
+def write_tables(spark, folder, rows, trusted):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("digest", "id", "root", "node", "kept", "gram", "shard"):
+        docs = docs.withColumn(name, F.lit("x"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, TEXTS[2])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    """NULL ids, one id for several texts, repeated rows and clashing names: only what a stage rejects goes."""
+    rows = [(1, TEXTS[0], "en"), (1, TEXTS[0], "en"),           # repeated row
+            (2, "", "en"), (2, TEXTS[1], "en"),                 # one id, one text without words
+            (None, None, "en"), (None, TEXTS[1] + " far away from here", None),   # no id, one without text
+            (7, TEXTS[2], "en"), (8, "So " + TEXTS[2], "en"),   # benchmark item
+            (9, TEXTS[0].upper(), "en")]                        # equal text
+    rows = [(*r, "s", None) for r in rows]
+    out = corpus_pipeline.run(spark, write_tables(spark, tmp_path, rows, [1, 2, 7, 8, 9]))
+    texts = sorted((r.doc_id or 0, r.text) for r in op01_bpe.decode_ids(out).collect())
+    assert texts == [(0, TEXTS[1] + " far away from here"), (2, TEXTS[1]), (9, TEXTS[0].upper())]
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    out = corpus_pipeline.run(spark, write_tables(spark, tmp_path, [], []))
+    assert out.count() == 0 and {"doc_id", "token_ids", "n_tokens"} <= set(out.columns)
