@@ -7,9 +7,8 @@ All stages but the last return the columns of ``documents``; the last one
 returns the token ids of what is left. A stage first lets the Python workers give back
 what the stage before left in them.
 
-Each stage decides by the doc_id of a row: rows that share a doc_id but not
-their text are kept or dropped together by the quality and near-duplicate
-stages. Empty tables pass through; NULL or wordless texts are rejected by the
+Each stage decides row by row: rows that share a doc_id (or have none) but not their
+text are told apart by a digest of the text. Empty tables pass through; NULL or wordless texts are rejected by the
 first stage. Extra columns of ``documents`` are carried to the last stage.
 """
 
