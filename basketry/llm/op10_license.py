@@ -23,6 +23,7 @@ is held.
 
 from __future__ import annotations
 
+from bisect import bisect
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -165,11 +166,16 @@ class SuffixAutomaton:
 
 
 @dataclass
-class _Chain:
+class _Piece:
+    """A run at one of its places in a template, with the best chain that ends with it."""
+
     start: int        # first word in the text
     end: int          # last word in the text
     at: int           # last word in the template
-    covered: int
+    length: int
+    covered: int      # template words that the chain covers
+    more: int         # those that this piece adds
+    before: _Piece | None = None
 
 
 def scan_words(auto: SuffixAutomaton, words: list[bytes]) -> tuple[list, list]:
@@ -192,31 +198,60 @@ def scan_words(auto: SuffixAutomaton, words: list[bytes]) -> tuple[list, list]:
 
 
 def _chain(auto: SuffixAutomaton, runs) -> list[tuple[int, int, int, float]]:
-    """Chain runs that follow one another in one template into spans."""
-    open_chains: dict[int, list[_Chain]] = {}
-    done: list[tuple[int, _Chain]] = []
+    """Chain runs that follow one another in one template into spans (template, first word, last word, cover).
+
+    A run counts at each of its places in the template, and for each of them the chain that covers most is kept.
+    """
+    open_pieces: dict[int, list[_Piece]] = {}
+    done: list[tuple[int, int, int, int]] = []
     for end, length, state in runs:
         start = end - length + 1
         for t, ends in auto.nodes[state].ends.items():
-            chains = open_chains.setdefault(t, [])
-            for c in [c for c in chains if start - c.end - 1 > MAX_GAP]:
-                chains.remove(c)
-                done.append((t, c))
-            best = None
-            for at in ends:
-                for c in chains:
-                    overlap = max(0, c.end - start + 1, c.at - (at - length + 1) + 1)
-                    if c.end < end and c.at < at and overlap < length and (at - length + 1) - c.at - 1 <= MAX_GAP:
-                        gain = (c.covered + length - overlap, c, at, length - overlap)
-                        if best is None or gain[0] > best[0]:
-                            best = gain
-            if best is not None:
-                _, c, at, more = best
-                c.end, c.at, c.covered = end, at, c.covered + more
-            else:
-                chains.append(_Chain(start, end, min(ends), length))
-    done.extend((t, c) for t, chains in open_chains.items() for c in chains)
-    return sorted((t, c.start, c.end, c.covered / len(auto.sequences[t])) for t, c in done)
+            earlier = open_pieces.get(t, [])
+            if earlier and start - earlier[-1].end - 1 > MAX_GAP:  # nothing can be chained to what came before
+                done += _spans(t, earlier)
+                earlier = []
+            open_pieces[t] = earlier + [_extended(_Piece(start, end, at, length, length, length), earlier)
+                                        for at in sorted(ends)]
+    for t, pieces in open_pieces.items():
+        done += _spans(t, pieces)
+    return sorted((t, a, b, covered / len(auto.sequences[t])) for t, a, b, covered in done)
+
+
+def _extended(piece: _Piece, earlier: list[_Piece]) -> _Piece:
+    """The piece after the chain of an earlier one that makes it cover most, the nearest of equal ones."""
+    for p in reversed(earlier):  # their ends never decrease
+        if piece.start - p.end - 1 > MAX_GAP:
+            break
+        overlap = max(0, p.end - piece.start + 1, p.at - (piece.at - piece.length + 1) + 1)
+        gap = piece.at - piece.length - p.at
+        if p.end < piece.end and p.at < piece.at and overlap < piece.length and gap <= MAX_GAP:
+            covered = p.covered + piece.length - overlap
+            if covered > piece.covered:
+                piece.covered, piece.more, piece.before = covered, piece.length - overlap, p
+    return piece
+
+
+def _spans(t: int, pieces: list[_Piece]) -> list[tuple[int, int, int, int]]:
+    """Disjoint chains (template, first word, last word, covered words), those that cover most first."""
+    used: set[int] = set()
+    taken: list[tuple[int, int]] = []
+    out = []
+    for last in sorted(pieces, key=lambda p: (-p.covered, p.end, p.at)):
+        if id(last) in used:
+            continue
+        piece, covered = last, 0
+        used.add(id(piece))
+        while piece.before is not None and id(piece.before) not in used:
+            covered, piece = covered + piece.more, piece.before
+            used.add(id(piece))
+        span = (piece.start, last.end)
+        i = bisect(taken, span)
+        if (i and taken[i - 1][1] >= span[0]) or (i < len(taken) and taken[i][0] <= span[1]):
+            continue  # words of a better chain
+        taken.insert(i, span)
+        out.append((t, *span, covered + piece.length))
+    return out
 
 
 SPANS = "array<struct<label: string, first_word: long, last_word: long, cover: double>>"
