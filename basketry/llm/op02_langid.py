@@ -53,6 +53,19 @@ def _letter_table() -> np.ndarray:
 _LETTERS: np.ndarray | None = None
 
 
+def _pairs_of_letters(raw: np.ndarray, units: np.ndarray) -> None:
+    """Put the two units of each letter beyond the BMP, lowered, into ``units``; other such characters stay blanks."""
+    at = np.flatnonzero((raw[:-1] & 0xFC00 == 0xD800) & (raw[1:] & 0xFC00 == 0xDC00))
+    if not len(at):
+        return
+    codes = 0x10000 + ((raw[at].astype(np.int64) & 0x3FF) << 10) + (raw[at + 1] & 0x3FF)
+    distinct, back = np.unique(codes, return_inverse=True)
+    letters = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 0 for c in distinct])[back]
+    at, letters = at[letters > 0xFFFF], letters[letters > 0xFFFF] - 0x10000
+    units[at] = 0xD800 + (letters >> 10)
+    units[at + 1] = 0xDC00 + (letters & 0x3FF)
+
+
 def letter_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(grams, how many of each text) of the words' letters and ends, A to Z and others lowered."""
     global _LETTERS
@@ -60,7 +73,9 @@ def letter_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         _LETTERS = _letter_table()
     raw = [(" " + t + " ").encode("utf-16-le", "surrogatepass") for t in texts]
     sizes = np.array([len(r) // 2 for r in raw])
-    units = _LETTERS[np.frombuffer(b"".join(raw), np.uint16)]
+    plain = np.frombuffer(b"".join(raw), np.uint16)
+    units = _LETTERS[plain]
+    _pairs_of_letters(plain, units)
     told = units != BLANK
     told[1:] |= (units[1:] == BLANK) & (units[:-1] != BLANK)  # a word's end is told once
     ends = np.cumsum(sizes)

@@ -2,8 +2,9 @@
 
 1. Channel and language model. A disguised word is a character lattice: digits
    and symbols may stand for letters, a run of one letter for one or two of it,
-   blanks or marks between single letters for nothing or a word's end, a star for
-   any letter.
+   blanks or marks between single letters or signs for nothing or a word's end, a
+   star for any letter. Words joined by marks such as a slash are decoded one by one,
+   unless the whole is an address, a path or a file name.
    An interpolated Kneser-Ney character model of order 4, counted over the words
    of all documents, rates the paths; Viterbi decoding over the model's contexts
    (the last three characters) finds the best one. Only suspicious words are
@@ -71,19 +72,31 @@ _MARKED = re.escape("".join(c for c in LEET if not c.isdigit()) + "*")
 _HINT = re.compile(rf"[\d{_MARKED}][^\W\d_]|[^\W\d_](?:[\d@$*€£+|]|[!(¡][\d{_MARKED}])")
 _TOKEN = re.compile(rf"(?<!\S)(?=\S*[\d{_MARKED}])(?=\S*[^\W\d_])\S{{3,}}(?!\S)")
 _EDGES = re.compile(r"^[^\w\s@$|+*€£¡!]+|[^\w\s@$*€£]+$|([^\w\s])\1+$|^([^\w\s])\2+")
-_PLACE = re.compile(r"[./:=\\&%#?]|@.*@")
+_MARKS = re.compile(r"[./:=\\&%#?]+")
+# Endings of addresses and file names, whose parts are no words.
+_ENDINGS = "com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|html?|php|js|py|txt|pdf|jpe?g|png|gif|csv|json|xml|zip"
+_LINK = re.compile(rf"""[("'<\[{{]*(?:(?:[a-z][a-z0-9+.\-]*:)?//|www\.|[a-z]:\\|\.{{0,2}}/|~/|[^\s@/]+@[^\s@/]+\.[a-z]{{2,}}\b"""
+                   rf"""|[\w\-]+(?:\.[\w\-]+)*\.(?:{_ENDINGS})(?![^\W_]))""")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_])+(?![^\W_])")
-
-
-def disguised(token: str) -> str:
-    """The token without punctuation at its ends if it looks like a disguised word, else the empty string."""
-    word = _EDGES.sub("", _EDGES.sub("", token))
-    letters = sum(map(str.isalpha, word))
-    if len(word) < 3 or letters in (0, len(word)) or _PLACE.search(word):
-        return ""
-    return word
+_GAPS = re.compile(r"[ \t.\-_]+")
+_ENDS = "!¡|+("   # signs that may as well be punctuation after or before a spaced word
+_UNIT = rf"(?:[^\W_]|[{_MARKED}])"
+_SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:{_GAPS.pattern}{_UNIT}){{2,}}(?![^\W_])")
+_STARRED = re.compile(r"(?<![^\W_])[^\W_](?:\*[^\W_]){2,}(?![^\W_])")
+
+
+def disguises(token: str) -> list[str]:
+    """The parts of a token that look like disguised words, without punctuation at their ends; none of an address or path."""
+    if _MARKS.search(token) and _LINK.match(token):
+        return []
+    found = []
+    for part in _MARKS.split(token):
+        word = _EDGES.sub("", _EDGES.sub("", part))
+        letters = sum(map(str.isalpha, word))
+        if len(word) > 2 and 0 < letters < len(word):
+            found.append(word)
+    return found
 
 
 def _lattice(word: str) -> list[list[tuple[str, float]]]:
@@ -144,10 +157,14 @@ class Restorer:
         key = (context, letter)
         got = self.cost.get(key)
         if got is None:
-            gram = 0
-            for back, c in enumerate(reversed((context + letter)[-ORDER:])):
-                gram |= (ord(c) & 0xFFFF) << 16 * back
-            got = float(self.model.logp(np.array([gram], np.uint64))[0])
+            units = np.frombuffer((context + letter).encode("utf-16-le", "surrogatepass"), np.uint16).tolist()
+            grams = []
+            for end in range(len(units) - len(letter.encode("utf-16-le", "surrogatepass")) // 2, len(units)):
+                gram = 0
+                for back, unit in enumerate(reversed(units[max(0, end + 1 - ORDER):end + 1])):
+                    gram |= unit << 16 * back
+                grams.append(gram)
+            got = float(self.model.logp(np.array(grams, np.uint64)).sum())
             if len(self.cost) > 1 << 18:
                 self.cost.clear()
             self.cost[key] = got
@@ -183,7 +200,7 @@ class Restorer:
             if len(paths) > BEAM:
                 paths = dict(sorted(paths.items(), key=lambda x: x[1][0][0], reverse=True)[:BEAM])
         found = sorted((x for best in paths.values() for x in best), key=_score, reverse=True)[:BEST]
-        if not spaced and 5 * sum(map(str.isalpha, word)) < 2 * len(word) and found[0][0] <= self._plain(word):
+        if 5 * sum(map(str.isalpha, word)) < 2 * len(word) and found[0][0] <= self._plain(word):
             found = []  # mostly digits and symbols, and likelier just that
         forms = [_spelled(chain).strip() for _, chain in found]
         if len(word) <= SEEN:
@@ -196,7 +213,7 @@ class Restorer:
         """Restored forms of the suspicious words of a lower-cased text."""
         found: list[str] = []
         if _HINT.search(text):
-            found += [w for w in map(disguised, _TOKEN.findall(text)) if w]
+            found += [w for token in _TOKEN.findall(text) for w in disguises(token)]
         end = 0
         for m in _RUN.finditer(text):
             if m.start() < end:
@@ -208,9 +225,10 @@ class Restorer:
                 end += 1
             found.append(text[start:end])
         forms = [form for w in found for form in self.decode(w)]
-        for m in _SPACED.finditer(text):
-            letters = m.group()[::2]
-            if not letters.isdigit():
+        spaced = [_GAPS.sub("", m.group()) for m in _SPACED.finditer(text)]
+        spaced += [m.group().replace("*", "") for m in _STARRED.finditer(text)] if "*" in text else []
+        for letters in dict.fromkeys(x for run in spaced for x in (run, run.strip(_ENDS))):
+            if any(map(str.isalpha, letters)):
                 forms += dict.fromkeys(w for form in self.decode(letters, True) for w in form.split())
         return forms
 

@@ -129,3 +129,59 @@ def test_implied_marks_are_left_out():
     marks = [("abc", 0.9), ("abcd", 0.9), ("abcd ", 0.95), ("abc ", 0.9), ("abce ", 0.9), ("xyz ", 0.9), ("xyzw ", 0.9)]
     assert sorted(toxic.telling_marks(marks)) == [("abc", 0.9), ("abc ", 0.9), ("abcd ", 0.95), ("xyz ", 0.9),
                                                   ("xyzw ", 0.9)]
+
+
+def test_joined_and_mixed_disguises_are_decoded(restorer):
+    for text, plain in {"$tup1d/l0ser": "loser", "l0ser.m0ron": "moron", "st*p1d&idi0t": "stupid", "i d ! o t": "idiot",
+                        "s  t  u  p  i  d": "stupid", "$ t u p i d": "stupid", "i.d-i o t": "idiot",
+                        "m o r o n !": "moron", "m*o*r*o*n": "moron", "you=1d10t": "idiot"}.items():
+        assert plain in restorer.restored(f"you {text} there"), text
+    for text in ("see https://l0ser.net/1d10t", "mail m0r0n@l0ser.com", "open /home/l0ser/1d10t", "c:\\l0ser\\x1",
+                 "www.m0ron.org", "file l0ser.txt,", "5 - 6 - 7 ! !", "- - - . . ."):
+        assert not set(BAD) & set(restorer.restored(text)), text
+
+
+def test_decoder_equals_all_paths_of_a_short_lattice(restorer):
+    """List Viterbi against every path, scored one by one."""
+    from itertools import product
+    for word in ("1d10t", "$tup!d", "l0s3r", "m*r*n", "mooooron", "6a8y", "st*p1d"):
+        scored = []
+        for steps in product(*toxic._lattice(toxic._LONG_RUN.sub(r"\1\1\1", word)), [(" ", 0.0)]):
+            now, total, told = " ", 0.0, ""
+            for letters, p in steps:
+                total += p
+                for c in letters:
+                    total += restorer._logp(now, c)
+                    now = (now + c)[1 - toxic.ORDER:] if c != " " else c
+                told += letters
+            scored.append((total, told.strip()))
+        scored.sort(key=lambda x: -x[0])
+        got = restorer.decode(word)
+        cut = scored[toxic.BEST - 1][0] if len(scored) >= toxic.BEST else -1e9
+        assert len(got) == min(toxic.BEST, len(scored)), word
+        assert set(got) <= {t for p, t in scored if p >= cut - 1e-9}, word
+        assert {t for p, t in scored if p > cut + 1e-9} <= set(got), word
+
+
+def test_marks_are_counted_as_a_plain_count_does(restorer):
+    from collections import Counter
+    from types import SimpleNamespace
+    texts = ["river river house", "House of light", "idiot house", "a to lights idiotic", None, ""]
+    marks = [0, 0, 1, 1, 1, 0]
+    told = list(toxic._fit_batches([{"toxic": marks[:3], "text": texts[:3]}, {"toxic": marks[3:], "text": texts[3:]}],
+                                   SimpleNamespace(value=restorer.model)))
+    got = {m: (t, c) for b in told for m, t, c in zip(b["mark"], b["toxic"], b["clean"], strict=True)}
+    want = Counter()
+    for bad, text in zip(marks, texts, strict=True):
+        for m in {x for w in (text or "").lower().split()
+                  for x in [w + " ", *(w[:n] for n in range(toxic.STEM[0], min(toxic.STEM[1], len(w) - 1) + 1))]}:
+            want[m, bad] += 1
+    assert got == {m: (want[m, 1], want[m, 0]) for m, _ in want}
+
+
+def test_letters_beyond_the_bmp_are_scored(make_docs):
+    word = "\U0001E922\U0001E923\U0001E924\U0001E925"   # Adlam
+    counts = count_grams(make_docs([(i, f"{word} {word}") for i in range(9)]).select(F.lit("all").alias("lang"), "text"), "t")
+    restorer = toxic.Restorer(collect_models(counts, "lang", "u")["all"])
+    total = lambda w: sum(restorer._logp((" " + w)[max(0, i - 2):i + 1], c) for i, c in enumerate(w))
+    assert total(word) > total(word[::-1]) + 5
