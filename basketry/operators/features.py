@@ -12,11 +12,17 @@ occurrence number of a product in a user's history, not a count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.encode import binary_encode
-from basketry.functions.joins import broadcast_bounded_by, bounded_broadcast, null_safe_join
+from basketry.functions.joins import (
+    BROADCAST_MAX_ROWS,
+    bounded_broadcast,
+    bounded_count,
+    broadcast_bounded_by,
+    null_safe_join,
+)
 from basketry.functions.nulls import fill_zero, r_sum
 from basketry.operators.ranking import block_row_number
 from basketry.session import materialize
@@ -40,6 +46,9 @@ STD_COLS = ["std_dow", "std_doh", "std_since_order"]
 ENCODED_COLS = ["aisle", "department"]
 OCCURRENCE = "user_buy_product_times"
 
+# lines of a user up to which the occurrence number is one plain window; a user above is numbered in blocks
+USER_LINES = 1 << 14
+
 # cart positions in a block of the skew-safe occurrence number (blocks never span orders)
 OCCURRENCE_BLOCK_LINES = 4096
 
@@ -80,20 +89,36 @@ def with_user_unique_products(base: DataFrame) -> DataFrame:
 def with_occurrence_number(base: DataFrame) -> DataFrame:
     """``user_buy_product_times`` = 1, 2, ... over a user's lines of one product.
 
-    Ordered by (order_number, add_to_cart_order, order_id); computed in blocks of
-    (order number, range of cart positions), so neither a huge (user, product)
-    history nor one huge order is a task.
+    Ordered by (order_number, add_to_cart_order, order_id). ``base`` is scanned
+    twice, so it should be a written table. A count per user (one pre-aggregated
+    column) finds users with more than ``USER_LINES`` lines; their lines are
+    numbered in blocks of (order number, range of cart positions), so neither a huge
+    (user, product) history nor one huge order is a task. All other lines meet in
+    one window by (user, product): one shuffle and no join.
     """
-    return block_row_number(base, ["user_id", "product_id"], ["order_number", "add_to_cart_order", "order_id"],
-                            [F.col("order_number"), F.col("add_to_cart_order")], [1, OCCURRENCE_BLOCK_LINES],
-                            OCCURRENCE).select(*base.columns, OCCURRENCE)
+    keys, order = ["user_id", "product_id"], ["order_number", "add_to_cart_order", "order_id"]
+
+    def by_window(lines: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return lines.select(*base.columns, place.cast("long").alias(OCCURRENCE))
+
+    counted = base.groupBy("user_id").agg(F.count(F.lit(1)).alias("__lines"))
+    large = counted.where(F.col("__lines") > USER_LINES).select("user_id", F.lit(True).alias("__large"))
+    n_large = bounded_count(large, BROADCAST_MAX_ROWS + 1)
+    if not n_large:
+        return by_window(base)
+    marked = null_safe_join(base, F.broadcast(large) if n_large <= BROADCAST_MAX_ROWS else large, ["user_id"])
+    blocks = block_row_number(marked.where("__large").drop("__large"), keys, order,
+                              [F.col("order_number"), F.col("add_to_cart_order")], [1, OCCURRENCE_BLOCK_LINES], OCCURRENCE)
+    return by_window(marked.where("__large is null")).unionByName(blocks.select(*base.columns, OCCURRENCE))
 
 
 def occurrence_line_base(tables: Tables, scope: str = "train") -> DataFrame:
     """Line base with the occurrence number but without the per-user distinct
     product count: what the aggregates need (the count is added later from the
-    user measures, where it is ``total_unique_product_by_user``)."""
-    return with_occurrence_number(order_line_base(tables, scope))
+    user measures, where it is ``total_unique_product_by_user``). The joined lines
+    are written first, so the joins run once."""
+    return with_occurrence_number(materialize(order_line_base(tables, scope), "joined_lines"))
 
 
 def enriched_line_base(tables: Tables, scope: str = "train") -> DataFrame:

@@ -8,7 +8,7 @@ windows. Names are prefixed ``fx_`` so they never shadow the source views.
 
 from __future__ import annotations
 
-from basketry.plans.registry import STUMP_FEATURES, WHOLE_HISTORY
+from basketry.plans.registry import SKETCHED, STUMP_FEATURES, WHOLE_HISTORY
 
 FIXTURE_CTES = r"""
 fx_departments AS (
@@ -483,6 +483,9 @@ FROM fx_ft GROUP BY reordered""")
         ["aisle_id", *[f"aisle_{m}" for m in GROUP_MEASURES]], PATTR_DOUBLES) + " FROM fx_af")
     q["department_features"] = ft(T, feat_ctes, "SELECT " + select_cols(
         ["department_id", *[f"department_{m}" for m in GROUP_MEASURES]], PATTR_DOUBLES) + " FROM fx_df")
+    q["sketched_distinct"] = ft(T, base_ctes, " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, CAST({by} AS BIGINT) AS id, count(DISTINCT {value}) AS n, TRUE AS close "
+        f"FROM fx_base GROUP BY {by}" for kind, by, value in SKETCHED))
     q["user_buy_product_times"] = ft(T, base_ctes, "SELECT order_id, user_id, product_id, order_number, "
                                                    "add_to_cart_order, user_buy_product_times FROM fx_base")
     q["confusion_counts"] = ft(T, feat_ctes, """

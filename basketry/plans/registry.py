@@ -50,8 +50,10 @@ from basketry.operators import profile as pr
 from basketry.operators import recommend as rc
 from basketry.operators import rule_charts as ch
 from basketry.operators import rules as ru
+from basketry.operators import sketches as sk
 from basketry.operators import split as sp
 from basketry.functions.encode import binary_encode
+from basketry.functions.joins import null_safe_join
 from basketry.session import materialize, remove_path, scratch_path, written_paths
 from basketry.sources import found_types as ft
 from basketry.sources import sinks
@@ -468,6 +470,25 @@ def q_user_features(spark, d, scope=FEATURE_SCOPE):
     return fe.user_features(_ctx(spark, d).base(scope))
 
 
+# group column and counted column of the distinct counts that have a sketched twin
+SKETCHED = (("aisle", "aisle_id", "user_id"), ("department", "department_id", "user_id"),
+            ("product", "product_id", "user_id"), ("user", "user_id", "product_id"))
+
+
+def q_sketched_distinct(spark, d, scope=FEATURE_SCOPE):
+    """G2-G5 as an option: distinct counts merged from daily sketches, held against the exact ones."""
+    base = _ctx(spark, d).base(scope)
+    parts = []
+    for kind, by, value in SKETCHED:
+        found = sk.merged_counts(sk.sketch_states(base, by, value, "order_dow"), by, "estimate")
+        exact = base.groupBy(by).agg(F.count_distinct(value).alias("n"))
+        off = 100 * F.abs(F.col("estimate") - F.col("n"))
+        parts.append(null_safe_join(exact, found, [by]).select(
+            F.lit(kind).alias("kind"), F.col(by).cast("long").alias("id"), "n",
+            (off <= sk.TOLERANCE_PERCENT * F.col("n")).alias("close")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def q_user_buy_product_times(spark, d, scope=FEATURE_SCOPE):
     return _ctx(spark, d).base(scope).select("order_id", "user_id", "product_id", "order_number", "add_to_cart_order",
                                         "user_buy_product_times")
@@ -681,6 +702,7 @@ WHOLE_HISTORY = (
     "profile_nulls",
     "profile_on_write",
     "profile_schema",
+    "sketched_distinct",
     "split_balance",
     "split_exact_classes",
     "split_exact_numeric",

@@ -69,3 +69,17 @@ def test_encoder_numbers_levels_across_partitions(spark):
     codes, n = level_codes(df, "c")
     got = {r["__level"]: r["__code"] for r in codes.collect()}
     assert n == 1001 and got == {v: i + 1 for i, v in enumerate(sorted(vals))}
+
+
+def test_occurrence_number_of_large_and_ordinary_users(spark, monkeypatch):
+    """Large users go in blocks, the others through one window, NULL users included; numbers as one window gives them."""
+    from pyspark.sql import Window
+
+    from basketry.operators import features as fe
+    monkeypatch.setattr(fe, "USER_LINES", 50)
+    lines = spark.range(0, 600).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1L WHEN id % 7 = 0 THEN NULL ELSE id % 40 END AS user_id", "id % 4 AS product_id",
+        "CAST(id % 5 AS INT) AS order_number", "CAST(id AS INT) AS add_to_cart_order", "id AS order_id")
+    w = Window.partitionBy("user_id", "product_id").orderBy("order_number", "add_to_cart_order", "order_id")
+    want = {tuple(r) for r in lines.withColumn("n", F.row_number().over(w)).collect()}
+    assert {tuple(r) for r in fe.with_occurrence_number(lines).collect()} == want

@@ -54,3 +54,21 @@ def test_top_products_never_shuffles_the_catalog(spark):
                                             "1 AS aisle_id", "1 AS department_id")
     p = plan(bk.top_products(lines, catalog, 10))
     assert "SortMergeJoin" not in p and "LeftSemi" in p and "TakeOrderedAndProject" in p
+
+
+def test_occurrence_number_is_one_window_for_ordinary_users(spark, sf_small):
+    from basketry.operators import features as fe
+    from basketry.plans.registry import _ctx
+    from basketry.session import materialize
+    lines = materialize(fe.order_line_base(_ctx(spark, sf_small).tables, "all"), "joined_lines")
+    p = plan(fe.with_occurrence_number(lines))
+    assert "Join" not in p and p.count("Exchange hashpartitioning") == 1
+
+
+def test_sketched_counts_shuffle_sketches_only(spark, sf_small):
+    from basketry.operators import sketches as sk
+    from basketry.plans.registry import _ctx
+    base = _ctx(spark, sf_small).base("all")
+    p = plan(sk.merged_counts(sk.sketch_states(base, "aisle_id", "user_id", "order_dow"), "aisle_id", "n"))
+    assert "partial_hll" in p and "hashpartitioning(aisle_id" in p
+    assert "user_id" not in "".join(line for line in p.splitlines() if "Exchange" in line)
