@@ -85,11 +85,21 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
+_kept: list[dict] = []
+
+
+def kept_in_worker(store: dict) -> dict:
+    """A table that a module keeps in a Python worker from task to task, until :func:`give_back_memory`."""
+    _kept.append(store)
+    return store
+
+
 def give_back_memory(spark: SparkSession) -> None:
     """Let the idle Python workers hand memory that they no longer use back to the system.
 
     Workers are reused from one step to the next, and what their allocators keep
     for themselves counts against the executor while the next step allocates anew.
+    Tables of :func:`kept_in_worker` are emptied too; who needs them fills them again.
     One short task for each place where a task can run; none depends on it.
     """
     ship_package(spark)
@@ -97,6 +107,9 @@ def give_back_memory(spark: SparkSession) -> None:
     def tidy(batches):
         for _ in batches:
             pass
+        from basketry.llm import common  # the worker's own module, not a copy sent along
+        for store in common._kept:
+            store.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):   # other C libraries have no such call
@@ -118,8 +131,9 @@ def few_enough(written: DataFrame, rows: int = BROADCAST_IDS) -> DataFrame:
 
 def content_digest(*columns: str) -> Column:
     """128 bits of some text columns, which tell rows of one doc_id apart by what they hold (NULL is no empty text)."""
-    told = [F.coalesce(F.concat(F.lit("+"), F.col(c)), F.lit("-")) for c in columns]
-    return F.unhex(F.md5(F.concat_ws("\x00", *told)))
+    told = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *told)), 16, "0") for seed in (1, 2)]  # hashed in place, without copies
+    return F.unhex(F.concat(*halves))
 
 
 def without(docs: DataFrame, gone: DataFrame, digest: Column) -> DataFrame:

@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import map_batches, table
+from basketry.llm.common import kept_in_worker, map_batches, table
 
 PIECES_KEPT = 150_000   # encoded pieces in each of the two generations that a worker remembers
 PIECE_BYTES = 64        # longer pieces are not remembered
@@ -282,7 +282,7 @@ class Decoder:
         return self.feed(ids) + self.finish()
 
 
-_codecs: dict[int, tuple[Encoder, Decoder]] = {}
+_codecs: dict[int, tuple[Encoder, Decoder]] = kept_in_worker({})
 
 
 def _codec(shared) -> tuple[Encoder, Decoder]:

@@ -96,3 +96,22 @@ def test_run_on_odd_rows(spark, tmp_path):
 def test_run_on_empty_tables(spark, tmp_path):
     out = corpus_pipeline.run(spark, write_tables(spark, tmp_path, [], []))
     assert out.count() == 0 and {"doc_id", "token_ids", "n_tokens"} <= set(out.columns)
+
+
+def test_workers_give_back_what_they_keep(spark, make_docs):
+    """Tables kept from task to task are gone after a stage, and what needs them works again."""
+    import pyarrow as pa
+
+    from basketry.llm.common import give_back_memory
+
+    def held(batches):
+        from basketry.llm import op01_bpe as worker
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([len(worker._codecs)], pa.int64())], ["n"])
+
+    docs = make_docs([(1, "some words"), (2, None)])
+    assert len(op01_bpe.round_trip(docs).collect()) == 2
+    give_back_memory(spark)
+    assert spark.range(0, 8, 1, 8).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
+    assert len(op01_bpe.round_trip(docs).collect()) == 2
