@@ -25,7 +25,10 @@ from basketry.session import scratch_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    return op09_quality.drop_rejected(docs, table(spark, sf_dir, "labels"))
+    give_back_memory(spark)
+    kept = op09_quality.drop_rejected(docs, table(spark, sf_dir, "labels"))
+    give_back_memory(spark)   # the scoring is over before the kept rows are written
+    return kept
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest doc_id."""
     give_back_memory(spark)
-    return op03_near.drop_near_copies(docs)
+    kept = op03_near.drop_near_copies(docs)
+    give_back_memory(spark)
+    return kept
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
