@@ -8,12 +8,13 @@ Upstream fits boosted trees with the defaults of its library: squared error, ste
   other at its quantiles (``percentile_approx``, one aggregate for all features).
   Bin 0 holds missing values (NULL or NaN).
 - **One aggregate per level.** A task adds up the gradients and rows per (node,
-  feature, bin) of its blocks, and the sums of the tasks are merged in a tree of
-  further tasks, so the driver adds up ``MERGED`` of them at most. The result is at most nodes x features x bins rows whatever the size of
-  the data, so the best split of each node is chosen on it directly: for every cut
+  feature, bin) of its blocks, and ``MERGERS`` further tasks merge the sums, each those
+  of a run of features. Such a task holds at most nodes x features x bins sums whatever the size of
+  the data, so the best split of each node is chosen on them directly: for every cut
   and for missing values going left or right, the gain
   ``GL^2/(HL+l2) + GR^2/(HR+l2) - G^2/(H+l2)``. Ties go to the first feature, the
-  lowest cut, then missing values going left.
+  lowest cut, then missing values going left. The driver gets one split per node and
+  run of features, never sums.
 - **Exact sums.** Gradients are summed as integers (2^-20 steps), so neither the
   order of rows nor their partitioning changes a tree.
 - The running score of each row is kept with its bins in persisted blocks of arrays
@@ -27,7 +28,6 @@ no bit of a score.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,7 +47,9 @@ L2 = 1.0
 MIN_CHILD = 1.0         # rows of a child at least (the hessian of a squared error is 1)
 MIN_GAIN = 1e-6
 STEPS = 1 << 20         # gradients are integers of 2**-20
-MERGED = 32             # partial sums that one task, or the driver, merges at once
+MERGERS = 4             # tasks that merge the sums of a level, each those of a run of features
+PACKED_ROWS = 1 << 14   # rows of a block up to which ...
+ROW = float(1 << 38)    # ... one sum holds rows (in multiples of this) and gradients
 
 MODEL_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType(), False),          # from 1; 0 is the first score
@@ -174,28 +176,64 @@ def _blocks(rows: DataFrame, n_features: int) -> RDD:
     return rows.mapInArrow(pack, "bins binary, y binary, score binary").rdd.map(arrays)
 
 
-def _histogram(blocks: RDD, codes: np.ndarray, level: int, n_features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient and row sums per (node of the level, feature, bin), merged in a tree of tasks."""
-    first, size = 1 << level, (1 << level) * n_features * BINS
-
-    def partial(own):
-        sums = np.zeros((2, size), np.int64)
-        for bins, y, scores in own:
-            node = node_of(bins, codes, level)
-            live = node >= first
-            if not live.any():
-                continue
-            cells = (((node[live, None] - first) * n_features + np.arange(n_features)) * BINS + bins[live]).ravel()
-            # float sums of one block of integers are exact: far below 2**53
-            g = np.repeat(np.rint((scores[live] - y[live]) * STEPS), n_features)
-            sums[0] += np.bincount(cells, g, size).astype(np.int64)
+def _sums(own, codes: np.ndarray, level: int, widths: np.ndarray) -> np.ndarray:
+    """Gradient and row sums of blocks per (node of the level, bin), the bins of all features side by side."""
+    first, starts, width = 1 << level, np.cumsum(widths) - widths, int(widths.sum())
+    size = (1 << level) * width
+    sums = np.zeros((2, size), np.int64)
+    for bins, y, scores in own:
+        node = node_of(bins, codes, level)
+        live = node >= first
+        if not live.any():
+            continue
+        cells = ((node[live, None] - first) * width + (starts + bins[live])).ravel()
+        # float sums of one block of integers are exact: far below 2**53
+        g = np.rint((scores[live] - y[live]) * STEPS)
+        if len(g) < PACKED_ROWS and np.abs(g).max() * len(g) < ROW / 2:
+            # a row adds ROW and its gradient to one sum, which tells both
+            both = np.bincount(cells, np.repeat(g + ROW, len(widths)), size)
+            n = np.rint(both / ROW)
+            sums[0] += (both - n * ROW).astype(np.int64)
+            sums[1] += n.astype(np.int64)
+        else:
+            sums[0] += np.bincount(cells, np.repeat(g, len(widths)), size).astype(np.int64)
             sums[1] += np.bincount(cells, minlength=size)
-        yield sums
+    return sums.reshape(2, 1 << level, width)
 
-    depth = max(2, math.ceil(math.log(max(2, blocks.getNumPartitions()), MERGED)))
-    g, h = blocks.mapPartitions(partial).treeReduce(np.add, depth)
-    shape = (1 << level, n_features, BINS)
-    return g.reshape(shape), h.reshape(shape)
+
+def _level_splits(blocks: RDD, codes: np.ndarray, level: int,
+                  n_cuts: np.ndarray) -> tuple[list[tuple | None], list[tuple[int, int]]]:
+    """Best split and (gradient, row) sums of each node of a level.
+
+    The sums of a task go to the merging tasks in runs of features; each of these merges its
+    features' sums and sends their best split per node, so what the driver gets does not grow with the rows.
+    """
+    widths = n_cuts + 2     # bin 0 is for missing values, and k cuts make k + 1 bins
+    runs = [r for r in np.array_split(np.arange(len(n_cuts)), MERGERS) if len(r)]
+
+    def partial(own):
+        sums, at = _sums(own, codes, level, widths), 0
+        for i, run in enumerate(runs):
+            wide = int(widths[run].sum())
+            yield i, sums[:, :, at:at + wide]
+            at += wide
+
+    def best(merged):
+        for i, sums in merged:
+            run = runs[i]
+            cells = np.zeros((2, 1 << level, len(run), BINS), np.int64)
+            at = 0
+            for f, w in enumerate(widths[run].tolist()):
+                cells[:, :, f, :w] = sums[:, :, at:at + w]
+                at += w
+            splits = [s and (s[0] + int(run[0]), *s[1:]) for s in best_splits(cells[0], cells[1], n_cuts[run])]
+            yield i, splits, [(int(g), int(h)) for g, h in cells[:, :, 0].sum(axis=2).T]
+
+    found = sorted(blocks.mapPartitions(partial).reduceByKey(np.add, len(runs), lambda i: i).mapPartitions(best).collect(),
+                   key=lambda r: r[0])
+    # ties go to the first feature, so to the first run
+    return [max((s[n] for _, s, _ in found if s[n]), key=lambda s: s[3], default=None)
+            for n in range(1 << level)], found[0][2]
 
 
 def _with_tree(blocks: RDD, codes: np.ndarray, weights: np.ndarray, depth: int) -> RDD:
@@ -244,10 +282,9 @@ def _grow(blocks: RDD, tree: int, cols: list[str], edges: list[list[float]],
         open_nodes = [1] if not level else [n for n in sums if n >= 1 << level]
         if not open_nodes:
             break
-        g, h = _histogram(blocks, codes, level, len(cols))
-        splits = best_splits(g, h, n_cuts)
+        splits, totals = _level_splits(blocks, codes, level, n_cuts)
         if not level:
-            sums[1] = (int(g[0, 0].sum()), int(h[0, 0].sum()))
+            sums[1] = totals[0]
         for n in open_nodes:
             split = splits[n - (1 << level)]
             if split is None:

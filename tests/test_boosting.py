@@ -117,3 +117,36 @@ def test_odd_tables(spark, label):
     assert bo.fit(same.limit(0), ModelParams(rounds=2)).trees == ()
     assert [r[0] for r in bo.score(bo.TreeModel(()), same.limit(1)).select("score").collect()] == [bo.FIRST_SCORE]
     assert bo.from_table(bo.model_table(spark, bo.TreeModel(()))) == bo.TreeModel(())
+
+
+def test_driver_gets_splits_not_sums(spark, monkeypatch):
+    """However many tasks add up gradients, what the driver collects for a level stays small."""
+    import pickle
+
+    x, y = rows(n=400)
+    df = table(spark, x, y).repartition(40)
+    sent, collect = [], bo.RDD.collect
+
+    def counted(self):
+        out = collect(self)
+        sent.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr(bo.RDD, "collect", counted)
+    model = bo.fit(df, ModelParams(rounds=2, depth=5), cols=COLS)
+    assert len(model.trees) == 2 and len(sent) == 10
+    assert max(sent) < 20_000
+
+
+def test_packed_sums_equal_plain_sums(monkeypatch):
+    rng = np.random.default_rng(3)
+    widths = np.array([5, 3, 64])
+    bins = np.stack([rng.integers(0, w, 5000) for w in widths], axis=1).astype(np.uint8)
+    block = (bins, rng.integers(0, 2, 5000).astype(float), rng.normal(size=5000))
+    codes = np.full(8, -1)
+    codes[1] = (2 * 128 + 30) * 2 + 1
+    packed = [bo._sums([block, block], codes, level, widths) for level in (0, 1)]
+    monkeypatch.setattr(bo, "PACKED_ROWS", 0)
+    for level, got in enumerate(packed):
+        assert (bo._sums([block, block], codes, level, widths) == got).all()
+    assert packed[1][1].sum() == 2 * 5000 * 3 and (packed[1][0].sum(axis=0) == packed[0][0, 0]).all()
