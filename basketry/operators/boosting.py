@@ -178,27 +178,29 @@ def _blocks(rows: DataFrame, n_features: int) -> RDD:
 
 def _sums(own, codes: np.ndarray, level: int, widths: np.ndarray) -> np.ndarray:
     """Gradient and row sums of blocks per (node of the level, bin), the bins of all features side by side."""
-    first, starts, width = 1 << level, np.cumsum(widths) - widths, int(widths.sum())
-    size = (1 << level) * width
-    sums = np.zeros((2, size), np.int64)
+    first, width = 1 << level, int(widths.sum())
+    sums = np.zeros((2, 1 << level, width), np.int64)
     for bins, y, scores in own:
         node = node_of(bins, codes, level)
         live = node >= first
         if not live.any():
             continue
-        cells = ((node[live, None] - first) * width + (starts + bins[live])).ravel()
-        # float sums of one block of integers are exact: far below 2**53
-        g = np.rint((scores[live] - y[live]) * STEPS)
-        if len(g) < PACKED_ROWS and np.abs(g).max() * len(g) < ROW / 2:
-            # a row adds ROW and its gradient to one sum, which tells both
-            both = np.bincount(cells, np.repeat(g + ROW, len(widths)), size)
-            n = np.rint(both / ROW)
-            sums[0] += (both - n * ROW).astype(np.int64)
-            sums[1] += n.astype(np.int64)
-        else:
-            sums[0] += np.bincount(cells, np.repeat(g, len(widths)), size).astype(np.int64)
-            sums[1] += np.bincount(cells, minlength=size)
-    return sums.reshape(2, 1 << level, width)
+        place, bins, g = node[live] - first, bins[live], np.rint((scores[live] - y[live]) * STEPS)
+        # a row adds ROW and its gradient to one sum, which tells both
+        packed = len(g) < PACKED_ROWS and np.abs(g).max() * len(g) < ROW / 2
+        at = 0
+        # feature by feature: few sums at a time stay in the processor's cache
+        for f, w in enumerate(widths.tolist()):
+            cells, size = place * w + bins[:, f], w << level
+            # float sums of one block of integers are exact: below 2**53
+            own_g = np.bincount(cells, g + ROW if packed else g, size)
+            n = np.rint(own_g / ROW) if packed else np.bincount(cells, minlength=size)
+            if packed:
+                own_g -= n * ROW
+            sums[0, :, at:at + w] += own_g.astype(np.int64).reshape(-1, w)
+            sums[1, :, at:at + w] += n.astype(np.int64).reshape(-1, w)
+            at += w
+    return sums
 
 
 def _level_splits(blocks: RDD, codes: np.ndarray, level: int,

@@ -16,15 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.encode import binary_encode
-from basketry.functions.joins import (
-    BROADCAST_MAX_ROWS,
-    bounded_broadcast,
-    bounded_count,
-    broadcast_bounded_by,
-    null_safe_join,
-)
+from basketry.functions.joins import bounded_broadcast, broadcast_bounded_by, null_safe_join
 from basketry.functions.nulls import fill_zero, r_sum
-from basketry.operators.ranking import block_row_number
+from basketry.operators.ranking import block_row_number, by_group_size, large_groups
 from basketry.session import materialize
 from basketry.sources.tables import Tables
 
@@ -65,11 +59,16 @@ def join_orders_lines(tables: Tables, scope: str = "train") -> DataFrame:
         .select(*ORDER_COLS, *LINE_COLS)
 
 
+def with_product_attributes(lines: DataFrame, tables: Tables) -> DataFrame:
+    """Name, aisle and department of each line's product; NULL for an unknown product."""
+    products = bounded_broadcast(tables.products.select("product_id", *PRODUCT_ATTR_COLS))
+    return lines.join(products, "product_id", "left")
+
+
 def order_line_base(tables: Tables, scope: str = "train") -> DataFrame:
     """J1 + J2: order lines with order attributes and product attributes."""
-    base = join_orders_lines(tables, scope)
-    products = bounded_broadcast(tables.products.select("product_id", *PRODUCT_ATTR_COLS))
-    return base.join(products, "product_id", "left").select(*ORDER_COLS, *LINE_COLS, *PRODUCT_ATTR_COLS)
+    base = with_product_attributes(join_orders_lines(tables, scope), tables)
+    return base.select(*ORDER_COLS, *LINE_COLS, *PRODUCT_ATTR_COLS)
 
 
 def user_unique_products(base: DataFrame) -> DataFrame:
@@ -102,23 +101,24 @@ def with_occurrence_number(base: DataFrame) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return lines.select(*base.columns, place.cast("long").alias(OCCURRENCE))
 
-    counted = base.groupBy("user_id").agg(F.count(F.lit(1)).alias("__lines"))
-    large = counted.where(F.col("__lines") > USER_LINES).select("user_id", F.lit(True).alias("__large"))
-    n_large = bounded_count(large, BROADCAST_MAX_ROWS + 1)
-    if not n_large:
-        return by_window(base)
-    marked = null_safe_join(base, F.broadcast(large) if n_large <= BROADCAST_MAX_ROWS else large, ["user_id"])
-    blocks = block_row_number(marked.where("__large").drop("__large"), keys, order,
-                              [F.col("order_number"), F.col("add_to_cart_order")], [1, OCCURRENCE_BLOCK_LINES], OCCURRENCE)
-    return by_window(marked.where("__large is null")).unionByName(blocks.select(*base.columns, OCCURRENCE))
+    def by_block(lines: DataFrame) -> DataFrame:
+        return block_row_number(lines, keys, order, [F.col("order_number"), F.col("add_to_cart_order")],
+                                [1, OCCURRENCE_BLOCK_LINES], OCCURRENCE)
+    return by_group_size(base, "user_id", large_groups(base, "user_id", USER_LINES), by_window, by_block)
 
 
 def occurrence_line_base(tables: Tables, scope: str = "train") -> DataFrame:
     """Line base with the occurrence number but without the per-user distinct
     product count: what the aggregates need (the count is added later from the
     user measures, where it is ``total_unique_product_by_user``). The joined lines
-    are written first, so the joins run once."""
-    return with_occurrence_number(materialize(order_line_base(tables, scope), "joined_lines"))
+    are written first, so the joins run once. Product attributes are joined after the
+    numbering, whose shuffle is without them; where a product id has several rows,
+    which multiply its lines, before it."""
+    repeated = tables.products.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        return with_occurrence_number(materialize(order_line_base(tables, scope), "joined_lines"))
+    lines = with_occurrence_number(materialize(join_orders_lines(tables, scope), "joined_lines"))
+    return with_product_attributes(lines, tables).select(*ORDER_COLS, *LINE_COLS, *PRODUCT_ATTR_COLS, OCCURRENCE)
 
 
 def enriched_line_base(tables: Tables, scope: str = "train") -> DataFrame:
@@ -290,13 +290,12 @@ def feature_table(tables: Tables, scope: str = "train", materialize_base: bool =
 
 def assemble(base: DataFrame, wide: DataFrame, users: DataFrame, how: str = "inner") -> DataFrame:
     """E3, last steps: product features and user features joined to the lines, upstream's columns in its order."""
-    out = base.join(wide, "product_id", how)
     # one join by user brings the user measures and the distinct product count
     # (the same number as total_unique_product_by_user), so the line table is
-    # shuffled by user once
+    # shuffled by user once, and before the product features make it wide
     if "unique_product_count" not in base.columns:
         users = users.withColumn("unique_product_count", F.col("total_unique_product_by_user"))
-    out = out.join(users, "user_id", "left")
+    out = base.join(users, "user_id", "left").join(wide, "product_id", how)
     line_cols = [c for c in base.columns if c not in ("product_id", "unique_product_count",
                                                       "user_buy_product_times")]
     out = out.select(*wide.columns, *line_cols, "unique_product_count", "user_buy_product_times", *USER_MEASURES)

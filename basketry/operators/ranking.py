@@ -11,12 +11,17 @@ fit into a task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.joins import BROADCAST_MAX_ROWS, bounded_count, null_safe_join
+
+# rows of a group up to which it is one plain window; a larger one is taken in blocks
+GROUP_ROWS = 1 << 14
+
 _OFF = "__off"
 _CNT = "__cnt"
 _FIRST = -(1 << 63)  # block of a NULL key: NULLs sort first
@@ -63,3 +68,26 @@ def block_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Seque
     inside = Window.partitionBy(*groups, *blocks).orderBy(*_cols(order_by))
     out = joined.withColumn(name, (F.row_number().over(inside) + F.col(_OFF)).cast("long"))
     return out.select(*df.columns, name)
+
+
+def large_groups(df: DataFrame, key: str, limit: int | None = None) -> DataFrame | None:
+    """Keys with more than ``limit`` (``GROUP_ROWS``) rows, broadcast if provably few; None without any.
+
+    One partial count of the key column; ``df`` is scanned here and again by
+    :func:`by_group_size`, so it should be a written table.
+    """
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    large = counted.where(F.col("__rows") > (GROUP_ROWS if limit is None else limit)).select(key)
+    n = bounded_count(large, BROADCAST_MAX_ROWS + 1)
+    return None if not n else F.broadcast(large) if n <= BROADCAST_MAX_ROWS else large
+
+
+def by_group_size(df: DataFrame, key: str, large: DataFrame | None, usual: Callable[[DataFrame], DataFrame],
+                  huge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``usual`` of the rows of all groups but the ``large`` ones, ``huge`` of the others; both must give the same columns."""
+    if large is None:
+        return usual(df)
+    marked = null_safe_join(df, large.withColumn("__large", F.lit(True)), [key])
+    rest, most = marked.where("__large is null").drop("__large"), marked.where("__large").drop("__large")
+    out = usual(rest)
+    return out.unionByName(huge(most).select(*out.columns))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.joins import bounded_broadcast, bounded_count
-from basketry.operators.ranking import block_row_number
+from basketry.operators.ranking import block_row_number, by_group_size, large_groups
 from basketry.session import materialize
 from basketry.sources.tables import Tables
 
@@ -69,23 +69,35 @@ def _part_products(part: DataFrame, departments: DataFrame, mapping: str) -> Dat
                     aisle_id.alias("aisle_id"), F.col("department_id").cast("int").alias("department_id"))
 
 
-def _orders(orders_src: DataFrame, write: bool = False) -> DataFrame:
-    o = orders_src.select(F.col("o_orderkey").cast("long").alias("order_id"),
-                          F.col("o_custkey").cast("long").alias("user_id"),
-                          F.to_date("o_orderdate").alias("odate"))
+def _with_neighbours(o: DataFrame) -> DataFrame:
+    """``order_number`` per user, the date of the user's order before and whether one follows, in one window."""
+    user = Window.partitionBy("user_id").orderBy("odate", "order_id")
+    known = F.col("user_id").isNotNull()  # orders without a user have a number but no neighbours
+    return o.select("*", F.row_number().over(user).cast("int").alias("order_number"),
+                    F.when(known, F.lag("odate").over(user)).alias("prev_date"),
+                    F.when(known, F.lead(F.lit(True)).over(user)).alias("has_next"))
+
+
+def _with_neighbours_by_block(o: DataFrame) -> DataFrame:
+    """The same for users whose orders do not fit a task."""
     day = F.datediff(F.col("odate"), F.lit("1970-01-01").cast("date"))
     o = block_row_number(o, ["user_id"], ["odate", "order_id"], day, ORDER_DATE_BLOCK_DAYS, "order_number")
-    o = o.withColumn("order_number", F.col("order_number").cast("int"))
-    if write:
-        # read three times below: written once instead of numbered three times
-        o = materialize(o, "fx_numbered_orders")
+    # read three times below: written once instead of numbered three times
+    o = materialize(o.withColumn("order_number", F.col("order_number").cast("int")), "fx_numbered_orders")
     # previous / next order through joins on the unique key (user_id, order_number):
     # no window has to hold a whole user
     prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"),
                     F.col("odate").alias("prev_date"))
     nxt = o.select("user_id", (F.col("order_number") - 1).alias("order_number"),
                    F.lit(True).alias("has_next"))
-    o = o.join(prev, ["user_id", "order_number"], "left").join(nxt, ["user_id", "order_number"], "left")
+    return o.join(prev, ["user_id", "order_number"], "left").join(nxt, ["user_id", "order_number"], "left")
+
+
+def _orders(orders_src: DataFrame) -> DataFrame:
+    o = orders_src.select(F.col("o_orderkey").cast("long").alias("order_id"),
+                          F.col("o_custkey").cast("long").alias("user_id"),
+                          F.to_date("o_orderdate").alias("odate"))
+    o = by_group_size(o, "user_id", large_groups(o, "user_id"), _with_neighbours, _with_neighbours_by_block)
     gap = F.least(F.lit(GAP_CAP_DAYS), F.datediff("odate", "prev_date"))
     return o.select(
         "order_id", "user_id",
@@ -97,22 +109,55 @@ def _orders(orders_src: DataFrame, write: bool = False) -> DataFrame:
         .alias("days_since_prior_order"))
 
 
-def _lines(lineitem: DataFrame, part_products: DataFrame, orders: DataFrame) -> DataFrame:
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax"]
+
+
+def _numbered_lines(lineitem: DataFrame, part_products: DataFrame) -> DataFrame:
+    """order_id, product_id, add_to_cart_order for every line of a known part.
+
+    Of a line only its product goes on, so lines that share number and part in an order are
+    the same and the columns that would order them stay behind, unless a part has two products.
+    """
+    pp = part_products.select("p_partkey", "product_id")
+    twofold = pp.groupBy("p_partkey").agg(F.min("product_id").alias("a"), F.max("product_id").alias("b"),
+                                          F.count_if(F.col("product_id").isNull()).alias("c"))
+    two = not twofold.where("a < b or (a is not null and c > 0)").isEmpty()
+    order = LINE_ORDER if two else LINE_ORDER[:2]
+    li = lineitem.select(F.col("l_orderkey").cast("long").alias("order_id"), *order)
+    large = large_groups(li, "order_id")
+    pp = bounded_broadcast(pp)
+    li = li.join(pp, li.l_partkey == pp.p_partkey, "inner").select("order_id", *order, "product_id")
+
+    def by_window(lines: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("order_id").orderBy(*order))
+        return lines.select("order_id", "product_id", place.cast("int").alias("add_to_cart_order"))
+
+    def by_block(lines: DataFrame) -> DataFrame:
+        out = block_row_number(lines, ["order_id"], order, [F.col("l_linenumber"), F.col("l_partkey")],
+                               [1, PART_KEY_BLOCK], "add_to_cart_order")
+        return out.withColumn("add_to_cart_order", F.col("add_to_cart_order").cast("int"))
+    return by_group_size(li, "order_id", large, by_window, by_block)
+
+
+def _lines(lineitem: DataFrame, part_products: DataFrame, orders: DataFrame, write: bool = False) -> DataFrame:
     """order_id, product_id, add_to_cart_order, reordered, eval_set for every line."""
-    li = lineitem.select(F.col("l_orderkey").cast("long").alias("order_id"), "l_partkey", "l_suppkey",
-                         "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax")
-    pp = bounded_broadcast(part_products.select("p_partkey", "product_id"))
-    li = li.join(pp, li.l_partkey == pp.p_partkey, "inner")
-    li = block_row_number(
-        li, ["order_id"],
-        ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
-         "l_discount", "l_tax"],
-        [F.col("l_linenumber"), F.col("l_partkey")], [1, PART_KEY_BLOCK], "add_to_cart_order")
-    li = li.select("order_id", "product_id", F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"))
-    lo = li.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
-    # reordered: the user bought this product in an earlier order (min is a partial aggregate)
-    first = lo.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_order_number"))
-    lo = lo.join(first, ["user_id", "product_id"], "inner")
+    lo = _numbered_lines(lineitem, part_products).join(
+        orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
+    # a line without a user or a product has no first order to be compared with
+    lo = lo.where("user_id is not null and product_id is not null")
+    if write:
+        # read twice below
+        lo = materialize(lo, "fx_user_lines")
+    # reordered: the user bought this product in an earlier order
+    keys = ["user_id", "product_id"]
+
+    def by_window(lines: DataFrame) -> DataFrame:
+        return lines.withColumn("first_order_number", F.min("order_number").over(Window.partitionBy(*keys)))
+
+    def by_join(lines: DataFrame) -> DataFrame:
+        # min is a partial aggregate
+        return lines.join(lines.groupBy(*keys).agg(F.min("order_number").alias("first_order_number")), keys, "inner")
+    lo = by_group_size(lo, "user_id", large_groups(lo, "user_id"), by_window, by_join)
     return lo.select("order_id", "product_id", "add_to_cart_order",
                      (F.col("order_number") > F.col("first_order_number")).cast("int").alias("reordered"),
                      "eval_set")
@@ -132,11 +177,11 @@ def tpch_tables(spark: SparkSession, sf_dir: str, mapping: str = "dense", persis
     aisles, departments = _dimensions(part)
     pp = _part_products(part, departments, mapping)
     products = pp.select("product_id", "product_name", "aisle_id", "department_id").distinct()
-    orders = _orders(_read(spark, sf_dir, "orders"), materialize_tables)
+    orders = _orders(_read(spark, sf_dir, "orders"))
     if materialize_tables:
         # written before the lines are derived, so the lines' join reads it instead of re-deriving it
         orders = materialize(orders, "fx_orders")
-    lines = _lines(_read(spark, sf_dir, "lineitem"), pp, orders)
+    lines = _lines(_read(spark, sf_dir, "lineitem"), pp, orders, materialize_tables)
     if materialize_tables:
         lines = materialize(lines, "fx_lines")
         products, aisles, departments = (materialize(products, "fx_products"), materialize(aisles, "fx_aisles"),

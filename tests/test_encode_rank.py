@@ -83,3 +83,44 @@ def test_occurrence_number_of_large_and_ordinary_users(spark, monkeypatch):
     w = Window.partitionBy("user_id", "product_id").orderBy("order_number", "add_to_cart_order", "order_id")
     want = {tuple(r) for r in lines.withColumn("n", F.row_number().over(w)).collect()}
     assert {tuple(r) for r in fe.with_occurrence_number(lines).collect()} == want
+
+
+def test_order_tables_by_window_and_by_block(spark, tmp_path, monkeypatch):
+    """Numbering and first orders are the same whether a user's or an order's rows are one window or taken in blocks."""
+    from basketry.operators import ranking
+    from basketry.sources.fixtures import tpch_tables
+
+    orders = [(o, o % 4 or None, f"2020-01-{1 + o % 9:02d}") for o in range(40)] + [(7, 3, "2020-01-08"), (50, 1, None)]
+    lines = [(o % 41, p, 1, n % 3 if n else None, 1.0, 2.0, 0.0, 0.0, "2020-02-01")
+             for o in range(60) for n, p in enumerate([o % 5, (o + 1) % 6, o % 5, None, 3])] + [(None, 1, 1, 1, 1.0, 2.0, 0.0, 0.0, None)]
+    parts = [(p, f"n{p}", f"Brand#1{p % 3}" if p != 2 else None, "ABC"[p % 3]) for p in range(5)] + [(1, "n1", "Brand#11", "B")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, d string").selectExpr(
+        "o_orderkey", "o_custkey", "cast(d as timestamp) as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, d string").selectExpr(
+        "* except (d)", "cast(d as timestamp) as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(
+        f"{tmp_path}/part.parquet")
+
+    def found():
+        t = tpch_tables(spark, str(tmp_path), materialize_tables=True)
+        return sorted(map(str, t.orders.collect())), sorted(map(str, t.lines("all").collect()))
+
+    by_window = found()
+    assert len(by_window[0]) == 42 and by_window[1]
+    monkeypatch.setattr(ranking, "GROUP_ROWS", 3)
+    assert found() == by_window
+
+
+def test_lines_are_not_ordered_by_what_does_not_tell_them_apart(spark):
+    """The lines' shuffles carry order, number, part and product only, unless a part has two products."""
+    from basketry.sources import fixtures
+
+    lines = spark.createDataFrame([(1, 1, 1, 1, 1.0, 2.0, 0.0, 0.0, None)], "l_orderkey long, l_partkey long, l_suppkey long, "
+                                  "l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                                  "l_shipdate timestamp")
+    one = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "p_partkey long, product_id long")
+    two = spark.createDataFrame([(1, 5), (1, 6)], "p_partkey long, product_id long")
+    plans = [fixtures._numbered_lines(lines, p)._jdf.queryExecution().optimizedPlan().toString() for p in (one, two)]
+    assert "Window" in plans[0] and ["l_extendedprice" in p.split("Window")[1].splitlines()[0] for p in plans] == [False, True]
+    assert fixtures._numbered_lines(lines, one).count() == 2

@@ -76,3 +76,15 @@ def test_leakage_free_measures_use_fitted_rows_only(spark):
     assert r[(3, 1)]["total_products_by_user"] == 4 and r[(3, 1)]["total_reorders_by_user"] == 1
     # product 13 only appears in the held-out order: no fitted product measures
     assert r[(3, 4)]["total_orders"] is None
+
+
+def test_lines_meet_user_measures_before_they_are_wide(spark):
+    """The feature table's shuffle of the lines by user comes before the product features are joined."""
+    base = spark.createDataFrame([(1, 1, 1, 0, 2)], "user_id long, product_id long, order_id long, reordered int, n int")
+    wide = spark.createDataFrame([(1, 2.0)], "product_id long, product_measure double")
+    measures = fe.USER_MEASURES
+    users = base.groupBy("user_id").agg(*[F.max("n").alias(m) for m in measures])
+    base = base.withColumn(fe.OCCURRENCE, F.lit(1))
+    tree = fe.assemble(base, F.broadcast(wide), users)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in tree if "Join" in line]
+    assert "product_id" in joins[0] and "user_id" in joins[1]
