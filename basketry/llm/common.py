@@ -85,6 +85,7 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
+TURNS = 6   # idle workers of a place that give_back_memory reaches
 _kept: list[dict] = []
 
 
@@ -100,7 +101,8 @@ def give_back_memory(spark: SparkSession) -> None:
     Workers are reused from one step to the next, and what their allocators keep
     for themselves counts against the executor while the next step allocates anew.
     Tables of :func:`kept_in_worker` are emptied too; who needs them fills them again.
-    One short task for each place where a task can run; none depends on it.
+    A place where a task runs keeps several workers (one for each Python step that its tasks
+    chained) and uses them in turn, so it gets ``TURNS`` short tasks; none depends on it.
     """
     ship_package(spark)
 
@@ -117,7 +119,7 @@ def give_back_memory(spark: SparkSession) -> None:
         time.sleep(0.1)   # long enough for every place to get a task
         yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], ["done"])
 
-    places = max(2, 2 * spark.sparkContext.defaultParallelism)
+    places = max(2, TURNS * spark.sparkContext.defaultParallelism)
     spark.range(0, places, 1, places).mapInArrow(tidy, "done long").agg(F.sum("done")).first()
 
 

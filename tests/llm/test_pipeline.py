@@ -115,3 +115,34 @@ def test_workers_give_back_what_they_keep(spark, make_docs):
     give_back_memory(spark)
     assert spark.range(0, 8, 1, 8).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
     assert len(op01_bpe.round_trip(docs).collect()) == 2
+
+
+def test_all_idle_workers_give_back(spark):
+    """Tasks that chain several Python steps leave several idle workers at each place; all of them are reached."""
+    import time
+
+    import pyarrow as pa
+
+    from basketry.llm.common import give_back_memory
+    from basketry.session import ship_package
+
+    def fill(batches):
+        from basketry.llm import op01_bpe as worker
+        worker._codecs[-1] = None
+        time.sleep(0.3)
+        yield from batches
+
+    def held(batches):
+        from basketry.llm import op01_bpe as worker
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([len(worker._codecs)], pa.int64())], ["n"])
+
+    ship_package(spark)
+    tasks = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, tasks, 1, tasks)
+    for _ in range(4):
+        rows = rows.mapInArrow(fill, "id long")
+    assert rows.count() == tasks
+    give_back_memory(spark)
+    assert spark.range(0, 8 * tasks, 1, 8 * tasks).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
