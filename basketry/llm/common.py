@@ -85,8 +85,10 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
-TURNS = 6   # idle workers of a place that give_back_memory reaches
+TURNS = 6    # tasks of a place in one round of give_back_memory
+ROUNDS = 8   # rounds at most
 _kept: list[dict] = []
+_tidied: list[str] = [""]   # the last call of give_back_memory that reached this worker
 
 
 def kept_in_worker(store: dict) -> dict:
@@ -95,6 +97,16 @@ def kept_in_worker(store: dict) -> dict:
     return store
 
 
+def empty_worker() -> None:
+    """Empty the tables of :func:`kept_in_worker` and hand memory that is no longer used back to the system."""
+    for store in _kept:
+        store.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):   # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def give_back_memory(spark: SparkSession) -> None:
     """Let the idle Python workers hand memory that they no longer use back to the system.
 
@@ -102,25 +114,27 @@ def give_back_memory(spark: SparkSession) -> None:
     for themselves counts against the executor while the next step allocates anew.
     Tables of :func:`kept_in_worker` are emptied too; who needs them fills them again.
     A place where a task runs keeps several workers (one for each Python step that its tasks
-    chained) and uses them in turn, so it gets ``TURNS`` short tasks; none depends on it.
+    chained) and uses them in turn, so it gets rounds of ``TURNS`` short tasks until a round
+    meets only workers that this call has reached before; nothing depends on it.
     """
     ship_package(spark)
+    call = uuid.uuid4().hex
 
     def tidy(batches):
         for _ in batches:
             pass
         from basketry.llm import common  # the worker's own module, not a copy sent along
-        for store in common._kept:
-            store.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):   # other C libraries have no such call
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        new = common._tidied[0] != call
+        if new:
+            common._tidied[0] = call
+            common.empty_worker()
         time.sleep(0.1)   # long enough for every place to get a task
-        yield pa.RecordBatch.from_arrays([pa.array([1], pa.int64())], ["done"])
+        yield pa.RecordBatch.from_arrays([pa.array([int(new)], pa.int64())], ["reached"])
 
     places = max(2, TURNS * spark.sparkContext.defaultParallelism)
-    spark.range(0, places, 1, places).mapInArrow(tidy, "done long").agg(F.sum("done")).first()
+    for _ in range(ROUNDS):
+        if not spark.range(0, places, 1, places).mapInArrow(tidy, "reached long").agg(F.sum("reached")).first()[0]:
+            break
 
 
 BROADCAST_IDS = 1 << 21  # ids (16 MB) up to which a written list of them is sent to the scans

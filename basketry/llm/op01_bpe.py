@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import kept_in_worker, map_batches, table
+from basketry.llm.common import empty_worker, kept_in_worker, map_batches, table
 
 PIECES_KEPT = 150_000   # encoded pieces in each of the two generations that a worker remembers
 PIECE_BYTES = 64        # longer pieces are not remembered
@@ -361,8 +361,12 @@ def _share(spark: SparkSession, path: str | None, pattern: str | None):
     return spark.sparkContext.broadcast((read_ranks(path), pattern))
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``doc_id, lang, source, token_ids`` (those that ``docs`` has) of every whole text."""
+def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, keep: bool = True) -> DataFrame:
+    """``doc_id, lang, source, token_ids`` (those that ``docs`` has) of every whole text.
+
+    Without ``keep``, a task empties the worker's tables when it ends: a place uses its idle workers in
+    turn, and steps before may have left several, each of which would come to hold tables of its own.
+    """
     shared = _share(docs.sparkSession, path, pattern)
     kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "token_ids array<int>"])
@@ -371,6 +375,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
         encoder, _ = _codec(shared)
         for b in batches:
             yield {**{c: b[c] for c in kept}, "token_ids": [encoder.encode(t) for t in b["text"]]}
+        if not keep:
+            del encoder
+            empty_worker()
 
     return map_batches(docs, [*kept, "text"], schema, work)
 
@@ -417,4 +424,4 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_rows(docs: DataFrame) -> DataFrame:
     """The pipeline's last stage: documents as token ids, with their count."""
-    return encode_documents(docs).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    return encode_documents(docs, keep=False).withColumn("n_tokens", F.size("token_ids").cast("long"))

@@ -146,3 +146,38 @@ def test_all_idle_workers_give_back(spark):
     assert rows.count() == tasks
     give_back_memory(spark)
     assert spark.range(0, 8 * tasks, 1, 8 * tasks).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
+
+
+def test_more_idle_workers_than_a_round_of_tasks_give_back(spark, monkeypatch):
+    """Workers beyond one round are reached too, and tokenising leaves no tables in any worker."""
+    import time
+
+    import pyarrow as pa
+
+    from basketry.llm import common
+
+    def fill(batches):
+        from basketry.llm import op01_bpe as worker
+        worker._codecs[-1] = None
+        time.sleep(0.3)
+        yield from batches
+
+    def held(batches):
+        from basketry.llm import op01_bpe as worker
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([len(worker._codecs)], pa.int64())], ["n"])
+
+    common.ship_package(spark)
+    tasks = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, tasks, 1, tasks)
+    for _ in range(4):
+        rows = rows.mapInArrow(fill, "id long")
+    assert rows.count() == tasks
+    monkeypatch.setattr(common, "TURNS", 1)
+    common.give_back_memory(spark)
+    left = spark.range(0, 12 * tasks, 1, 12 * tasks).mapInArrow(held, "n long")
+    assert left.agg(F.sum("n")).first()[0] == 0
+    docs = spark.range(0, 2 * tasks, 1, tasks).selectExpr("id doc_id", "concat('some words of ', id) text")
+    assert op01_bpe.token_rows(docs).count() == 2 * tasks
+    assert left.agg(F.sum("n")).first()[0] == 0
