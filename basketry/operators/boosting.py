@@ -5,7 +5,7 @@ Upstream fits boosted trees with the defaults of its library: squared error, ste
 0.5, 50 and then 70 rounds. The fit here follows that definition on binned columns:
 
 - **Bin edges.** A feature with few distinct values is cut between all of them; any
-  other at its quantiles (``percentile_approx``, one aggregate for all features).
+  other at its exact quantiles, found on the counts of its distinct values.
   Bin 0 holds missing values (NULL or NaN).
 - **One aggregate per level.** A task adds up the gradients and rows per (node,
   feature, bin) of its blocks, and ``MERGERS`` further tasks merge the sums, each those
@@ -21,19 +21,22 @@ Upstream fits boosted trees with the defaults of its library: squared error, ste
   that are checkpointed to the shared folder every ``checkpoint_interval`` rounds,
   which bounds what a lost executor costs.
 
-A fitted model is rows: one per tree node. Scoring compiles them to one column
-expression over the original columns; saving and loading them as a table changes
+A fitted model is rows: one per tree node. Scoring walks them by one column
+function over the original columns; saving and loading them as a table changes
 no bit of a score.
 """
 
 from __future__ import annotations
 
+import bisect
+import math
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +52,10 @@ MIN_GAIN = 1e-6
 STEPS = 1 << 20         # gradients are integers of 2**-20
 MERGERS = 4             # tasks that merge the sums of a level, each those of a run of features
 PACKED_ROWS = 1 << 14   # rows of a block up to which ...
-ROW = float(1 << 38)    # ... one sum holds rows (in multiples of this) and gradients
+ROW_BITS = 38
+ROW = float(1 << ROW_BITS)  # ... one sum holds rows (in multiples of this) and gradients
+PART_BLOCKS = 200       # blocks of a partition of the persisted blocks at most
+HELD_VALUES = 1 << 20   # distinct values that a task holds before it passes them on
 
 MODEL_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType(), False),          # from 1; 0 is the first score
@@ -98,109 +104,221 @@ def _value(name: str, dtype: T.DataType) -> str:
     return f"cast({quoted} as double)"
 
 
+def _counted(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs."""
+    v, n = np.concatenate(values), np.concatenate(counts)
+    order = np.argsort(v, kind="stable")
+    v, n = v[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+    return v[first], np.add.reduceat(n, first)
+
+
+def _value_counts(batches):
+    """``f, v, n``: the values of each feature, counted within a task as far as they can be held."""
+    held: dict[int, tuple[list, list]] = {}
+
+    def passed_on():
+        for f, (values, counts) in held.items():
+            v, n = _counted(values, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), f, np.int32)), pa.array(v), pa.array(n)], ["f", "v", "n"])
+        held.clear()
+
+    size = 0
+    for b in batches:
+        for f in range(b.num_columns):
+            v = b.column(f).drop_null().to_numpy()
+            if len(v):
+                v, n = np.unique(v + 0.0, return_counts=True)   # -0.0 is 0.0
+                values, counts = held.setdefault(f, ([], []))
+                values.append(v)
+                counts.append(n.astype(np.int64))
+                size += len(v)
+        if size > HELD_VALUES:
+            for f, (values, counts) in held.items():
+                held[f] = tuple([x] for x in _counted(values, counts))
+            size = sum(len(values[0]) for values, _ in held.values())
+            if size > HELD_VALUES // 2:
+                yield from passed_on()
+                size = 0
+    yield from passed_on()
+
+
 def bin_edges(df: DataFrame, cols: list[str], bins: int = BINS) -> list[list[float]]:
-    """Cuts of each feature, ascending: between all distinct values if they are few, else at quantiles."""
+    """Cuts of each feature, ascending: between all distinct values if they are few, else at quantiles.
+
+    The distinct values are counted, sorted over all features into ranges and written.
+    The driver gets the size of each range, from which follows where a quantile (the value
+    at rank ceil(share * n), nothing interpolated) lies; a window finds it within its range.
+    """
     most = bins - 2  # bin 0 is for missing values, and k cuts make k + 1 bins
-    values = [F.expr(_value(c, df.schema[c].dataType)).alias(f"v{i}") for i, c in enumerate(cols)]
-    wide = df.select(*values)
-    shares = [(i + 1) / (most + 1) for i in range(most)]
-    found = wide.agg(*[F.approx_count_distinct(f"v{i}").alias(f"n{i}") for i in range(len(cols))],
-                     *[F.percentile_approx(f"v{i}", shares, 10000).alias(f"q{i}") for i in range(len(cols))],
-                     *[F.max(f"v{i}").alias(f"m{i}") for i in range(len(cols))]).first()
-    few = [i for i in range(len(cols)) if found[f"n{i}"] <= 2 * most]
-    distinct: dict[int, list[float]] = {i: [] for i in few}
-    if few:
-        # each task sends a feature's distinct values once; the estimate above bounds them
-        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("v")) for i in few])).alias("c")
-        for f, v in wide.select(cells).select("c.f", "c.v").where("v is not null").distinct().collect():
-            distinct[f].append(v)
-    edges = []
-    for i in range(len(cols)):
-        own = sorted(distinct.get(i, []))
-        if i in distinct and len(own) <= most + 1:
-            edges.append(own[:-1])
-        else:
-            edges.append([q for q in sorted(set(found[f"q{i}"] or [])) if q < found[f"m{i}"]])
-    return edges
+    values = df.select(*[F.expr(_value(c, df.schema[c].dataType)).alias(f"v{i}") for i, c in enumerate(cols)])
+    with written_paths() as paths:
+        counted = values.mapInArrow(_value_counts, "f int, v double, n long").groupBy("f", "v").agg(F.sum("n").alias("n"))
+        cells = materialize(counted.repartitionByRange("f", "v").withColumn("part", F.spark_partition_id()), "value_counts")
+        ranges = defaultdict(list)
+        for r in cells.groupBy("f", "part").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("k"),
+                                                F.sum("n").alias("n")).collect():
+            ranges[r.f].append(r)
+        few = [f for f, own in ranges.items() if sum(r.k for r in own) <= most + 1]
+        targets = []
+        for f in ranges.keys() - few:
+            own = sorted(ranges[f], key=lambda r: r.low)
+            ends = np.cumsum([r.n for r in own]).tolist()
+            for rank in sorted({math.ceil((i + 1) / (most + 1) * ends[-1]) for i in range(most)}):
+                at = bisect.bisect_left(ends, rank)
+                targets.append((f, own[at].part, rank - (ends[at - 1] if at else 0)))
+        found: dict[int, list[float]] = {i: [] for i in range(len(cols))}
+        if few:
+            for f, v in cells.where(F.col("f").isin(few)).select("f", "v").collect():
+                found[f].append(v)
+        if targets:
+            upto = F.sum("n").over(Window.partitionBy("f", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+            wanted = F.broadcast(df.sparkSession.createDataFrame(targets, "f int, part int, rank long"))
+            at = cells.withColumn("upto", upto).join(wanted, ["f", "part"]).where("rank <= upto and rank > upto - n")
+            for f, v in at.select("f", "v").collect():
+                found[f].append(v)
+    for path in paths:
+        remove_path(df.sparkSession, path)
+    # a cut at the largest value would part nothing
+    largest = {f: max(r.high for r in own) for f, own in ranges.items()}
+    return [sorted({v for v in found[f] if v < largest[f]}) for f in range(len(cols))]
 
 
 def binned(df: DataFrame, cols: list[str], edges: list[list[float]], label: str) -> DataFrame:
-    """``y``, ``bins`` (the bin number of each feature, one byte a feature) and the score so far."""
-    def number(i: int) -> str:
-        value = _value(cols[i], df.schema[cols[i]].dataType)
-        if not edges[i]:
-            return f"if({value} is null, '00', '01')"
-        cuts = ", ".join(f"{e!r}D" for e in edges[i])
-        # 1 + the number of cuts below the value: a cut itself belongs to the bin on its left
-        count = f"1 + aggregate(array({cuts}), 0, (n, e) -> n + if(e < {value}, 1, 0))"
-        return f"if({value} is null, '00', lpad(hex({count}), 2, '0'))"
-    return df.select(F.col(label).cast("double").alias("y"),
-                     F.expr(f"unhex(concat({', '.join(map(number, range(len(cols))))}))").alias("bins"), SCORE_COL)
+    """``df`` as rows of a block each: ``bins`` (a byte a row, feature after feature), ``y`` and, if ``df`` has it, the score so far."""
+    kept = [F.col(c).cast("double").alias(f"k{i}") for i, c in enumerate([label] + [SCORE_COL] * (SCORE_COL in df.columns))]
+    values = [F.expr(_value(c, df.schema[c].dataType)).alias(f"v{i}") for i, c in enumerate(cols)]
+    cuts, n = [np.array(e) for e in edges], len(kept)
 
+    def pack(batches):
+        for b in batches:
+            bins = np.empty((len(cuts), b.num_rows), np.uint8)
+            for f, own in enumerate(cuts):
+                v = b.column(n + f).to_numpy(zero_copy_only=False)
+                # 1 + the number of cuts below the value: a cut itself belongs to the bin on its left
+                bins[f] = np.where(np.isnan(v), 0, 1 + np.searchsorted(own, v))
+            parts = [bins.tobytes(), *[b.column(i).to_numpy().tobytes() for i in range(n)]]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names)
+    names = ["bins", "y", "score"][:n + 1]
+    return df.select(*kept, *values).mapInArrow(pack, ", ".join(f"{name} binary" for name in names))
 
-def node_of(bins: np.ndarray, codes: np.ndarray, levels: int) -> np.ndarray:
-    """Node of each row after ``levels`` steps from the root.
+
+def _steps(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each node the feature that it asks for, and by node and bin the node that comes next (itself if it is not split).
 
     A node's code is ((feature * 128) + bin of the cut) * 2 + missing goes left, or -1 if it is not split.
     """
-    node = np.ones(len(bins), np.int64)
-    rows = np.arange(len(bins))
+    node, code, b = np.arange(len(codes))[:, None], codes[:, None], np.arange(BINS)
+    right = np.where(b == 0, 1 - (code & 1), b > ((code >> 1) & 127))
+    return np.maximum(codes, 0) >> 8, np.where(code < 0, node, 2 * node + right).reshape(-1)
+
+
+def node_of(bins: np.ndarray, codes: np.ndarray, levels: int) -> np.ndarray:
+    """Node of each row after ``levels`` steps from the root."""
+    feature, after = _steps(codes)
+    flat, node = np.ascontiguousarray(bins.T).reshape(-1), np.ones(len(bins), np.int64)
+    start, rows = feature * len(bins), np.arange(len(bins))
     for _ in range(levels):
-        code = codes[node]
-        b = bins[rows, np.maximum(code, 0) >> 8]
-        right = np.where(b == 0, 1 - (code & 1), b > ((code >> 1) & 127))
-        node = np.where(code < 0, node, 2 * node + right)
+        node = after.take(node * BINS + flat.take(start.take(node) + rows))
     return node
 
 
-Block = tuple[np.ndarray, np.ndarray, np.ndarray]   # bins (rows x features), labels, scores so far
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]   # bins (rows x features, features one after the other), labels, scores so far
 
 
-def _blocks(rows: DataFrame, n_features: int) -> RDD:
-    """The binned rows as blocks of arrays. The rounds of a fit are hundreds of small aggregates over the same
-    persisted blocks, which need no query plan each."""
-    def pack(batches):
-        for b in batches:
-            column = b.column(1)
-            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
-            bins = column.buffers()[2][int(ends[0]):int(ends[-1])].to_pybytes()
-            parts = [[bins], [b.column(0).to_numpy().tobytes()], [b.column(2).to_numpy().tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in parts], ["bins", "y", "score"])
+def _blocks(rows: DataFrame, used: list[int], start: TreeModel, codes: list[np.ndarray]) -> RDD:
+    """The binned rows as blocks of arrays of the ``used`` features, scored by ``start`` if they have no scores. The rounds
+    of a fit are hundreds of small aggregates over the same persisted blocks, which need no query plan each. Blocks are
+    dealt to few even partitions, because each level is a task a partition."""
+    weights = [_leaf_weights(t, c) for t, c in zip(start.trees, codes, strict=True)]
 
     def arrays(row) -> Block:
         y = np.frombuffer(row.y, np.float64)
-        return np.frombuffer(row.bins, np.uint8).reshape(len(y), n_features), y, np.frombuffer(row.score, np.float64)
+        bins = np.frombuffer(row.bins, np.uint8).reshape(-1, len(y))[used].T
+        if "score" in row:
+            return bins, y, np.frombuffer(row.score, np.float64)
+        scores = np.full(len(y), start.first)
+        for c, w in zip(codes, weights, strict=True):
+            scores = scores + w[node_of(bins, c, _depth(c))]
+        return bins, y, scores
     width = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < width:
-        rows = rows.repartition(width)
-    return rows.mapInArrow(pack, "bins binary, y binary, score binary").rdd.map(arrays)
+    parts = width * max(1, math.ceil(rows.count() / (width * PART_BLOCKS)))
+    dealt = rows.rdd.mapPartitionsWithIndex(lambda p, own: (((p + i) % parts, arrays(r)) for i, r in enumerate(own)))
+    return dealt.partitionBy(parts, _itself).values()
+
+
+def _itself(key: int) -> int:
+    return key
+
+
+def _depth(codes: np.ndarray) -> int:
+    return len(codes).bit_length() - 2
+
+
+def _leaf_weights(nodes: tuple[Node, ...], codes: np.ndarray) -> np.ndarray:
+    weights = np.zeros(len(codes))
+    for n in nodes:
+        weights[n.node] = n.leaf or 0.0
+    return weights
+
+
+def _codes_of(model: TreeModel, cols: list[str], edges: list[list[float]]) -> list[np.ndarray] | None:
+    """Walking codes of a model's trees; None if one of its cuts is no edge."""
+    place, out = {c: f for f, c in enumerate(cols)}, []
+    for tree in model.trees:
+        codes = np.full(1 << (max(n.node for n in tree).bit_length()), -1)
+        for n in tree:
+            if n.feature is None:
+                continue
+            f = place.get(n.feature, -1)
+            if f < 0 or n.cut not in edges[f]:
+                return None
+            codes[n.node] = (f * 128 + edges[f].index(n.cut) + 1) * 2 + int(n.missing_left)
+        out.append(codes)
+    return out
 
 
 def _sums(own, codes: np.ndarray, level: int, widths: np.ndarray) -> np.ndarray:
     """Gradient and row sums of blocks per (node of the level, bin), the bins of all features side by side."""
-    first, width = 1 << level, int(widths.sum())
-    sums = np.zeros((2, 1 << level, width), np.int64)
+    first, size = 1 << level, BINS << level
+    sums = np.zeros((2, len(widths), size), np.int64)
+    packs, used = np.zeros((len(widths), size), np.int64), 0.0   # sums of packed blocks, and what their gradients come to at most
+
+    def unpack():
+        n = (packs + (1 << ROW_BITS - 1)) >> ROW_BITS
+        sums[0] += packs - (n << ROW_BITS)
+        sums[1] += n
+        packs[:] = 0
+
     for bins, y, scores in own:
-        node = node_of(bins, codes, level)
-        live = node >= first
-        if not live.any():
+        cells, place, g = bins.T, node_of(bins, codes, level) - first, np.rint((scores - y) * STEPS)
+        live = np.flatnonzero(place >= 0)
+        if not len(live):
             continue
-        place, bins, g = node[live] - first, bins[live], np.rint((scores[live] - y[live]) * STEPS)
+        if len(live) < len(g):
+            cells, place, g = cells.take(live, axis=1), place.take(live), g.take(live)
+        place *= BINS
         # a row adds ROW and its gradient to one sum, which tells both
-        packed = len(g) < PACKED_ROWS and np.abs(g).max() * len(g) < ROW / 2
-        at = 0
+        largest = np.abs(g).max() * len(g)
+        packed = len(g) < PACKED_ROWS and largest < ROW / 2
+        if packed:
+            if used + largest >= ROW / 2:
+                unpack()
+                used = 0.0
+            used += largest
+            rows = g + ROW
         # feature by feature: few sums at a time stay in the processor's cache
-        for f, w in enumerate(widths.tolist()):
-            cells, size = place * w + bins[:, f], w << level
+        for f in range(len(widths)):
+            at = place + cells[f]
             # float sums of one block of integers are exact: below 2**53
-            own_g = np.bincount(cells, g + ROW if packed else g, size)
-            n = np.rint(own_g / ROW) if packed else np.bincount(cells, minlength=size)
             if packed:
-                own_g -= n * ROW
-            sums[0, :, at:at + w] += own_g.astype(np.int64).reshape(-1, w)
-            sums[1, :, at:at + w] += n.astype(np.int64).reshape(-1, w)
-            at += w
-    return sums
+                packs[f] += np.bincount(at, rows, size).astype(np.int64)
+            else:
+                sums[0, f] += np.bincount(at, g, size).astype(np.int64)
+                sums[1, f] += np.bincount(at, minlength=size)
+    unpack()
+    sums = sums.reshape(2, len(widths), 1 << level, BINS)
+    return np.concatenate([sums[:, f, :, :w] for f, w in enumerate(widths.tolist())], axis=2)
 
 
 def _level_splits(blocks: RDD, codes: np.ndarray, level: int,
@@ -231,7 +349,7 @@ def _level_splits(blocks: RDD, codes: np.ndarray, level: int,
             splits = [s and (s[0] + int(run[0]), *s[1:]) for s in best_splits(cells[0], cells[1], n_cuts[run])]
             yield i, splits, [(int(g), int(h)) for g, h in cells[:, :, 0].sum(axis=2).T]
 
-    found = sorted(blocks.mapPartitions(partial).reduceByKey(np.add, len(runs), lambda i: i).mapPartitions(best).collect(),
+    found = sorted(blocks.mapPartitions(partial).reduceByKey(np.add, len(runs), _itself).mapPartitions(best).collect(),
                    key=lambda r: r[0])
     # ties go to the first feature, so to the first run
     return [max((s[n] for _, s, _ in found if s[n]), key=lambda s: s[3], default=None)
@@ -299,33 +417,71 @@ def _grow(blocks: RDD, tree: int, cols: list[str], edges: list[list[float]],
     return sorted(nodes, key=lambda n: n.node), codes
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """A training table in bins, written: what the fits of one table share. ``used``: the features that a split can be on."""
+
+    cols: list[str]
+    edges: list[list[float]]
+    rows: DataFrame
+    used: list[int]
+
+
+def _used(rows: DataFrame, edges: list[list[float]]) -> list[int]:
+    """Features with cuts, but for those that are in the same bin as an earlier one in every row: ties go to the first
+    feature, so no split is on them. Only features of equal cuts are compared."""
+    cut = [f for f, e in enumerate(edges) if e]
+    pairs = [(f, g) for i, f in enumerate(cut) for g in cut[i + 1:] if edges[f] == edges[g]]
+    n_features = len(edges)
+
+    def differing(batches):
+        for b in batches:
+            for cells in b.column(0):
+                bins = np.frombuffer(cells.as_py(), np.uint8).reshape(n_features, -1)
+                found = [i for i, (f, g) in enumerate(pairs) if (bins[f] != bins[g]).any()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], ["pair"])
+    differ = {r.pair for r in rows.select("bins").mapInArrow(differing, "pair int").distinct().collect()} if pairs else set()
+    same = {g for i, (_, g) in enumerate(pairs) if i not in differ}
+    return [f for f in cut if f not in same] or [0]
+
+
+def prepare(train: DataFrame, params: ModelParams = ModelParams(), label: str = LABEL_COL,
+            cols: list[str] | None = None) -> Prepared:
+    """The bins of ``train``; the caller owns the table that is written for it."""
+    cols = cols or feature_columns(train, params.exclude)
+    ensure_checkpoint_dir(train.sparkSession)
+    ship_package(train.sparkSession)
+    edges = bin_edges(train, cols)
+    rows = materialize(binned(train, cols, edges, label), "tree_rows")
+    return Prepared(cols, edges, rows, _used(rows, edges))
+
+
 def fit(train: DataFrame, params: ModelParams = ModelParams(), label: str = LABEL_COL,
-        cols: list[str] | None = None, start: TreeModel | None = None) -> TreeModel:
+        cols: list[str] | None = None, start: TreeModel | None = None, prepared: Prepared | None = None) -> TreeModel:
     """M3 / M4: the boosted trees of ``train``. An empty table gives a model without trees.
 
     With ``start``, a model of the same table and parameters with fewer rounds, only
     the missing rounds are fitted; the result is the same as from the beginning.
+    ``prepared`` is what :func:`prepare` gave for the same table, parameters and columns.
     """
-    cols = cols or feature_columns(train, params.exclude)
     start = start or TreeModel(())
-    ensure_checkpoint_dir(train.sparkSession)
-    ship_package(train.sparkSession)
     with written_paths() as paths:
-        edges = bin_edges(train, cols)
-        rows = materialize(binned(score(start, train), cols, edges, label), "tree_rows")
-        blocks, held, trees = _blocks(rows, len(cols)), None, list(start.trees)
+        prepared = prepared or prepare(train, params, label, cols)
+        rows, used = prepared.rows, prepared.used
+        names, edges = [prepared.cols[f] for f in used], [prepared.edges[f] for f in used]
+        walks = _codes_of(start, names, edges)
+        if walks is None:   # a model that is cut elsewhere
+            rows, walks = materialize(binned(score(start, train), prepared.cols, prepared.edges, label), "tree_rows"), []
+        blocks, held, trees = _blocks(rows, used, start if walks else TreeModel((), start.first), walks), None, list(start.trees)
         for tree in range(len(trees) + 1, 0 if rows.isEmpty() else params.rounds + 1):
             blocks.persist(StorageLevel.MEMORY_AND_DISK)
             if tree % params.checkpoint_interval == 0:
                 blocks.checkpoint()
-            nodes, codes = _grow(blocks, tree, cols, edges, params)
+            nodes, codes = _grow(blocks, tree, names, edges, params)
             trees.append(tuple(nodes))
             if held is not None:
                 held.unpersist()
-            weights = np.zeros(len(codes))
-            for n in nodes:
-                weights[n.node] = n.leaf or 0.0
-            held, blocks = blocks, _with_tree(blocks, codes, weights, params.depth)
+            held, blocks = blocks, _with_tree(blocks, codes, _leaf_weights(tuple(nodes), codes), params.depth)
         if held is not None:
             held.unpersist()
     for path in paths:
@@ -359,30 +515,51 @@ def load(spark: SparkSession, path: str) -> TreeModel:
     return from_table(spark.read.schema(MODEL_SCHEMA).parquet(path))
 
 
-def tree_expression(nodes: tuple[Node, ...], schema: T.StructType) -> str:
-    """One tree as nested conditions over the original columns."""
-    by_number = {n.node: n for n in nodes}
-
-    def at(number: int) -> str:
-        n = by_number[number]
-        if n.feature is None:
-            return f"{n.leaf!r}D"
-        test = f"coalesce({_value(n.feature, schema[n.feature].dataType)} <= {n.cut!r}D, {str(n.missing_left).lower()})"
-        return f"if({test}, {at(2 * number)}, {at(2 * number + 1)})"
-    return at(1)
+def _walk(nodes: tuple[Node, ...], place: dict[str, int]):
+    """One tree as a function of feature values (one row a feature, NaN if missing) that gives the weight of each row's leaf."""
+    at = {n.node: i for i, n in enumerate(nodes)}
+    inner = [n.feature is not None for n in nodes]
+    feature = np.array([place[n.feature] if split else 0 for n, split in zip(nodes, inner, strict=True)])
+    cut = np.array([n.cut if split else 0.0 for n, split in zip(nodes, inner, strict=True)])
+    left, right = (np.array([at[2 * n.node + side] if split else i for i, (n, split) in enumerate(zip(nodes, inner, strict=True))])
+                   for side in (0, 1))
+    missing = np.where([bool(n.missing_left) for n in nodes], left, right)
+    weight, root = np.array([0.0 if n.leaf is None else n.leaf for n in nodes]), at[1]
+    depth = max(n.node for n in nodes).bit_length() - 1
+
+    def leaves(flat: np.ndarray, n_rows: int, gaps: bool) -> np.ndarray:
+        node, rows, start = np.full(n_rows, root), np.arange(n_rows), feature * n_rows
+        for _ in range(depth):
+            v = flat.take(start.take(node) + rows)
+            after = np.where(v <= cut.take(node), left.take(node), right.take(node))
+            node = np.where(np.isnan(v), missing.take(node), after) if gaps else after
+        return weight.take(node)
+    return leaves
 
 
 def score(model: TreeModel, df: DataFrame, out: str = SCORE_COL) -> DataFrame:
     """M5: ``df`` with the model's score, the weights added in the order of the trees.
 
-    The trees are one array expression, which Spark compiles tree by tree; its
-    elements are added up by a second expression.
+    One column function over the features that the trees ask for; it walks all rows of an
+    Arrow batch at once.
     """
-    if not model.trees:
-        return df.withColumn(out, F.lit(model.first))
-    parts = F.expr(f"array({', '.join(tree_expression(t, df.schema) for t in model.trees)})")
-    return df.withColumn("__parts", parts).withColumn(
-        out, F.aggregate("__parts", F.lit(model.first), lambda total, w: total + w)).drop("__parts")
+    names = list(dict.fromkeys(n.feature for t in model.trees for n in t if n.feature is not None))
+    if not names:
+        total = model.first
+        for t in model.trees:
+            total += t[0].leaf
+        return df.withColumn(out, F.lit(total))
+    ship_package(df.sparkSession)
+    walks, first = [_walk(t, {c: f for f, c in enumerate(names)}) for t in model.trees], model.first
+
+    def scores(*columns: pa.Array) -> pa.Array:
+        flat = np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns])
+        n, gaps = len(columns[0]), bool(np.isnan(flat).any())
+        total = np.full(n, first)
+        for leaves in walks:
+            total = total + leaves(flat, n, gaps)
+        return pa.array(total)
+    return df.withColumn(out, F.arrow_udf(scores, "double")(*[F.expr(_value(c, df.schema[c].dataType)) for c in names]))
 
 
 def gain_by_feature(table: DataFrame) -> DataFrame:

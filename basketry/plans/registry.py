@@ -215,7 +215,9 @@ class Context:
             train = sp.split_train(self.features()).drop("eval_set")
             # the first trees of the longer model are those of the shorter one
             start = self.model(ROUNDS_FIRST) if rounds > ROUNDS_FIRST else None
-            return bo.fit(train, ModelParams(rounds=rounds), start=start)
+            # both are fitted on the same bins, written once
+            prepared = self.memo("tree_rows", lambda: bo.prepare(train))
+            return bo.fit(train, ModelParams(rounds=rounds), start=start, prepared=prepared)
         return self.memo(f"model{rounds}", build)
 
     def holdout_scored(self, rounds: int) -> DataFrame:
